@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tierflow.operators.project import trim_names
 
 
+PADDING = {"GCM": "DEFAULT"}
+
+
 def _nested(dtype: str) -> bool:
     return any(word in dtype.lower() for word in ("array", "struct", "map"))
 
@@ -36,22 +39,25 @@ class Cipher:
     ):
         if key is None and not (encrypt_function or decrypt_function):
             raise ValueError("a cipher needs a key or SQL function names")
-        self.key = key if isinstance(key, Column) or key is None else F.lit(key)
+        self.key = key
         self.mode = mode
         self.encrypt_function = encrypt_function
         self.decrypt_function = decrypt_function
 
+    def _settings(self) -> tuple[Column, Column, Column]:
+        """Key, mode and padding as columns; GCM knows no padding."""
+        key = self.key if isinstance(self.key, Column) else F.lit(self.key)
+        return key, F.lit(self.mode), F.lit(PADDING.get(self.mode, "PKCS"))
+
     def encrypt(self, text: Column) -> Column:
         if self.encrypt_function:
             return F.call_function(self.encrypt_function, text)
-        return F.base64(F.aes_encrypt(text, self.key, F.lit(self.mode), F.lit("DEFAULT" if self.mode == "GCM" else "PKCS")))
+        return F.base64(F.aes_encrypt(text, *self._settings()))
 
     def decrypt(self, text: Column) -> Column:
         if self.decrypt_function:
             return F.call_function(self.decrypt_function, text).cast("string")
-        return F.aes_decrypt(
-            F.unbase64(text), self.key, F.lit(self.mode), F.lit("DEFAULT" if self.mode == "GCM" else "PKCS")
-        ).cast("string")
+        return F.aes_decrypt(F.unbase64(text), *self._settings()).cast("string")
 
 
 def encrypt_columns(df: DataFrame, pii: dict[str, str | None], cipher: Cipher) -> DataFrame:
@@ -85,7 +91,7 @@ def register_cipher_functions(
     mode: str = "ECB",
 ) -> None:
     """SQL functions of text to text; ``key_sql`` is the SQL expression that yields the key."""
-    padding = "DEFAULT" if mode == "GCM" else "PKCS"
+    padding = PADDING.get(mode, "PKCS")
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {encrypt_name}(val STRING) RETURNS STRING "
         f"RETURN base64(aes_encrypt(val, {key_sql}, '{mode}', '{padding}'))"
