@@ -24,12 +24,17 @@ from tierflow.sources.tables import sql_source
 
 
 def _nested_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with their lines as an array of structs. An order holds a handful of lines."""
-    lines = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_list(F.struct("l_linenumber", "l_partkey", F.struct("l_quantity", "l_discount").alias("terms"))).alias("lines")
+    """Orders with an array of structs of up to three entries, empty for every fourth order."""
+    return load(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        """transform(filter(array(1, 2, 3), i -> i <= o_orderkey % 4),
+          i -> named_struct('nr', i, 'part', o_orderkey * 10 + i, 'terms', named_struct('price', o_totalprice * i, 'rank', i + 1))) AS lines""",
     )
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+
+
+_LINES_SQL = "(SELECT o.*, i AS nr, o_orderkey * 10 + i AS part, o_totalprice * i AS price, i + 1 AS rank FROM orders o {kind} JOIN (VALUES (1), (2), (3)) n(i) ON i <= o_orderkey % 4)"
 
 
 @query(
@@ -47,9 +52,8 @@ def flatten_struct(spark, sf):
 
 @query(
     "flatten_array_named",
-    """
-    SELECT o_orderkey, o_custkey, o_orderstatus, l_linenumber, l_partkey, l_quantity AS terms__l_quantity, l_discount AS terms__l_discount
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, nr, part, price AS terms__price, rank AS terms__rank FROM "
+    + _LINES_SQL.format(kind="INNER"),
 )
 def flatten_array_named(spark, sf):
     return flatten_by_spec(_nested_orders(spark, sf), "true", ["lines"])
@@ -58,9 +62,9 @@ def flatten_array_named(spark, sf):
 @query(
     "flatten_outer",
     """
-    SELECT o_orderkey AS root__o_orderkey, o_custkey AS root__o_custkey, l_linenumber AS root__lines__l_linenumber,
-      l_partkey AS root__lines__l_partkey, l_quantity AS root__lines__terms__l_quantity, l_discount AS root__lines__terms__l_discount
-    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
+    SELECT o_orderkey AS root__o_orderkey, o_custkey AS root__o_custkey, nr AS root__lines__nr, part AS root__lines__part,
+      price AS root__lines__terms__price, rank AS root__lines__terms__rank FROM """
+    + _LINES_SQL.format(kind="LEFT"),
 )
 def flatten_outer(spark, sf):
     rows = _nested_orders(spark, sf).select(F.struct("o_orderkey", "o_custkey", "lines").alias("root"))
@@ -69,7 +73,7 @@ def flatten_outer(spark, sf):
 
 @query(
     "flatten_root_array",
-    "SELECT l_linenumber, l_partkey, l_quantity AS terms__l_quantity, l_discount AS terms__l_discount FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
+    "SELECT nr, part, price AS terms__price, rank AS terms__rank FROM " + _LINES_SQL.format(kind="INNER"),
 )
 def flatten_root_array(spark, sf):
     return flatten(_nested_orders(spark, sf).select("lines"))
@@ -171,7 +175,7 @@ def headers_decode(spark, sf):
 
 @query(
     "header_filter_hex",
-    f"SELECT event_id, lower(hex(CAST(user_id AS VARCHAR))) AS key_hex FROM events WHERE 5 + event_id % 4 = 6",
+    "SELECT event_id, lower(hex(CAST(user_id AS VARCHAR))) AS key_hex FROM events WHERE 5 + event_id % 4 = 6",
 )
 def header_filter_hex(spark, sf):
     rows = with_text_headers(records(load(spark, sf, "events")))
