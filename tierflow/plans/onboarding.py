@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tierflow.operators.keyed import duplicate_keys, keyed_merge
 from tierflow.operators.project import align
 from tierflow.operators.quality import expect_or_fail
-from tierflow.plans.specs import SPEC_SCHEMAS
+from tierflow.plans.specs import spec_schema
 from tierflow.sources.schemas import ddl_schema, json_objects, multiline_json, read_text
 from tierflow.sources.storage import publish, read_published
 from tierflow.streaming.sinks import ZORDER_PROPERTY, overwrite_merging
@@ -58,7 +58,7 @@ class Flow:
     def names(self, name: str) -> Column:
         """Column list given as an array or as comma text."""
         listed = F.coalesce(self.own(name, "array<string>"), F.split(self.own(name), ","))
-        cleaned = F.filter(F.transform(listed, F.trim), lambda x: x != "")
+        cleaned = F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x != "")
         return F.when(F.size(cleaned) > 0, cleaned)
 
     def target(self, place: str | None = None) -> Column:
@@ -145,8 +145,13 @@ def _lookup(paths: list[str], read) -> Column:
     return F.create_map(*[F.lit(x) for pair in found.items() for x in pair])
 
 
-def _distinct(df: DataFrame, col: Column) -> list[str]:
-    return [r[0] for r in df.select(col.alias("p")).where("p IS NOT NULL").distinct().collect()]
+def _distinct(df: DataFrame, **cols: Column) -> dict[str, list[str]]:
+    """Distinct texts of each column, from one job."""
+    tagged = F.array(*[F.struct(F.lit(n).alias("what"), c.alias("text")) for n, c in cols.items()])
+    found: dict[str, list[str]] = {n: [] for n in cols}
+    for row in df.select(F.inline(tagged)).where("text IS NOT NULL").distinct().collect():
+        found[row["what"]].append(row["text"])
+    return found
 
 
 def _append_schemas(spark: SparkSession, text: str | None) -> dict[str, str]:
@@ -161,20 +166,21 @@ def _append_schemas(spark: SparkSession, text: str | None) -> dict[str, str]:
 def _with_side_files(df: DataFrame, flow: Flow) -> DataFrame:
     """Replace the paths of rule files, DDL files and append-flow schemas by what they hold."""
     spark = df.sparkSession
-    rules = _lookup(_distinct(df, F.col("dqPath")), lambda p: read_text(spark, p))
-    df = df.withColumn("dataQualityExpectations", rules[F.col("dqPath")]).drop("dqPath")
-    texts = {t: json.dumps(_append_schemas(spark, t)) for t in _distinct(df, F.col("appendFlows"))}
-    schemas = _lookup(list(texts), lambda t: texts[t])
-    df = df.withColumn("appendFlowsSchemas", F.from_json(schemas[F.col("appendFlows")], _MAP))
-    # The environment's path of an append flow is called ``path`` as well.
-    df = df.withColumn(
-        "appendFlows", F.regexp_replace("appendFlows", f'"source_path_{flow.env}":', '"path":')
-    )
-    if flow.layer == "bronze":
-        ddl = F.col("sourceDetails")["source_schema_path"]
-        known = _lookup(_distinct(df, ddl), lambda p: ddl_schema(spark, p).json())
-        df = df.withColumn("schema", known[ddl])
-    return df
+    bronze = flow.layer == "bronze"
+    ddl = F.col("sourceDetails")["source_schema_path"] if bronze else F.lit(None).cast("string")
+    found = _distinct(df, rules=F.col("dqPath"), flows=F.col("appendFlows"), ddl=ddl)
+    rules = _lookup(found["rules"], lambda p: read_text(spark, p))
+    texts = {t: json.dumps(_append_schemas(spark, t)) for t in found["flows"]}
+    schemas = _lookup(found["flows"], lambda t: texts[t])
+    columns = {
+        "dataQualityExpectations": rules[F.col("dqPath")],
+        "appendFlowsSchemas": F.from_json(schemas[F.col("appendFlows")], _MAP),
+        # The environment's path of an append flow is called ``path`` as well.
+        "appendFlows": F.regexp_replace("appendFlows", f'"source_path_{flow.env}":', '"path":'),
+    }
+    if bronze:
+        columns["schema"] = _lookup(found["ddl"], lambda p: ddl_schema(spark, p).json())[ddl]
+    return df.withColumns(columns).drop("dqPath")
 
 
 def _check(df: DataFrame, layer: str) -> DataFrame:
@@ -239,11 +245,11 @@ def silver_rows(df: DataFrame, env: str) -> DataFrame:
     rows = with_layer(df, "silver", env).select(*[c.alias(n) for n, c in columns.items()])
     rows = _check(_with_side_files(rows, flow), "silver")
     ddl = "target_table string, select_exp array<string>, target_partition_cols array<string>, where_clause array<string>"
-    paths = _distinct(rows, F.col("transformPath"))
+    paths = _distinct(rows, t=F.col("transformPath"))["t"]
     if not paths:
         return rows.withColumns({"selectExp": F.lit(None), "whereClause": F.lit(None)})
     texts = multiline_json(df.sparkSession, paths, ddl)
-    return _join_transforms(rows, texts.selectExpr("target_table", "select_exp AS selectExp", "where_clause AS whereClause"))
+    return attach_transforms(rows, texts.selectExpr("target_table", "select_exp AS selectExp", "where_clause AS whereClause"))
 
 
 def gold_rows(df: DataFrame, env: str) -> DataFrame:
@@ -256,8 +262,8 @@ def gold_rows(df: DataFrame, env: str) -> DataFrame:
     }
     rows = with_layer(df, "gold", env).select(*[c.alias(n) for n, c in columns.items()])
     rows = _check(_with_side_files(rows, flow), "gold")
-    paths = _distinct(rows, F.col("transformPath"))
-    return _join_transforms(rows, gold_transforms(df.sparkSession, paths, env)) if paths else rows
+    paths = _distinct(rows, t=F.col("transformPath"))["t"]
+    return attach_transforms(rows, gold_transforms(df.sparkSession, paths, env)) if paths else rows
 
 
 def gold_transforms(spark: SparkSession, paths: list[str], env: str) -> DataFrame:
@@ -290,7 +296,7 @@ def gold_transforms(spark: SparkSession, paths: list[str], env: str) -> DataFram
     )
 
 
-def _join_transforms(rows: DataFrame, texts: DataFrame) -> DataFrame:
+def attach_transforms(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Each flow with the transformation of its target table."""
     return rows.join(texts, F.col("targetDetails")["table"] == texts["target_table"]).drop("target_table", "transformPath")
 
@@ -316,7 +322,7 @@ def compile_specs(
 ) -> DataFrame:
     """Spec rows of one layer of an onboarding file."""
     rows = _ROWS[layer](read_onboarding(spark, path), env)
-    return align(add_audit_columns(rows, version, author, now), SPEC_SCHEMAS[layer])
+    return align(add_audit_columns(rows, version, author, now), spec_schema(layer))
 
 
 def store_specs(specs: DataFrame, path: str, overwrite: bool = True) -> int:

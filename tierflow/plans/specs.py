@@ -31,20 +31,26 @@ _SOURCES = (
 )
 
 # Column lists of the three spec tables.
-SPEC_SCHEMAS = {
-    "bronze": T.StructType.fromDDL(
+SPEC_DDL = {
+    "bronze": (
         f"""dataFlowId string, dataFlowGroup string, {_SOURCE}, {_COMMON}, `schema` string,
         applyChangesFromSnapshot string, quarantineTargetDetails {_MAP}, quarantineTableProperties {_MAP},
         flattenNestedData string, columnToExtract {_LIST}, description string, metadata {_MAP}, {_AUDIT}"""
     ),
-    "silver": T.StructType.fromDDL(
+    "silver": (
         f"""dataFlowId string, dataFlowGroup string, {_SOURCE}, {_COMMON}, selectExp {_LIST},
         whereClause {_LIST}, {_AUDIT}"""
     ),
-    "gold": T.StructType.fromDDL(
+    "gold": (
         f"dataFlowId string, dataFlowGroup string, {_COMMON}, sources {_SOURCES}, views {_VIEWS}, env string, {_AUDIT}"
     ),
 }
+
+
+def spec_schema(layer: str) -> T.StructType:
+    return T.StructType.fromDDL(SPEC_DDL[layer])
+
+
 ENTITY_KEY = ["dataFlowGroup", "dataFlowId"]
 
 
@@ -161,7 +167,7 @@ SPEC_CLASSES = {"bronze": BronzeSpec, "silver": SilverSpec, "gold": GoldSpec}
 
 def latest_specs(table: DataFrame, layer: str, group: str | None = None, ids: list[str] | str | None = None) -> DataFrame:
     """Latest version of each flow of a group and / or an id list; columns an older table lacks are NULL."""
-    df = align(table, SPEC_SCHEMAS[layer])
+    df = align(table, spec_schema(layer))
     if group:
         df = df.where(F.col("dataFlowGroup") == group)
     if ids:
