@@ -51,8 +51,8 @@ def passes_all(rules: dict[str, str]) -> Column:
 
 
 def _failure(rules: dict[str, str]) -> Column:
-    broken = F.array_compact(F.array(*[F.when(~passes(r), F.lit(n)) for n, r in rules.items()]))
-    return F.raise_error(F.concat(F.lit("rules violated: "), F.array_join(broken, ", ")))
+    broken = F.concat_ws(", ", *[F.when(~passes(r), F.lit(n)) for n, r in rules.items()])
+    return F.raise_error(F.concat(F.lit("rules violated: "), broken))
 
 
 def _kept(drop: dict[str, str], fail: dict[str, str]) -> Column:
@@ -64,7 +64,7 @@ def _kept(drop: dict[str, str], fail: dict[str, str]) -> Column:
     if not fail:
         return passes_all(drop)
     checked = F.when(~passes_all(fail), _failure(fail).cast("boolean")).otherwise(passes_all(drop))
-    return checked & (F.rand(0) >= 0)
+    return checked & (F.rand(0) + 1 > 0)
 
 
 def _counts(rules: dict[str, str]) -> list[Column]:
@@ -136,12 +136,10 @@ def route_rows(df: DataFrame, rules: RuleSet) -> DataFrame:
 
     A row may go to main, to quarantine, to both or to none.
     """
-    keep = _kept(rules.drop, rules.fail)
-    held = passes_all(rules.quarantine) if rules.quarantine else F.lit(False)
     if not rules.quarantine:
-        return df.where(keep).withColumn(ROUTE, F.lit("main"))
-    ways = F.array_compact(
-        F.array(F.when(passes_all(rules.drop), F.lit("main")), F.when(held, F.lit("quarantine")))
-    )
+        return df.where(_kept(rules.drop, rules.fail)).withColumn(ROUTE, F.lit("main"))
+    main, held = F.lit("main"), F.lit("quarantine")
+    keep, hold = passes_all(rules.drop), passes_all(rules.quarantine)
+    ways = F.when(keep & hold, F.array(main, held)).when(keep, F.array(main)).when(hold, F.array(held))
     checked = df.where(_kept({}, rules.fail)) if rules.fail else df
     return checked.withColumn(ROUTE, F.explode(ways))

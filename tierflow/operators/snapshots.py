@@ -92,9 +92,7 @@ def snapshot_step_type2(state: DataFrame, snapshot: DataFrame, version: int, opt
     )
     # ... and a new or changed row opens one.
     opened = F.struct(*[n[c].alias(c) for c in columns], at.alias(START), F.lit(None).cast("bigint").alias(END))
-    rows = F.array_compact(
-        F.array(F.when(o.isNotNull(), kept), F.when(o.isNull() | changed, opened))
-    )
+    rows = F.when(o.isNull(), F.array(opened)).when(changed, F.array(kept, opened)).otherwise(F.array(kept))
     return closed.unionByName(both.select(F.inline(rows)))
 
 

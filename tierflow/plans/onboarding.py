@@ -15,6 +15,7 @@ from tierflow.operators.keyed import duplicate_keys, keyed_merge
 from tierflow.operators.project import align
 from tierflow.operators.quality import expect_or_fail
 from tierflow.plans.specs import spec_schema
+from tierflow.session import materialize
 from tierflow.sources.schemas import ddl_schema, json_objects, multiline_json, read_text
 from tierflow.sources.storage import publish, read_published
 from tierflow.streaming.sinks import ZORDER_PROPERTY, overwrite_merging
@@ -333,7 +334,9 @@ def store_specs(specs: DataFrame, path: str, overwrite: bool = True) -> int:
         older = read_published(specs.sparkSession, path)
     except FileNotFoundError:
         return publish(specs, path)
-    return publish(keyed_merge(align(older, specs.schema), specs, ["dataFlowId"], PROTECTED), path)
+    # The merge reads the new specs several times; compiling them once is enough.
+    fresh = materialize(specs)
+    return publish(keyed_merge(align(older, specs.schema), fresh, ["dataFlowId"], PROTECTED), path)
 
 
 def onboard(
