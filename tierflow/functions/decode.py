@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.operators.project import pinned
+
 
 def decode_headers(headers: Column) -> Column:
     """array<struct<key, binary value>> with the values as text."""
@@ -39,7 +43,12 @@ def payload_hex(value: Column) -> Column:
 
 def json_validity(text: Column) -> Column:
     """struct<is_error, error_details> of a JSON text; NULL is an error."""
-    bad = F.try_parse_json(text).isNull()
+    return validity_of(text, F.try_parse_json(text))
+
+
+def validity_of(text: Column, parsed: Column) -> Column:
+    """The same, where the text has been parsed already."""
+    bad = parsed.isNull()
     return F.struct(
         bad.alias("is_error"),
         F.when(text.isNull(), "JSON string is null")
@@ -70,12 +79,10 @@ def json_path(text: Column, path: str, dtype: str = "string") -> Column:
 
 
 def json_paths(df: DataFrame, text: Column, paths: dict[str, tuple[str, str] | str]) -> DataFrame:
-    """One column per path, all read from one parsed value."""
-    staged = df.withColumn("__v", F.try_parse_json(text))
+    """One column per path, all read from a value that is parsed once."""
     named = {n: (p, "string") if isinstance(p, str) else p for n, p in paths.items()}
-    return staged.withColumns(
-        {n: F.try_variant_get(F.col("__v"), p, t) for n, (p, t) in named.items()}
-    ).drop("__v")
+    staged = pinned(df, __v=F.try_parse_json(text))
+    return staged.withColumns({n: F.try_variant_get(F.col("__v"), p, t) for n, (p, t) in named.items()}).drop("__v")
 
 
 def nested_item(col: Column, *steps: str | int) -> Column:
@@ -86,11 +93,13 @@ def nested_item(col: Column, *steps: str | int) -> Column:
 
 
 def paths_present(text: Column, paths: list[str]) -> Column:
-    """TRUE when every path holds a value."""
-    found = F.lit(True)
-    for path in paths:
-        found = found & json_path(text, path).isNotNull()
-    return found
+    """TRUE when every path holds a value; the text is parsed once."""
+
+    def complete(value: Column) -> Column:
+        found = [F.try_variant_get(value, p, "string").isNotNull() for p in paths]
+        return reduce(lambda a, b: a & b, found, F.lit(True))
+
+    return F.exists(F.array(F.try_parse_json(text)), complete)
 
 
 # Column names under which a message payload is looked for, in this order of columns.

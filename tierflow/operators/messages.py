@@ -13,11 +13,12 @@ from tierflow.functions.decode import (
     decode_headers,
     header_map,
     header_value,
-    json_validity,
     payload_hex,
     payload_text,
+    validity_of,
 )
 from tierflow.operators.flatten import flatten
+from tierflow.operators.project import pinned
 
 # Output names of a record's position and the constants of the four known routes.
 RECORD_COLUMNS = {
@@ -88,17 +89,11 @@ def decode_json_messages(
     """
     staged = with_text_headers(df).withColumn("decoded_value", payload_text(F.col("value")))
     staged = staged.where(with_payload(F.col("decoded_value")))
-    staged = staged.withColumns(
-        {
-            "__v": F.try_parse_json("decoded_value"),
-            "__valid": json_validity(F.col("decoded_value")),
-            "__json": F.from_json("decoded_value", schema),
-            "headersRefined": header_map(F.col("headers")),
-        }
-    )
+    staged = pinned(staged, __v=F.try_parse_json("decoded_value"))
     wanted = {n: F.try_variant_get("__v", p, "string") for n, p in route.paths.items()}
     wanted |= {n: header_value(F.col("headers"), k) for n, k in route.headers.items()}
-    staged = staged.withColumns(wanted)
+    checked = validity_of(F.col("decoded_value"), F.col("__v"))
+    staged = pinned(staged, __valid=checked, **wanted)
     if route.predicate:
         fits = F.coalesce(F.expr(route.predicate), F.lit(False))
         staged = staged.where(fits | F.col("__valid.is_error") if keep_invalid else fits)
@@ -106,6 +101,9 @@ def decode_json_messages(
         F.col(n).try_cast("bigint").alias(n) if n in route.long_columns else F.col(n)
         for n in [*route.paths, *route.headers]
     ]
+    staged = staged.withColumns(
+        {"__json": F.from_json("decoded_value", schema), "headersRefined": header_map(F.col("headers"))}
+    )
     return record_metadata(
         staged,
         ["headersRefined", F.col("__valid.is_error"), F.col("__valid.error_details"), F.col("__json.*"), *own],

@@ -48,6 +48,15 @@ def expand(df: DataFrame, *paths: str, keep: list[str] | None = None) -> DataFra
     return df.select(*(keep or []), *[f"{p}.*" for p in paths])
 
 
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    A filter on an ordinary column moves below the projection and takes a copy of the expression with
+    it, once per mention. Behind a generator it stays where it is, which pays off for parsed messages.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def typed_null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions import channels as ch
-from tierflow.functions.decode import json_path, nested_item, parse_json_as, payload_text
+from tierflow.functions.decode import nested_item, parse_json_as, paths_present, payload_text
+from tierflow.operators.project import pinned
 
 # Placeholders in cancelled rows.
 NO_CUSTOMER, NO_COST, NO_TICKET = 9999999, "999999.99", 9999999
@@ -235,12 +236,9 @@ def product_offers(
     now = F.current_timestamp() if now is None else now
     staged = messages.withColumn("__text", payload_text(F.col("value")))
     path = "$.body.entyGrps[0].entys[0]."
-    complete = reduce(
-        lambda a, b: a & b, (json_path(F.col("__text"), path + f).isNotNull() for f in OFFER_REQUIRED)
-    )
-    staged = staged.where(complete).withColumn("__doc", parse_json_as(F.col("__text"), OFFER_DDL))
-    entity = nested_item(F.col("__doc"), "body", "entyGrps", 0, "entys", 0)
-    staged = staged.withColumn("__e", entity)
+    staged = staged.where(paths_present(F.col("__text"), [path + f for f in OFFER_REQUIRED]))
+    document = parse_json_as(F.col("__text"), OFFER_DDL)
+    staged = pinned(staged, __e=nested_item(document, "body", "entyGrps", 0, "entys", 0))
     shaped = []
     for out, field in columns.items():
         value = F.col("__e")[field]
