@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.catalogue.changes import LATEST_SQL
 from tierflow.catalogue.shared import load, query, stream, work_dir
@@ -14,7 +15,7 @@ from tierflow.operators.quality import apply_quality, resolve_rules
 from tierflow.sources.files import FileSource, infer_schema, read_files, rescue, union_files
 from tierflow.sources.schemas import ddl_schema
 from tierflow.sources.storage import read_published
-from tierflow.sources.tables import read_path, snapshot_series
+from tierflow.sources.tables import read_path, read_table, snapshot_series
 from tierflow.streaming.sinks import (
     AppendFlow,
     FanOutTarget,
@@ -22,6 +23,7 @@ from tierflow.streaming.sinks import (
     append_batch,
     append_stream,
     checked_stream,
+    create_table,
     fan_out,
     fan_out_stream,
     overwrite_merging,
@@ -119,7 +121,7 @@ _RAW_LINE = """concat('{"id":', CAST(event_id AS STRING), ',"user":', CASE WHEN
 def rescued_data(spark, sf):
     lines = load(spark, sf, "events").select("event_id", F.expr(_RAW_LINE).alias("line"))
     lines = lines.select("event_id", F.expr(_LINE).alias("line"))
-    schema = ddl_schema_of("id bigint, user bigint")
+    schema = T.StructType.fromDDL("id bigint, user bigint")
     out = rescue(lines, "line", schema, "_rescued_data", keep=["event_id"])
     bad = F.col("id").isNull()
     left_over = F.when(~bad, F.col("_rescued_data"))
@@ -129,12 +131,6 @@ def rescued_data(spark, sf):
     )
 
 
-def ddl_schema_of(ddl: str):
-    from pyspark.sql import types as T
-
-    return T.StructType.fromDDL(ddl)
-
-
 @query("file_metadata_cols", "SELECT event_id, 'events.parquet' AS input_file_name, true AS sized, true AS stamped FROM events")
 def file_metadata_cols(spark, sf):
     section = {
@@ -186,7 +182,24 @@ def seed_rows(spark, sf):
     "SELECT s_suppkey, CAST(s_acctbal AS DOUBLE) AS s_acctbal, CAST(NULL AS VARCHAR) AS s_comment FROM supplier",
 )
 def missing_columns_as_null(spark, sf):
-    return align(load(spark, sf, "supplier"), ddl_schema_of("s_suppkey bigint, s_acctbal double, s_comment string"))
+    return align(load(spark, sf, "supplier"), T.StructType.fromDDL("s_suppkey bigint, s_acctbal double, s_comment string"))
+
+
+@query(
+    "table_stream_scan",
+    "SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_acctbal > 0",
+)
+def table_stream_scan(spark, sf):
+    """A table with properties is created, filled, and read as a stream by name."""
+    folder = work_dir(spark, "catalog")
+    name = f"suppliers_{folder[-8:]}"
+    source = load(spark, sf, "supplier")
+    layout = Layout(cluster_by=["s_nationkey"], properties={"quality": "bronze", "vendor.retention": "interval 30 days"})
+    create_table(spark, name, source.schema, layout, f"{folder}/table", "suppliers, clustered")
+    append_batch(source, f"{folder}/table", layout)
+    feed = read_table(spark, name, {"maxFilesPerTrigger": "4"}).where("s_acctbal > 0").select("s_suppkey", "s_name", "s_nationkey")
+    append_stream(feed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
 
 
 # --- sinks and streams --------------------------------------------------------------------------

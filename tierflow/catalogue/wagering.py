@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierflow.catalogue.shared import load, query
 from tierflow.functions import channels as ch
-from tierflow.functions.crypto import Cipher
+from tierflow.functions.crypto import Cipher, decrypt_columns, encrypt_columns
 from tierflow.operators.cdc import apply_changes
 from tierflow.operators.project import calendar_gate
 from tierflow.plans import gold
@@ -361,8 +361,6 @@ def shared_view_targets(spark, sf):
 )
 def gold_encrypted_chain(spark, sf):
     """Sources are decrypted each by its own list, only the last view is encrypted; opened here for the check."""
-    from tierflow.functions.crypto import decrypt_columns, encrypt_columns
-
     cipher = Cipher("0123456789abcdef")
     registry = ViewRegistry(spark)
     registry.register("sealed", encrypt_columns(load(spark, sf, "customer"), {"c_name": "string"}, cipher))

@@ -22,7 +22,7 @@ from tierflow.plans.views import ViewRegistry, build_targets
 from tierflow.sources import kafka
 from tierflow.sources.files import FileSource, read_files, with_ingestion_time
 from tierflow.sources.schemas import ddl_schema
-from tierflow.sources.storage import children, current_version, publish, read_published
+from tierflow.sources.storage import children, current_version, exists, publish, read_published, touch
 from tierflow.sources.tables import NextSnapshot, numbered_files, read_path, snapshot_series
 from tierflow.streaming.changes import apply_changes_stream, open_changes
 from tierflow.streaming.sinks import (
@@ -315,16 +315,20 @@ class MedallionRun:
 
     def _write_changes(self, df, spec: Spec, path: str, opts: ChangeOptions, rules: RuleSet) -> None:
         """Warn, drop and fail rules stand in front of change capture; quarantine does not apply there."""
+        mark = f"{self.checkpoint(spec, opts.flow_name or 'main')}.done"
+        if opts.once and exists(self.spark, mark):
+            return
+        checked = apply_quality(df, rules, spec.table).main if rules else df
         if df.isStreaming:
-            checked = apply_quality(df, rules, spec.table).main if rules else df
             query, target = apply_changes_stream(
-                checked, path, self.checkpoint(spec), opts, buckets=self.buckets, publish_every=1_000_000, name=spec.table
+                checked, path, self.checkpoint(spec, opts.flow_name or "main"), opts, buckets=self.buckets, publish_every=1_000_000, name=spec.table
             )
             query.awaitTermination()
             target.publish()
         else:
-            checked = apply_quality(df, rules, spec.table).main if rules else df
             publish(apply_changes(checked, opts), path, spec.layout.partition_by)
+        if opts.once:
+            touch(self.spark, mark)
 
 
 def _view_name(table: str) -> str:

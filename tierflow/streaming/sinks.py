@@ -38,10 +38,22 @@ class Layout:
             raise ValueError("cluster columns and z-order columns exclude each other")
 
     def arrange(self, df: DataFrame) -> DataFrame:
-        """Range-partition and sort by the cluster columns, which gives files narrow min/max ranges."""
-        if not self.cluster_by or df.isStreaming:
+        """Order rows for the write.
+
+        Cluster columns: range partitions, sorted, which gives files narrow min/max ranges. The number of
+        the input partition breaks ties, so that the rows of one frequent value (copies included) spread
+        over many tasks; unlike a random number it is the same when a lost task runs again.
+        Partition columns alone: rows of a partition come together, large partitions stay split.
+        """
+        if df.isStreaming:
             return df
-        return df.repartitionByRange(*self.cluster_by).sortWithinPartitions(*self.cluster_by)
+        if self.cluster_by:
+            tied = df.withColumn("__tie", F.spark_partition_id())
+            ranged = tied.repartitionByRange(*self.cluster_by, "__tie")
+            return ranged.sortWithinPartitions(*(self.partition_by or []), *self.cluster_by).drop("__tie")
+        if self.partition_by:
+            return df.hint("rebalance", *[F.col(c) for c in self.partition_by])
+        return df
 
 
 def create_table(spark: SparkSession, name: str, schema, layout: Layout, path: str | None = None, comment: str = "") -> None:
