@@ -111,6 +111,10 @@ def stored_columns(columns: list[str], opts: ChangeOptions) -> list[str]:
     return [c for c in columns if c in kept]
 
 
+def stored_schema(schema: T.StructType, opts: ChangeOptions) -> T.StructType:
+    return T.StructType([schema[c] for c in stored_columns(schema.names, opts)])
+
+
 def tracked_columns(columns: list[str], opts: ChangeOptions) -> list[str]:
     keys = set(_find(columns, opts.keys))
     values = [c for c in stored_columns(columns, opts) if c not in keys]
@@ -151,7 +155,8 @@ def read_changes(df: DataFrame, opts: ChangeOptions) -> DataFrame:
         .when(_flag(opts.apply_as_deletes), F.lit(DELETE))
         .otherwise(F.lit(UPSERT))
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in values]) if values else F.struct(F.lit(None).alias("__none"))
+    packed = [pack(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in values]
+    row = F.struct(*packed) if values else F.struct(F.lit(None).alias("__none"))
     return source.select(
         *[F.col(f"`{k}`") for k in keys], _sequence(opts).alias(SEQ), op.alias(OP), row.alias(ROW)
     ).where(F.col(SEQ).isNotNull())
@@ -165,12 +170,21 @@ def _orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def _latest(rows: DataFrame, when: Column) -> Column:
-    """max of (sequence, row); rows holding maps or variants are compared by their JSON text."""
-    if _orderable(rows.schema[ROW].dataType):
-        return F.max(F.when(when, F.struct(F.col(SEQ).alias("seq"), F.col(ROW).alias("row"))))
-    value = F.struct(F.col(SEQ).alias("seq"), F.col(ROW).alias("row"))
-    return F.max_by(F.when(when, value), F.when(when, F.struct(F.col(SEQ), F.to_json(ROW))))
+def pack(col: Column, dtype: T.DataType) -> Column:
+    """A value that can be compared: a map as its sorted entries, a variant as its JSON text."""
+    if _orderable(dtype):
+        return col
+    if isinstance(dtype, T.MapType) and _orderable(dtype.keyType) and _orderable(dtype.valueType):
+        return F.array_sort(F.map_entries(col))
+    if isinstance(dtype, T.VariantType):
+        return F.to_json(col)
+    raise ValueError(f"change capture cannot compare values of type {dtype.simpleString()}")
+
+
+def unpack(col: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.MapType):
+        return F.map_from_entries(col)
+    return F.parse_json(col) if isinstance(dtype, T.VariantType) else col
 
 
 # --- type 1 -------------------------------------------------------------------------------------
@@ -183,8 +197,9 @@ def _latest(rows: DataFrame, when: Column) -> Column:
 
 def key_state(changes: DataFrame, keys: list[str], keep_nulls: list[str]) -> DataFrame:
     upsert = F.col(OP) == UPSERT
+    latest = F.struct(F.col(SEQ).alias("seq"), F.col(ROW).alias("row"))
     aggs = [
-        _latest(changes, upsert).alias("__up"),
+        F.max(F.when(upsert, latest)).alias("__up"),
         F.max(F.when(F.col(OP) == DELETE, F.col(SEQ))).alias("__del"),
     ]
     for i, c in enumerate(keep_nulls):
@@ -195,11 +210,7 @@ def key_state(changes: DataFrame, keys: list[str], keep_nulls: list[str]) -> Dat
 
 
 def merge_states(states: DataFrame, keys: list[str], keep_nulls: list[str]) -> DataFrame:
-    if _orderable(states.schema["__up"].dataType):
-        latest = F.max("__up")
-    else:
-        latest = F.max_by("__up", F.when(F.col("__up").isNotNull(), F.struct("__up.seq", F.to_json("__up.row"))))
-    aggs = [latest.alias("__up"), F.max("__del").alias("__del")]
+    aggs = [F.max(c).alias(c) for c in ("__up", "__del")]
     aggs += [F.max(f"__n{i}").alias(f"__n{i}") for i in range(len(keep_nulls))]
     return states.groupBy(*keys).agg(*aggs)
 
@@ -208,10 +219,10 @@ def live_rows(
     state: DataFrame,
     keys: list[str],
     keep_nulls: list[str],
-    columns: list[str],
+    schema: T.StructType,
     truncated_at: Column | None = None,
 ) -> DataFrame:
-    """Current rows of a key state, ``columns`` in target order."""
+    """Current rows of a key state; ``schema`` lists the target's columns in order."""
 
     def alive(seq: Column) -> Column:
         ok = F.col("__del").isNull() | (seq > F.col("__del"))
@@ -220,14 +231,17 @@ def live_rows(
         return ok
 
     out = []
-    for c in columns:
+    for field in schema.fields:
+        c = field.name
         if c in keys:
             out.append(F.col(f"`{c}`"))
-        elif c in keep_nulls:
+            continue
+        if c in keep_nulls:
             held = F.col(f"__n{keep_nulls.index(c)}")
-            out.append(F.when(alive(held["seq"]), held["value"]).alias(c))
+            value = F.when(alive(held["seq"]), held["value"])
         else:
-            out.append(F.col("__up")["row"][c].alias(c))
+            value = F.col("__up")["row"][c]
+        out.append(unpack(value, field.dataType).alias(c))
     return state.where(F.col("__up").isNotNull() & alive(F.col("__up")["seq"])).select(*out)
 
 
@@ -241,9 +255,7 @@ def _type1(df: DataFrame, opts: ChangeOptions) -> DataFrame:
     keys = _find(df.columns, opts.keys)
     keep = null_keeping_columns(df.columns, opts)
     at = truncate_point(changes).scalar() if opts.apply_as_truncates else None
-    return live_rows(
-        key_state(changes, keys, keep), keys, keep, stored_columns(df.columns, opts), at
-    )
+    return live_rows(key_state(changes, keys, keep), keys, keep, stored_schema(df.schema, opts), at)
 
 
 # --- type 2 -------------------------------------------------------------------------------------
@@ -251,14 +263,9 @@ def _type1(df: DataFrame, opts: ChangeOptions) -> DataFrame:
 
 def unique_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
     """One row per (keys, sequence), chosen by the tie rule."""
-    ops_first = F.struct(F.col(OP).alias("op"), F.col(ROW).alias("row"))
-    if _orderable(changes.schema[ROW].dataType):
-        best = F.max(ops_first)
-    else:
-        best = F.max_by(ops_first, F.struct(F.col(OP), F.to_json(ROW)))
     return (
         changes.groupBy(*keys, SEQ)
-        .agg(best.alias("__best"))
+        .agg(F.max(F.struct(F.col(OP).alias("op"), F.col(ROW).alias("row"))).alias("__best"))
         .select(*keys, SEQ, F.col("__best.op").alias(OP), F.col("__best.row").alias(ROW))
     )
 
@@ -266,7 +273,7 @@ def unique_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
 def history(
     changes: DataFrame,
     keys: list[str],
-    columns: list[str],
+    schema: T.StructType,
     tracked: list[str],
     keep_nulls: list[str],
     *,
@@ -274,8 +281,7 @@ def history(
     small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Versions of every key from change rows as :func:`read_changes` makes them."""
-    values = [c for c in columns if c not in keys]
-    untracked = [c for c in values if c not in tracked]
+    untracked = [c for c in schema.names if c not in keys and c not in tracked]
 
     def body(rows: DataFrame, order: KeyOrder) -> DataFrame:
         if keep_nulls:
@@ -303,7 +309,10 @@ def history(
         else:
             edges = rows.where(is_edge)
         edges = order.next_order(edges, END).where(F.col("__edge") == "open")
-        out = [F.col(f"`{c}`") if c in keys else F.col(ROW)[c].alias(c) for c in columns]
+        out = [
+            F.col(f"`{f.name}`") if f.name in keys else unpack(F.col(ROW)[f.name], f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
         return edges.select(*out, F.col(SEQ).alias(START), F.col(END).alias(END))
 
     return by_key_order(
@@ -343,7 +352,7 @@ def _type2(df: DataFrame, opts: ChangeOptions, **limits) -> DataFrame:
     return history(
         read_changes(df, opts),
         _find(df.columns, opts.keys),
-        stored_columns(df.columns, opts),
+        stored_schema(df.schema, opts),
         tracked_columns(df.columns, opts),
         null_keeping_columns(df.columns, opts),
         **limits,

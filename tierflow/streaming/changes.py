@@ -22,6 +22,7 @@ from dataclasses import asdict
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators import cdc
@@ -34,14 +35,15 @@ BUCKET = "bucket"
 
 class ChangeTarget:
     def __init__(
-        self, spark: SparkSession, path: str, columns: list[str], opts: ChangeOptions, buckets: int = 64,
+        self, spark: SparkSession, path: str, schema: T.StructType, opts: ChangeOptions, buckets: int = 64,
         hot_key_rows: int = HOT_KEY_ROWS, small_input_bytes: int = SMALL_INPUT_BYTES,
     ):
         self.spark, self.path, self.opts, self.buckets = spark, path.rstrip("/"), opts, buckets
-        self.columns = list(columns)
+        self.schema = schema
+        columns = schema.names
         self.keys = cdc._find(columns, opts.keys)
         self.keep = cdc.null_keeping_columns(columns, opts)
-        self.stored = cdc.stored_columns(columns, opts)
+        self.stored = cdc.stored_schema(schema, opts)
         self.tracked = cdc.tracked_columns(columns, opts)
         self.limits = {"hot_key_rows": hot_key_rows, "small_input_bytes": small_input_bytes}
 
@@ -139,7 +141,7 @@ class ChangeTarget:
 
     def describe(self) -> None:
         """Leave what a reader needs to know beside the data."""
-        text = json.dumps({"columns": self.columns, "options": asdict(self.opts), "buckets": self.buckets})
+        text = json.dumps({"schema": self.schema.jsonValue(), "options": asdict(self.opts), "buckets": self.buckets})
         row = self.spark.createDataFrame([(text,)], "value string")
         row.coalesce(1).write.mode("overwrite").text(f"{self.path}/description")
 
@@ -147,7 +149,7 @@ class ChangeTarget:
 def open_changes(spark: SparkSession, path: str) -> ChangeTarget:
     """A change target that some stream has written."""
     told = json.loads(spark.read.text(f"{path}/description").first()[0])
-    return ChangeTarget(spark, path, told["columns"], ChangeOptions.of(told["options"]), told["buckets"])
+    return ChangeTarget(spark, path, T.StructType.fromJson(told["schema"]), ChangeOptions.of(told["options"]), told["buckets"])
 
 
 def apply_changes_stream(
@@ -166,7 +168,7 @@ def apply_changes_stream(
 ) -> tuple[StreamingQuery, ChangeTarget]:
     """Start the stream. With ``publish_every`` > 1 call ``target.publish()`` once the query has ended."""
     target = ChangeTarget(
-        stream.sparkSession, path, stream.columns, opts, buckets, hot_key_rows, small_input_bytes
+        stream.sparkSession, path, stream.schema, opts, buckets, hot_key_rows, small_input_bytes
     )
 
     target.describe()
