@@ -44,9 +44,7 @@ def scratch_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = os.path.join(tempfile.gettempdir(), "tierflow-scratch")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return os.path.join(tempfile.gettempdir(), "tierflow-scratch")
 
 
 def materialize(df: DataFrame) -> DataFrame:
