@@ -67,7 +67,7 @@ def test_failed_write_publishes_nothing(spark, tmp_path):
     rules = resolve_rules(
         {"expect_or_fail": {"small": "v < 10"}, "expect_or_drop": {"odd": "v = 1"}, "expect_or_quarantine": {"big": "v > 2"}}
     )
-    write_checked(good, rules, path)
+    assert write_checked(good, rules, path) == {"rows": 2, "odd": 1, "small": 0}
     assert rows(read_route(spark, path, "main"), "id") == [(1,)]
     assert rows(read_route(spark, path, "quarantine"), "id") == [(2,)]
     with pytest.raises(PySparkException):

@@ -163,14 +163,16 @@ def test_three_layers_from_an_onboarding_file(spark, metadata):
     seen = []
     hooks = Hooks(transforms={"silver": lambda df, spec: seen.append(spec.table) or df})
     run = MedallionRun(spark, str(metadata / "lake"), cipher=cipher, hooks=hooks, buckets=4)
-    for _ in range(2):  # the second run finds nothing new
-        run.run("bronze_silver", specs)
+    run.run("bronze_silver", specs)
+    assert run.violations["lake.raw.people"] == {"rows": 6, "has_id": 1}
+    run.run("bronze_silver", specs)  # finds nothing new
     assert seen == ["lake.fine.people"] * 2
     run.run("gold", specs)
     bronze = run.read(specs["bronze"][0])
     assert bronze.count() == 5 and "ingestion_timestamp" in bronze.columns
     assert bronze.where("name = 'ann'").count() == 0  # encrypted at rest
     assert run.quarantine(specs["bronze"][0]).count() == 1
+    assert run.open(run.path({"database": "rej", "table": "people_q"})).count() == 1
     assert rows(run.read(specs["silver"][0]), "id") == [("1",)]
     assert rows(run.read(specs["gold"][0])) == [(1,)]
 
@@ -216,6 +218,18 @@ def test_batch_flows_cdc_type2_and_once(spark, tmp_path):
     assert rows(run.read(silver)) == [(1, "b")]
 
 
+def test_rules_in_front_of_streaming_cdc(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "x", 1)], "id int, v string, s int").write.parquet(str(tmp_path / "in"))
+    bronze = BronzeSpec(
+        "1", "g", targetDetails={"database": "raw", "table": "c"}, sourceFormat="parquet", sourceDetails={"path": str(tmp_path / "in")},
+        readerConfigOptions={}, cdcApplyChanges=json.dumps({"keys": ["id"], "sequence_by": "s", "scd_type": "1"}),
+        dataQualityExpectations=json.dumps({"expect": {"a": "v = 'a'"}, "expect_or_drop": {"few": "id < 2"}}),
+    )
+    run = MedallionRun(spark, str(tmp_path / "lake"), buckets=2)
+    run.run("bronze", {"bronze": [bronze]})
+    assert rows(run.read(bronze)) == [(1, "b", 2)]
+
+
 def test_streaming_gold_target(spark, tmp_path):
     spark.range(6).write.parquet(str(tmp_path / "in"))
     bronze = BronzeSpec(

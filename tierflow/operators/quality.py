@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,11 @@ class RuleSet:
     fail: dict[str, str] = field(default_factory=dict)
     quarantine: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def counted(self) -> dict[str, str]:
+        """Rules whose violations are reported."""
+        return {**self.warn, **self.drop, **self.fail}
+
     def __bool__(self) -> bool:
         return bool(self.warn or self.drop or self.fail or self.quarantine)
 
@@ -71,10 +77,27 @@ def _counts(rules: dict[str, str]) -> list[Column]:
     return [F.count_if(~passes(r)).alias(n) for n, r in rules.items()]
 
 
-def expect(df: DataFrame, rules: dict[str, str], name: str = "expect") -> tuple[DataFrame, Observation]:
-    """Keep every row; the observation counts rows and violations per rule while the rows pass by."""
+def expect(df: DataFrame, rules: dict[str, str], name: str = "expect") -> tuple[DataFrame, Observation | None]:
+    """Keep every row and count rows and violations per rule while the rows pass by.
+
+    A batch returns the observation to ask. A stream reports under ``name`` in its progress instead, see
+    :func:`observed_counts`.
+    """
+    counts = [F.count(F.lit(1)).alias("rows"), *_counts(rules)]
+    if df.isStreaming:
+        return df.observe(name, *counts), None
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *_counts(rules)), seen
+    return df.observe(seen, *counts), seen
+
+
+def observed_counts(running: StreamingQuery, name: str) -> dict[str, int]:
+    """Rows and violations that the recent micro-batches of a stream reported, summed."""
+    total: dict[str, int] = {}
+    for progress in running.recentProgress:
+        found = progress["observedMetrics"].get(name)
+        for key, value in (found.asDict() if found else {}).items():
+            total[key] = total.get(key, 0) + value
+    return total
 
 
 def rule_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -119,11 +142,7 @@ class Checked:
 
 def apply_quality(df: DataFrame, rules: RuleSet, name: str = "quality") -> Checked:
     """Main rows, quarantined rows and the violation counts of all rules but quarantine."""
-    counted = {**rules.warn, **rules.drop, **rules.fail}
-    seen = None
-    main = df
-    if counted:
-        main, seen = expect(df, counted, name)
+    main, seen = expect(df, rules.counted, name) if rules.counted else (df, None)
     main = main.where(_kept(rules.drop, rules.fail)) if rules.drop or rules.fail else main
     return Checked(main, quarantine(df, rules.quarantine), seen)
 

@@ -15,7 +15,7 @@ from tierflow.operators.cdc import ChangeOptions, apply_changes
 from tierflow.operators.flatten import flatten_by_spec
 from tierflow.operators.messages import decode_messages
 from tierflow.operators.project import Hook, apply_hook, project_then_filter
-from tierflow.operators.quality import ROUTE, RuleSet, apply_quality
+from tierflow.operators.quality import ROUTE, RuleSet, apply_quality, observed_counts
 from tierflow.operators.snapshots import empty_history, snapshot_step_type1, snapshot_step_type2
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, Spec
 from tierflow.plans.views import ViewRegistry, build_targets
@@ -37,6 +37,8 @@ from tierflow.streaming.sinks import (
     write_checked,
 )
 
+LINK = "link"
+
 # Layer names a run accepts and the layers each stands for.
 LAYERS = {
     "bronze": ("bronze",),
@@ -70,6 +72,8 @@ class MedallionRun:
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.cipher, self.hooks, self.buckets = cipher, hooks or Hooks(), buckets
+        # Violations per table and rule, as the last run counted them.
+        self.violations: dict[str, dict[str, int]] = {}
 
     # --- tables ---
 
@@ -84,6 +88,8 @@ class MedallionRun:
     def open(self, path: str, streaming: bool = False) -> DataFrame:
         """Main rows of a table this engine has written, whichever sink it used."""
         names = children(self.spark, path)
+        if LINK in names:
+            return self._rejected(self.spark.read.text(f"{path}/{LINK}").first()[0])
         if "description" in names:
             df = open_changes(self.spark, path).read()
             if df is None:
@@ -98,12 +104,21 @@ class MedallionRun:
             main = read_path(self.spark, path, streaming)
         return main
 
-    def quarantine(self, spec: BronzeSpec) -> DataFrame:
-        path = self.path(spec.targetDetails)
+    def _rejected(self, path: str) -> DataFrame:
         if current_version(self.spark, path) is not None:
             return read_route(self.spark, path, "quarantine")
         return read_checked(self.spark, path, "quarantine")
 
+    def quarantine(self, spec: BronzeSpec) -> DataFrame:
+        return self._rejected(self.path(spec.targetDetails))
+
+    def _link_quarantine(self, spec: Spec) -> None:
+        """Let the quarantine table's own name lead to the rejected rows, which lie beside the main ones."""
+        details = getattr(spec, "quarantineTargetDetails", None)
+        if details and details.get("table"):
+            link = self.spark.createDataFrame([(self.path(spec.targetDetails),)], "value string")
+            link.coalesce(1).write.mode("overwrite").text(f"{self.path(details)}/{LINK}")
+
     def read(self, spec: Spec) -> DataFrame:
         """A target with the rows its append flows brought."""
         main = self.open(self.path(spec.targetDetails))
@@ -304,10 +319,14 @@ class MedallionRun:
         path, opts, rules = self.path(spec.targetDetails), spec.changes, spec.rules
         if opts:
             self._write_changes(df, spec, path, opts, rules)
-        elif rules and df.isStreaming:
-            checked_stream(df, rules, path, self.checkpoint(spec), spec.layout, spec.table).awaitTermination()
         elif rules:
-            write_checked(df, rules, path)
+            if df.isStreaming:
+                running = checked_stream(df, rules, path, self.checkpoint(spec), spec.layout, spec.table)
+                running.awaitTermination()
+                self.violations[spec.table] = observed_counts(running, spec.table)
+            else:
+                self.violations[spec.table] = write_checked(df, rules, path)
+            self._link_quarantine(spec)
         elif df.isStreaming:
             append_stream(df, path, self.checkpoint(spec), spec.layout, spec.table).awaitTermination()
         else:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators.project import where_all
-from tierflow.operators.quality import ROUTE, RuleSet, route_rows
+from tierflow.operators.quality import ROUTE, RuleSet, expect, route_rows
 from tierflow.sources.storage import exists, publish, read_published, touch
 from tierflow.sources.tables import read_path
 
@@ -108,9 +108,16 @@ def overwrite_merging(df: DataFrame, path: str) -> int:
 # --- checked tables: main and quarantine from one pass ------------------------------------------
 
 
-def write_checked(df: DataFrame, rules: RuleSet, path: str) -> int:
-    """Main and quarantine rows as one version: both appear together, or neither when a rule fails."""
-    return publish(route_rows(df, rules), path, [ROUTE])
+def write_checked(df: DataFrame, rules: RuleSet, path: str) -> dict[str, int]:
+    """Main and quarantine rows as one version: both appear together, or neither when a rule fails.
+
+    Returns the violation counts of the same pass.
+    """
+    seen = None
+    if rules.counted:
+        df, seen = expect(df, rules.counted, "checked")
+    publish(route_rows(df, rules), path, [ROUTE])
+    return seen.get if seen else {}
 
 
 def read_route(spark: SparkSession, path: str, route: str) -> DataFrame:
@@ -120,8 +127,13 @@ def read_route(spark: SparkSession, path: str, route: str) -> DataFrame:
 def checked_stream(
     df: DataFrame, rules: RuleSet, path: str, checkpoint: str, layout: Layout = Layout(), name: str | None = None
 ) -> StreamingQuery:
-    """Streaming form: one query and one exactly-once sink for both kinds of rows."""
+    """Streaming form: one query and one exactly-once sink for both kinds of rows.
+
+    The progress reports the violation counts under ``name``, or ``checked``.
+    """
     routed = Layout([ROUTE, *(layout.partition_by or [])])
+    if rules.counted:
+        df, _ = expect(df, rules.counted, name or "checked")
     return append_stream(route_rows(df, rules), path, checkpoint, routed, name)
 
 
