@@ -25,15 +25,15 @@ def snapshot_options(keys, scd_type="1", only=None, but=None) -> ChangeOptions:
     )
 
 
+def _twice(keys: list[str]) -> Column:
+    told = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]))
+    return F.raise_error(F.concat_ws(" ", F.lit("key occurs twice in a snapshot:"), told))
+
+
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` unchanged; a repeated key raises. Copies are combined before the shuffle."""
-    columns = df.columns
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("__r")
-    )
-    twice = F.raise_error(F.concat_ws(" ", F.lit("key occurs twice in a snapshot:"), F.to_json(F.struct(*keys))))
-    row = F.when(F.col("__n") == 1, F.col("__r")).otherwise(twice)
-    return grouped.select(row.alias("__r")).select("__r.*")
+    """``df`` unchanged; a repeated key raises."""
+    nr = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return df.withColumn("__nr", nr).where(F.when(F.col("__nr") == 1, True).otherwise(_twice(keys))).drop("__nr")
 
 
 def _differs(left: Column, right: Column, columns: list[str]) -> Column:
@@ -126,18 +126,22 @@ def apply_snapshots(
     columns = last.columns
     tracked = tracked_columns(columns, opts)
     rows = reduce(
-        DataFrame.unionByName,
-        (one_row_per_key(df, keys).withColumn("__v", F.lit(v).cast("bigint")) for df, v in series),
+        DataFrame.unionByName, (df.withColumn("__v", F.lit(v).cast("bigint")) for df, v in series)
     )
-    follower = F.create_map(*[F.lit(x).cast("bigint") for ab in zip(versions, versions[1:]) for x in ab]) if len(
-        versions
-    ) > 1 else F.create_map().cast("map<bigint,bigint>")
+    # What follows each version; the last one has no entry.
+    pairs = [F.lit(x).cast("bigint") for ab in zip(versions, versions[1:]) for x in ab]
+    follower = F.create_map(*pairs).cast("map<bigint,bigint>")
     per_key = Window.partitionBy(*keys).orderBy("__v")
     seen = F.struct("__v", *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(tracked)])
     rows = rows.withColumn("__prev", F.lag(seen).over(per_key))
-    gap = F.col("__prev").isNull() | (F.try_element_at(follower, F.col("__prev.__v")) != F.col("__v"))
+    before = F.col("__prev.__v")
+    gap = F.try_element_at(follower, before) != F.col("__v")
     same = [F.col(f"`{c}`").eqNullSafe(F.col("__prev")[f"c{i}"]) for i, c in enumerate(tracked)]
-    opens = gap | ~reduce(lambda a, b: a & b, same, F.lit(True))
+    opens = (
+        F.when(F.col("__prev").isNull(), True)
+        .when(before == F.col("__v"), _twice(keys).cast("boolean"))
+        .otherwise(gap | ~reduce(lambda a, b: a & b, same, F.lit(True)))
+    )
     rows = rows.withColumn("__from", F.max(F.when(opens, F.col("__v"))).over(per_key))
     versions_of = rows.groupBy(*keys, "__from").agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in columns]), "__v").alias("__row"), F.max("__v").alias("__last")
