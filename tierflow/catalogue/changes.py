@@ -214,6 +214,7 @@ def cdc_scd2_track_except(spark, sf):
     + _history_sql("band", "arg_max(band, seq) FILTER (WHERE NOT del) AS band").replace(
         "SELECT * EXCLUDE (nr, edge)", 'SELECT user_id, CAST(band AS BIGINT) AS band, "__START_AT", "__END_AT"'
     ),
+    nullable=("__END_AT", "band"),
 )
 def cdc_scd2_ignore_nulls(spark, sf):
     feed = _sparse(spark, sf).withColumn("band", F.floor(F.col("value") / 100))
@@ -348,19 +349,19 @@ def _end_sql(tracked: list[str]) -> str:
 _ALL = ["o_custkey", "o_orderstatus", "o_totalprice"]
 
 
-@query("snapshot_scd2", _end_sql(_ALL))
+@query("snapshot_scd2", _end_sql(_ALL), nullable=("__END_AT",))
 def snapshot_scd2(spark, sf):
     return apply_snapshots(_snapshots(spark, sf), ["o_orderkey"], 2)
 
 
-@query("snapshot_scd2_track_history", _end_sql(["o_orderstatus"]))
+@query("snapshot_scd2_track_history", _end_sql(["o_orderstatus"]), nullable=("__END_AT",))
 def snapshot_scd2_track_history(spark, sf):
     return apply_snapshots(
         _snapshots(spark, sf), ["o_orderkey"], 2, track_history_column_list=["o_orderstatus"]
     )
 
 
-@query("snapshot_scd2_stepwise", _end_sql(["o_orderstatus"]))
+@query("snapshot_scd2_stepwise", _end_sql(["o_orderstatus"]), nullable=("__END_AT",))
 def snapshot_scd2_stepwise(spark, sf):
     series = _snapshots(spark, sf)
     opts = snapshot_options(["o_orderkey"], 2, ["o_orderstatus"])

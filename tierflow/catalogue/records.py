@@ -67,6 +67,7 @@ def flatten_array_named(spark, sf):
     SELECT o_orderkey AS root__o_orderkey, o_custkey AS root__o_custkey, nr AS root__lines__nr, part AS root__lines__part,
       price AS root__lines__terms__price, rank AS root__lines__terms__rank FROM """
     + _LINES_SQL.format(kind="LEFT"),
+    nullable=("root__lines__nr", "root__lines__part", "root__lines__terms__rank"),
 )
 def flatten_outer(spark, sf):
     rows = _nested_orders(spark, sf).select(F.struct("o_orderkey", "o_custkey", "lines").alias("root"))
@@ -107,6 +108,7 @@ def flatten_scalar_named(spark, sf):
     SELECT e.event_id AS root__event_id, a.x AS root__letters, b.y AS root__numbers
     FROM events e LEFT JOIN (VALUES (0, 'a'), (0, 'b'), (1, 'c')) a(m, x) ON e.event_id % 3 = a.m
     LEFT JOIN (VALUES (0, 1), (0, 2)) b(m, y) ON e.event_id % 2 = b.m""",
+    nullable=("root__numbers",),
 )
 def flatten_two_arrays(spark, sf):
     rows = load(spark, sf, "events").selectExpr(
@@ -192,6 +194,7 @@ def header_filter_hex(spark, sf):
       CASE WHEN ok THEN CAST(json_extract_string(b, '$.ticket.ticketId') AS BIGINT) END AS ticket_id,
       CASE WHEN ok THEN CAST(json_extract_string(b, '$.ticket.legs[0].odds') AS DOUBLE) END AS first_odds, CAST(NULL AS VARCHAR) AS absent
     FROM (SELECT event_id, b, coalesce(json_valid(b), false) AS ok FROM (SELECT event_id, {_BODY_SQL} AS b FROM events))""",
+    nullable=("ticket_id",),
 )
 def json_paths(spark, sf):
     rows = records(load(spark, sf, "events")).select(F.col("offset").alias("event_id"), decode.payload_text(F.col("value")).alias("body"))
@@ -248,6 +251,7 @@ def delimited_split(spark, sf):
       CASE WHEN event_id % 4 <> 0 THEN CAST(event_id % 3 AS INT) END AS ab_cancel_type,
       CASE WHEN event_id % 4 <> 0 THEN CAST(user_id AS VARCHAR) END AS second_field, event_id % 4 <> 0 AS is_valid, 'value' AS payload
     FROM events""",
+    nullable=("ab_cancel_type", "ab_field_count"),
 )
 def translator_columns(spark, sf):
     rows = records(load(spark, sf, "events"))
@@ -282,6 +286,7 @@ _ROUTED_SQL = f"""
       CASE WHEN event_id % 2 = 0 THEN user_id END AS headerVersionNumber, l.odds AS ticket__legs__odds
     FROM p LEFT JOIN (SELECT event_id AS id, value AS odds FROM events UNION ALL SELECT event_id, 1.5 FROM events) l ON p.ok AND l.id = p.event_id
     WHERE NOT ok OR (sport = '1' AND (status = '2' OR activity = '1'))""",
+    nullable=("headerVersionNumber", "headeractivityType", "headerticketStatus", "ticket__ticketId"),
 )
 def decode_messages_json(spark, sf):
     rows = records(load(spark, sf, "events"))

@@ -117,6 +117,7 @@ _RAW_LINE = """concat('{"id":', CAST(event_id AS STRING), ',"user":', CASE WHEN
       CASE WHEN ok AND event_id % 3 = 0 THEN 'x' || event_id END AS more,
       CASE WHEN ok AND event_id % 5 = 0 THEN json_extract_string(line, '$.user') END AS odd_user
     FROM j""",
+    nullable=("id", "user"),
 )
 def rescued_data(spark, sf):
     lines = load(spark, sf, "events").select("event_id", F.expr(_RAW_LINE).alias("line"))
@@ -172,6 +173,7 @@ def snapshot_source(spark, sf):
 @query(
     "seed_rows",
     "SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT 999, 'dummy', NULL",
+    nullable=("n_regionkey",),
 )
 def seed_rows(spark, sf):
     return add_seed_rows(load(spark, sf, "nation"), [{"n_nationkey": 999, "n_name": "dummy"}])

@@ -20,7 +20,7 @@ _BET_LINE = """CASE WHEN o_orderkey % 97 = 0 THEN 'garbage' ELSE concat('BET ',
 _CENTRE = "CASE o_orderkey % 4 WHEN 0 THEN concat(o_orderkey % 10, '01') WHEN 1 THEN 'A12' END"
 _TERMINAL = """CASE l_orderkey % 8 WHEN 0 THEN 'IBT' WHEN 1 THEN 'IOSBS' WHEN 2 THEN 'JCBWEKBA' WHEN 3 THEN 'JCBW' WHEN 4 THEN 'IBUT'
     WHEN 5 THEN 'MASBAI' WHEN 6 THEN 'OTHER' END"""
-_SYSTEM = """CASE l_linenumber % 7 WHEN 0 THEN 'ACP01' WHEN 1 THEN 'ACP02' WHEN 2 THEN 'AGP01' WHEN 3 THEN 'AGP02' WHEN 4 THEN 'AGP03' WHEN 5 THEN 'AGP04' END"""
+_SYSTEM = """CASE l_linenumber % 7 WHEN 0 THEN 'ACP01' WHEN 1 THEN 'ACP02' WHEN 2 THEN 'AGP01' WHEN 3 THEN 'AGP02' WHEN 4 THEN 'AGP03' ELSE 'AGP04' END"""
 _POOL_TYPE = "CASE l_linenumber % 4 WHEN 0 THEN 'ALUP' WHEN 1 THEN 'WIN' WHEN 2 THEN '' END"
 
 
@@ -159,7 +159,7 @@ def segment_snapshot(spark, sf):
     return gold.segment_snapshot(_segments(spark, sf))
 
 
-@query("fixed_odds_events", f"WITH {_ACCOUNTS_SQL}, {_FO_SQL} SELECT * FROM fo")
+@query("fixed_odds_events", f"WITH {_ACCOUNTS_SQL}, {_FO_SQL} SELECT * FROM fo", nullable=("customer_id", "first_race_no", "last_race_no", "race_no"))
 def fixed_odds_events(spark, sf):
     return _plain(_fixed_odds(spark, sf))
 
@@ -176,7 +176,7 @@ def fixed_odds_target(spark, sf):
     return _plain(target.select("ticketid", "systemcode", "channel", "ttl_cost", "cancelled", "sell_time"))
 
 
-@query("pool_events", f"WITH {_ACCOUNTS_SQL}, {_POOL_SQL} SELECT * FROM pmu")
+@query("pool_events", f"WITH {_ACCOUNTS_SQL}, {_POOL_SQL} SELECT * FROM pmu", nullable=("customer_id", "first_race_no", "fo_flag", "last_race_no", "race_no"))
 def pool_events(spark, sf):
     return _plain(_pool(spark, sf))
 
@@ -216,7 +216,8 @@ def _register_counts() -> None:
         def run(spark, sf, which=which):
             return _plain(gold.customer_count(_bets(spark, sf), which))
 
-        query(f"customers_{which}", _count_sql(which))(run)
+        gaps = ("race_no",) if "race_no" in gold.CUSTOMER_COUNTS[which] else ()
+        query(f"customers_{which}", _count_sql(which), gaps)(run)
 
 
 _register_counts()
@@ -238,6 +239,7 @@ def customers_by_meeting_day(spark, sf):
     f"""{_BETS_SQL} SELECT meeting_location, {_DAY}, race_no, seg_team_cge_transformed, channel, bet_type, fo_flag,
       sum(CAST(ttl_cost AS DECIMAL(22,2)))::DOUBLE AS total_investment, CAST(count(DISTINCT ticketid) AS INT) AS total_ticket
     FROM bets GROUP BY meeting_location, bets.meeting_date, race_no, seg_team_cge_transformed, channel, bet_type, fo_flag""",
+    nullable=("race_no",),
 )
 def meeting_totals(spark, sf):
     return _plain(gold.meeting_totals(_bets(spark, sf)))
@@ -249,6 +251,7 @@ def meeting_totals(spark, sf):
     SELECT meeting_location, {_DAY}, last_race_no AS race_no, sum(CAST(ttl_cost AS DECIMAL(22,2)))::DOUBLE AS total_investment,
       CAST(count(DISTINCT ticketid) AS INT) AS total_ticket, max(sell_time) AS latest_sell_time
     FROM bets WHERE meeting_location IN (SELECT meeting_location FROM known WHERE meeting_location IS NOT NULL) GROUP BY meeting_location, bets.meeting_date, last_race_no""",
+    nullable=("race_no",),
 )
 def meeting_reconciliation(spark, sf):
     bets = _bets(spark, sf)
