@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -84,7 +85,7 @@ def pool_channel(
 
 def money(cents: Column) -> Column:
     """Amount in currency from an amount in cents."""
-    return (cents.cast("decimal(22,2)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(22,2)")
+    return (cents.cast("decimal(22,2)") * F.lit(Decimal("0.01"))).cast("decimal(22,2)")
 
 
 def ticket_number(sold_on: Column, system: Column, activity: Column) -> Column:

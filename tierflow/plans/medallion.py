@@ -22,7 +22,16 @@ from tierflow.plans.views import ViewRegistry, build_targets
 from tierflow.sources import kafka
 from tierflow.sources.files import FileSource, read_files, with_ingestion_time
 from tierflow.sources.schemas import ddl_schema
-from tierflow.sources.storage import children, current_version, exists, publish, read_published, touch
+from tierflow.sources.storage import (
+    children,
+    current_version,
+    exists,
+    get_text,
+    publish,
+    put_text,
+    read_published,
+    touch,
+)
 from tierflow.sources.tables import NextSnapshot, numbered_files, read_path, snapshot_series
 from tierflow.streaming.changes import apply_changes_stream, open_changes
 from tierflow.streaming.sinks import (
@@ -89,7 +98,7 @@ class MedallionRun:
         """Main rows of a table this engine has written, whichever sink it used."""
         names = children(self.spark, path)
         if LINK in names:
-            return self._rejected(self.spark.read.text(f"{path}/{LINK}").first()[0])
+            return self._rejected(get_text(self.spark, f"{path}/{LINK}"))
         if "description" in names:
             df = open_changes(self.spark, path).read()
             if df is None:
@@ -116,8 +125,7 @@ class MedallionRun:
         """Let the quarantine table's own name lead to the rejected rows, which lie beside the main ones."""
         details = getattr(spec, "quarantineTargetDetails", None)
         if details and details.get("table"):
-            link = self.spark.createDataFrame([(self.path(spec.targetDetails),)], "value string")
-            link.coalesce(1).write.mode("overwrite").text(f"{self.path(details)}/{LINK}")
+            put_text(self.spark, f"{self.path(details)}/{LINK}", self.path(spec.targetDetails))
 
     def read(self, spec: Spec) -> DataFrame:
         """A target with the rows its append flows brought."""
@@ -301,6 +309,7 @@ class MedallionRun:
             frames = build_targets(registry, targets, group[0].env or "dev", self.cipher, streaming)
             for spec in group:
                 self._write(apply_hook(frames[spec.table], self.hooks.transforms.get("gold"), spec), spec)
+                self._append_flows(spec)
                 written.append(spec.table)
         return written
 

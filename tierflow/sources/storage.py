@@ -29,6 +29,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop, True).close()
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file of pipeline state; it appears whole or not at all."""
+    target, fs = _resolve(spark, path)
+    draft = target.suffix(".part")
+    out = fs.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    fs.rename(draft, target)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    target, fs = _resolve(spark, path)
+    source = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def newest(spark: SparkSession, path: str, label: str) -> int | None:
     """Highest committed N among the directories ``label=N`` of ``path``."""
     start = f"{label}="

@@ -10,7 +10,8 @@ derives versions from the logged changes with the same plan as the batch operato
     log/batch=N/bucket=K         reduced changes of a micro-batch
     truncates/batch=N            its truncate point, if it has one
     table/version=N/bucket=K     published state (type 1) or versions (type 2)
-    manifest/version=N           which version holds each bucket
+    manifest/N.json              which version holds each bucket
+    description                  schema and options, for readers
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierflow.operators import cdc
 from tierflow.operators.cdc import ChangeOptions
 from tierflow.operators.ordering import HOT_KEY_ROWS, SMALL_INPUT_BYTES
-from tierflow.sources.storage import exists, newest
+from tierflow.sources.storage import children, exists, get_text, newest, put_text
 
 BUCKET = "bucket"
 
@@ -77,11 +78,13 @@ class ChangeTarget:
 
     def _manifest(self) -> tuple[int, dict[int, int]]:
         """Last published version and the version that holds each bucket."""
-        last = newest(self.spark, f"{self.path}/manifest", "version")
-        if last is None:
+        folder = f"{self.path}/manifest"
+        versions = [int(n.removesuffix(".json")) for n in children(self.spark, folder) if n.endswith(".json")]
+        if not versions:
             return -1, {}
-        rows = self.spark.read.schema("bucket int, held_by int").json(f"{self.path}/manifest/version={last}")
-        return last, {r["bucket"]: r["held_by"] for r in rows.collect()}  # at most `buckets` rows
+        last = max(versions)
+        told = json.loads(get_text(self.spark, f"{folder}/{last}.json"))
+        return last, {int(bucket): version for bucket, version in told.items()}
 
     def _table(self, held: dict[int, int]) -> DataFrame | None:
         if not held:
@@ -117,8 +120,7 @@ class ChangeTarget:
             rows = cdc.history(log, self.keys, self.stored, self.tracked, self.keep, **self.limits)
         self._bucketed(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/table/version={version}")
         held |= {b: version for b in touched}
-        manifest = self.spark.createDataFrame(sorted(held.items()), "bucket int, held_by int")
-        manifest.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/version={version}")
+        put_text(self.spark, f"{self.path}/manifest/{version}.json", json.dumps(held))
 
     # --- read ---
 
@@ -141,14 +143,13 @@ class ChangeTarget:
 
     def describe(self) -> None:
         """Leave what a reader needs to know beside the data."""
-        text = json.dumps({"schema": self.schema.jsonValue(), "options": asdict(self.opts), "buckets": self.buckets})
-        row = self.spark.createDataFrame([(text,)], "value string")
-        row.coalesce(1).write.mode("overwrite").text(f"{self.path}/description")
+        told = {"schema": self.schema.jsonValue(), "options": asdict(self.opts), "buckets": self.buckets}
+        put_text(self.spark, f"{self.path}/description", json.dumps(told))
 
 
 def open_changes(spark: SparkSession, path: str) -> ChangeTarget:
     """A change target that some stream has written."""
-    told = json.loads(spark.read.text(f"{path}/description").first()[0])
+    told = json.loads(get_text(spark, f"{path}/description"))
     return ChangeTarget(spark, path, T.StructType.fromJson(told["schema"]), ChangeOptions.of(told["options"]), told["buckets"])
 
 
