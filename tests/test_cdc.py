@@ -242,3 +242,8 @@ def test_names_ignore_case(spark):
     df = frame(spark, [(1, 1, "U", 1, 1), (1, 2, "U", 2, 2)])
     assert apply_changes(df, ["K"], "SEQ", 1, except_column_list=["OP"]).columns == ["k", "seq", "a", "b"]
 
+
+
+def test_streams_are_refused(spark):
+    with pytest.raises(ValueError, match="apply_changes_stream"):
+        apply_changes(spark.readStream.format("rate").load(), ["value"], "timestamp", 1)

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.functions.crypto import Cipher
 from tierflow.plans.medallion import Hooks, MedallionRun
@@ -100,6 +101,18 @@ def test_bronze_specs_of_both_layouts(spark, metadata):
     assert (two.version, two.createdBy, two.updatedBy) == ("v1", "ann", "ann")
 
 
+def test_schema_mapper_replaces_the_ddl_parser(spark, metadata):
+    seen = []
+
+    def mapper(path, session):
+        seen.append(path.rsplit("/", 1)[-1])
+        return T.StructType([T.StructField("mapped", T.StringType())])
+
+    specs = compile_specs(spark, str(metadata / "flows.json"), "bronze", "dev", "v1", "ann", mapper=mapper)
+    one = specs.where("dataFlowId = '1'").first()
+    assert json.loads(one.schema)["fields"][0]["name"] == "mapped" and set(seen) == {"people.ddl"}
+
+
 def test_silver_and_gold_specs(spark, metadata):
     (silver,) = compiled(spark, metadata, "silver").collect()
     assert silver.sourceDetails == {"database": "lake.raw", "table": "people"} and silver.whereClause == ["name <> 'X'"]

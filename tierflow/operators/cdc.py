@@ -383,6 +383,8 @@ def apply_changes(
 
     Takes either ready :class:`ChangeOptions` or the keys, the sequence and its keyword options.
     """
+    if df.isStreaming:
+        raise ValueError("a stream needs apply_changes_stream, which keeps state between batches")
     if isinstance(keys, ChangeOptions):
         opts = keys if not options else replace(keys, **options)
     else:

@@ -7,9 +7,11 @@ understood: nested (``bronze_dev.target_details.table``) and flat (``bronze_data
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.operators.keyed import duplicate_keys, keyed_merge
 from tierflow.operators.project import align
@@ -155,23 +157,30 @@ def _distinct(df: DataFrame, **cols: Column) -> dict[str, list[str]]:
     return found
 
 
-def _append_schemas(spark: SparkSession, text: str | None) -> dict[str, str]:
+SchemaMapper = Callable[[str, SparkSession], T.StructType]
+
+
+def _mapped(path: str, spark: SparkSession) -> T.StructType:
+    return ddl_schema(spark, path)
+
+
+def _append_schemas(spark: SparkSession, text: str | None, mapper: SchemaMapper) -> dict[str, str]:
     out = {}
     for flow in json.loads(text) if text else []:
         path = (flow.get("source_details") or {}).get("source_schema_path")
         if path:
-            out[flow["name"]] = ddl_schema(spark, path).json()
+            out[flow["name"]] = mapper(path, spark).json()
     return out
 
 
-def _with_side_files(df: DataFrame, flow: Flow) -> DataFrame:
+def _with_side_files(df: DataFrame, flow: Flow, mapper: SchemaMapper = _mapped) -> DataFrame:
     """Replace the paths of rule files, DDL files and append-flow schemas by what they hold."""
     spark = df.sparkSession
     bronze = flow.layer == "bronze"
     ddl = F.col("sourceDetails")["source_schema_path"] if bronze else F.lit(None).cast("string")
     found = _distinct(df, rules=F.col("dqPath"), flows=F.col("appendFlows"), ddl=ddl)
     rules = _lookup(found["rules"], lambda p: read_text(spark, p))
-    texts = {t: json.dumps(_append_schemas(spark, t)) for t in found["flows"]}
+    texts = {t: json.dumps(_append_schemas(spark, t, mapper)) for t in found["flows"]}
     schemas = _lookup(found["flows"], lambda t: texts[t])
     columns = {
         "dataQualityExpectations": rules[F.col("dqPath")],
@@ -180,7 +189,7 @@ def _with_side_files(df: DataFrame, flow: Flow) -> DataFrame:
         "appendFlows": F.regexp_replace("appendFlows", f'"source_path_{flow.env}":', '"path":'),
     }
     if bronze:
-        columns["schema"] = _lookup(found["ddl"], lambda p: ddl_schema(spark, p).json())[ddl]
+        columns["schema"] = _lookup(found["ddl"], lambda p: mapper(p, spark).json())[ddl]
     return df.withColumns(columns).drop("dqPath")
 
 
@@ -204,7 +213,8 @@ def _check(df: DataFrame, layer: str) -> DataFrame:
     return expect_or_fail(df, rules)
 
 
-def bronze_rows(df: DataFrame, env: str) -> DataFrame:
+def bronze_rows(df: DataFrame, env: str, mapper: SchemaMapper = _mapped) -> DataFrame:
+    """Bronze flows as spec rows; ``mapper`` turns a schema file into a schema, by default as DDL."""
     flow = Flow("bronze", env)
     column = F.coalesce(flow.at("column_to_extract", "array<string>"), F.array(flow.at("column_to_extract")))
     columns = {
@@ -221,7 +231,7 @@ def bronze_rows(df: DataFrame, env: str) -> DataFrame:
         "metadata": flow.at("metadata", _MAP),
     }
     rows = with_layer(df, "bronze", env).select(*[c.alias(n) for n, c in columns.items()])
-    return _check(_with_side_files(rows, flow), "bronze")
+    return _check(_with_side_files(rows, flow, mapper), "bronze")
 
 
 def silver_rows(df: DataFrame, env: str) -> DataFrame:
@@ -315,14 +325,16 @@ def add_audit_columns(df: DataFrame, version: str, author: str, now: Column | No
     )
 
 
-_ROWS = {"bronze": bronze_rows, "silver": silver_rows, "gold": gold_rows}
-
-
 def compile_specs(
-    spark: SparkSession, path: str, layer: str, env: str, version: str, author: str, now: Column | None = None
+    spark: SparkSession, path: str, layer: str, env: str, version: str, author: str, now: Column | None = None,
+    mapper: SchemaMapper = _mapped,
 ) -> DataFrame:
     """Spec rows of one layer of an onboarding file."""
-    rows = _ROWS[layer](read_onboarding(spark, path), env)
+    flows = read_onboarding(spark, path)
+    if layer == "bronze":
+        rows = bronze_rows(flows, env, mapper)
+    else:
+        rows = silver_rows(flows, env) if layer == "silver" else gold_rows(flows, env)
     return align(add_audit_columns(rows, version, author, now), spec_schema(layer))
 
 
@@ -340,10 +352,11 @@ def store_specs(specs: DataFrame, path: str, overwrite: bool = True) -> int:
 
 
 def onboard(
-    spark: SparkSession, path: str, tables: dict[str, str], env: str, version: str, author: str, overwrite: bool = True
+    spark: SparkSession, path: str, tables: dict[str, str], env: str, version: str, author: str, overwrite: bool = True,
+    mapper: SchemaMapper = _mapped,
 ) -> dict[str, int]:
     """Compile and store every layer in ``tables`` (layer to spec-table path); returns table versions."""
     return {
-        layer: store_specs(compile_specs(spark, path, layer, env, version, author), where, overwrite)
+        layer: store_specs(compile_specs(spark, path, layer, env, version, author, mapper=mapper), where, overwrite)
         for layer, where in tables.items()
     }
