@@ -270,16 +270,16 @@ def stream_cdc_scd2(spark, sf):
 
 # --- snapshots ----------------------------------------------------------------------------------
 
-# Three snapshots of the orders: later ones miss some keys, edit some statuses and prices.
+# Three snapshots of the orders: each misses one priority, later ones edit some statuses and prices.
 SNAPSHOT_RULES = {
-    1: ("o_orderkey % 5 <> 0", "o_orderstatus", "o_totalprice"),
+    1: ("o_orderpriority <> '5-LOW'", "o_orderstatus", "o_totalprice"),
     2: (
-        "o_orderkey % 7 <> 0",
+        "o_orderpriority <> '1-URGENT'",
         "CASE WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END",
         "o_totalprice",
     ),
     4: (
-        "o_orderkey % 11 <> 0",
+        "o_orderpriority <> '3-MEDIUM'",
         "CASE WHEN o_orderkey % 6 = 0 THEN 'Y' WHEN o_orderkey % 4 = 0 THEN 'X' ELSE o_orderstatus END",
         "o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END",
     ),
@@ -377,8 +377,8 @@ def snapshot_scd2_stepwise(spark, sf):
 @query(
     "keyed_merge",
     """
-    WITH up AS (SELECT c_custkey + CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE 1000000 END AS c_custkey, c_name || ' new' AS c_name,
-                  c_nationkey, c_acctbal + 1 AS c_acctbal, 'MERGED' AS c_mktsegment FROM customer WHERE c_custkey % 3 = 0)
+    WITH up AS (SELECT CASE WHEN c_nationkey < 12 THEN c_custkey ELSE -1 - c_custkey END AS c_custkey, c_name || ' new' AS c_name,
+                  c_nationkey, c_acctbal + 1 AS c_acctbal, 'MERGED' AS c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD'))
     SELECT coalesce(c.c_custkey, up.c_custkey) AS c_custkey, coalesce(up.c_name, c.c_name) AS c_name,
       coalesce(up.c_nationkey, c.c_nationkey) AS c_nationkey, coalesce(up.c_acctbal, c.c_acctbal) AS c_acctbal,
       coalesce(c.c_mktsegment, up.c_mktsegment) AS c_mktsegment
@@ -386,8 +386,8 @@ def snapshot_scd2_stepwise(spark, sf):
 )
 def merge_customers(spark, sf):
     target = load(spark, sf, "customer")
-    upserts = target.where("c_custkey % 3 = 0").selectExpr(
-        "c_custkey + CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE 1000000 END AS c_custkey",
+    upserts = target.where("c_mktsegment IN ('BUILDING', 'HOUSEHOLD')").selectExpr(
+        "CASE WHEN c_nationkey < 12 THEN c_custkey ELSE -1 - c_custkey END AS c_custkey",
         "c_name || ' new' AS c_name",
         "c_nationkey",
         "c_acctbal + 1 AS c_acctbal",

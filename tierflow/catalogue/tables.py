@@ -154,14 +154,15 @@ def inferred_schema_scan(spark, sf):
     return read_files(spark, FileSource(folder, "json", schema=schema))
 
 
-@query("snapshot_source", "SELECT r.v AS version, count(*) AS n FROM orders, (VALUES (1), (2), (3)) r(v) WHERE o_orderkey % r.v = 0 GROUP BY r.v")
+@query("snapshot_source", "SELECT r.v AS version, count(*) AS n FROM orders JOIN (VALUES (1), (2), (3)) r(v) ON CAST(left(o_orderpriority, 1) AS INT) >= r.v GROUP BY r.v")
 def snapshot_source(spark, sf):
     """Snapshots handed out by a callback until it has no more."""
     orders = load(spark, sf, "orders")
 
     def following(latest):
         version = (latest or 0) + 1
-        return (orders.where(F.col("o_orderkey") % version == 0), version) if version <= 3 else None
+        urgent = F.left("o_orderpriority", F.lit(1)).cast("int") >= version
+        return (orders.where(urgent), version) if version <= 3 else None
 
     out = None
     for df, version in snapshot_series(following):
