@@ -1,8 +1,8 @@
 """Change capture on a stream.
 
 Every micro-batch is reduced and appended to a log, bucketed by key hash: work and output follow the
-size of the batch alone. Publishing brings the target up to date and touches only buckets that got
-changes since the last time. Type 1 stores one mergeable state row per key, tombstones included; type 2
+size of the batch alone. Publishing brings the target up to date: it rewrites only buckets that got
+changes since the last time and computes only the keys that did. Type 1 stores one mergeable state row per key, tombstones included; type 2
 derives versions from the logged changes with the same plan as the batch operator, hot keys included.
 
 ::
@@ -16,7 +16,6 @@ derives versions from the logged changes with the same plan as the batch operato
 
 from __future__ import annotations
 
-
 import json
 from dataclasses import asdict
 
@@ -28,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators import cdc
 from tierflow.operators.cdc import ChangeOptions
-from tierflow.operators.ordering import HOT_KEY_ROWS, SMALL_INPUT_BYTES
+from tierflow.operators.ordering import HOT_KEY_ROWS, SMALL_INPUT_BYTES, null_safe
 from tierflow.sources.storage import children, exists, get_text, newest, put_text
 
 BUCKET = "bucket"
@@ -96,6 +95,9 @@ class ChangeTarget:
             return None
         return self.spark.read.option("basePath", base).parquet(*paths).drop("version")
 
+    def _matching(self, rows: DataFrame, names: DataFrame, how: str) -> DataFrame:
+        return rows.join(names, null_safe(rows, names, self.keys), how)
+
     # --- publish ---
 
     def publish(self) -> None:
@@ -109,16 +111,25 @@ class ChangeTarget:
         touched = [r[0] for r in delta.select(BUCKET).distinct().collect()]  # at most `buckets` rows
         if not touched:
             return
+        # Only keys with new changes are computed again. The other rows of a touched bucket are copied as
+        # they are, without a shuffle, since they lie in their buckets already.
+        names = delta.select(*self.keys).distinct()
+        older = self._table({b: v for b, v in held.items() if b in set(touched)})
         if self.opts.scd_type == "1":
-            older = self._table({b: v for b, v in held.items() if b in set(touched)})
             states = delta.drop(BUCKET)
             if older is not None:
-                states = states.unionByName(older.drop(BUCKET))
+                states = states.unionByName(self._matching(older, names, "left_semi").drop(BUCKET))
             rows = cdc.merge_states(states, self.keys, self.keep)
         else:
             log = self._logged(-1, version).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+            if older is not None:
+                log = self._matching(log, names, "left_semi")
             rows = cdc.history(log, self.keys, self.stored, self.tracked, self.keep, **self.limits)
-        self._bucketed(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/table/version={version}")
+        where = f"{self.path}/table/version={version}"
+        self._bucketed(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(where)
+        if older is not None:
+            rest = self._matching(older, names, "left_anti")
+            rest.write.mode("append").partitionBy(BUCKET).parquet(where)
         held |= {b: version for b in touched}
         put_text(self.spark, f"{self.path}/manifest/{version}.json", json.dumps(held))
 
