@@ -12,6 +12,7 @@ from tierflow.functions import decode
 from tierflow.functions.crypto import Cipher, decrypt_columns, encrypt_columns
 from tierflow.operators.flatten import flatten, flatten_by_spec
 from tierflow.operators.messages import add_seed_rows, decode_messages
+from tierflow.streaming.sinks import append_stream
 from tierflow.operators.project import apply_hook, expand, output_schema, trim_names, where_all
 
 
@@ -99,19 +100,13 @@ def test_unknown_kinds_and_seed_columns(spark):
         add_seed_rows(spark.range(1), [{"nope": 1}])
 
 
-def test_seed_row_on_a_stream(spark, tmp_path):
-    spark.range(5).write.parquet(str(tmp_path / "in"))
-    feed = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
-    seeded = add_seed_rows(feed, [{"id": 99}])
-    running = seeded.writeStream.format("memory").queryName("seeded").start()
-    try:
-        for _ in range(60):
-            running.processAllAvailable()
-            if spark.table("seeded").where("id = 99").count():
-                break
-    finally:
-        running.stop()
-    assert rows(spark.table("seeded")) == [(0,), (1,), (2,), (3,), (4,), (99,)]
+def test_seed_rows_come_once_on_a_stream(spark, tmp_path):
+    for _ in range(2):
+        spark.range(5).write.mode("append").parquet(str(tmp_path / "in"))
+        feed = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+        seeded = add_seed_rows(feed, [{"id": 98}, {"id": 99}], str(tmp_path / "seeds"))
+        append_stream(seeded, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r[0] for r in rows(spark.read.parquet(str(tmp_path / "out")))] == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4, 98, 99]
 
 
 def test_projection_helpers(spark):

@@ -339,12 +339,17 @@ def decode_messages_binary(spark, sf):
     "stream_decode",
     _ROUTED_SQL
     + """
-    SELECT event_id AS "kafkaOffset", sport AS sport_id, event_id AS ticket__ticketId FROM p WHERE ok AND sport = '1' AND (status = '2' OR activity = '1')""",
+    SELECT event_id AS "kafkaOffset", sport AS sport_id, event_id AS ticket__ticketId FROM p WHERE ok AND sport = '1' AND (status = '2' OR activity = '1')
+    UNION ALL SELECT -1, '0', NULL""",
+    nullable=("ticket__ticketId",),
 )
 def stream_decode(spark, sf):
-    """The same decoding on a stream, with the invalid messages dropped by rule."""
+    """The same decoding on a stream, with a seed row, and the invalid messages dropped by rule."""
     folder = work_dir(spark, "decode")
-    out = decode_messages(records(stream(spark, sf, "events")), "BET_FO", schema=BODY_DDL)
+    seeds = [{"kafkaOffset": -1, "sport_id": "0", "is_error": False}]
+    out = decode_messages(
+        records(stream(spark, sf, "events")), "BET_FO", schema=BODY_DDL, seed_rows=seeds, seed_folder=f"{folder}/seeds"
+    )
     good = expect_or_drop(out, {"valid_json": "is_error = false"})
     append_stream(
         good.selectExpr("kafkaOffset", "sport_id", "ticket.ticketId AS ticket__ticketId"), f"{folder}/out", f"{folder}/c"

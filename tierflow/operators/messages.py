@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +22,7 @@ from tierflow.functions.decode import (
 )
 from tierflow.operators.flatten import flatten
 from tierflow.operators.project import pinned
+from tierflow.session import scratch_dir
 
 # Output names of a record's position and the constants of the four known routes.
 RECORD_COLUMNS = {
@@ -133,26 +137,26 @@ def decode_binary_messages(
     )
 
 
-def add_seed_rows(df: DataFrame, rows: list[dict]) -> DataFrame:
+def add_seed_rows(df: DataFrame, rows: list[dict], folder: str | None = None) -> DataFrame:
     """Union constant rows by name; columns they lack are NULL, columns ``df`` lacks are an error.
 
-    On a stream the rows come from a rate source that is cut to one record, so that each appears once.
+    A stream reads them from a small table in ``folder``, by default below the shared scratch folder. The
+    stream's checkpoint remembers that file, so the rows come once, however often the query restarts.
     """
     unknown = sorted({k for r in rows for k in r} - set(df.columns))
     if unknown:
         raise ValueError(f"seed rows name unknown columns {unknown}")
-    spark = df.sparkSession
-
-    def literal(row: dict) -> list[Column]:
-        return [F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-
-    for row in rows:
-        if df.isStreaming:
-            one = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load().limit(1)
-        else:
-            one = spark.range(1)
-        df = df.unionByName(one.select(*literal(row)))
-    return df
+    one = df.sparkSession.range(1)
+    literals = [
+        one.select(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]) for row in rows
+    ]
+    seeds = reduce(DataFrame.unionByName, literals)
+    if df.isStreaming:
+        content = hashlib.sha1(json.dumps([rows, df.schema.json()], default=str, sort_keys=True).encode()).hexdigest()
+        path = f"{folder or scratch_dir(df.sparkSession) + '/tierflow-seeds'}/{content}"
+        seeds.coalesce(1).write.mode("ignore").parquet(path)
+        seeds = df.sparkSession.readStream.schema(df.schema).parquet(path)
+    return df.unionByName(seeds)
 
 
 def decode_messages(
@@ -163,6 +167,7 @@ def decode_messages(
     decoder: Callable[[Column], Column] | None = None,
     flatten_column: str | None = None,
     seed_rows: list[dict] | None = None,
+    seed_folder: str | None = None,
 ) -> DataFrame:
     """Decode, route, flatten once and add seed rows for one of the known message kinds."""
     if kind in JSON_ROUTES:
@@ -177,4 +182,4 @@ def decode_messages(
         raise ValueError(f"unknown message kind {kind!r}")
     if flatten_column is not None:
         out = flatten(out, flatten_column)
-    return add_seed_rows(out, seed_rows) if seed_rows else out
+    return add_seed_rows(out, seed_rows, seed_folder) if seed_rows else out

@@ -202,6 +202,7 @@ class MedallionRun:
                 decoder=self.hooks.decoder,
                 flatten_column=(column[0] if column else "") if wants_flat else None,
                 seed_rows=self.hooks.seed_rows.get(message),
+                seed_folder=f"{self.root}/_seeds/{spec.table}",
             )
         else:
             df = flatten_by_spec(df, spec.flattenNestedData, spec.columnToExtract)
