@@ -81,6 +81,19 @@ def test_rescued_files(spark, tmp_path):
     assert read_files(spark, source).where("_rescued_data IS NULL").count() == 2
 
 
+def test_rescued_csv_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n1,x\nbad,y\n3,z,extra\n")
+    source = FileSource(
+        str(tmp_path), "cloudFiles",
+        {"cloudFiles.format": "csv", "cloudFiles.rescuedDataColumn": "_rescued_data", "header": "true"},
+        T.StructType.fromDDL("id int, v string, _rescued_data string"),
+    )
+    got = rows(read_files(spark, source), "v", "_rescued_data")
+    assert got == [("x", None), ("y", "bad,y"), ("z", "3,z,extra")]
+    assert rows(read_files(spark, source).where("_rescued_data IS NULL"), "v") == [("x",)]
+    assert read_files(spark, source).where("_rescued_data IS NOT NULL").count() == 2
+
+
 def test_file_metadata_forms(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "t"))
     base = FileSource(str(tmp_path / "t"), "parquet", metadata={"select_metadata_cols": {"size": "_metadata.file_size"}})

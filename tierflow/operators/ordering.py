@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from tierflow.session import estimated_bytes, materialize
 
-HOT_KEY_ROWS = 5_000_000
+HOT_KEY_ROWS = 2_000_000
+# More runs than this would strain the shuffle; beyond it the runs grow instead.
+MAX_RUNS = 20_000
 # Below this optimizer estimate no key can be too large for one task, so the count is skipped.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
@@ -123,7 +125,7 @@ def split_runs(df: DataFrame, keys: list[str], order: str, rows_per_run: int, to
 
     Rows are written before the number is used, so that a lost executor cannot renumber them.
     """
-    parts = max(2, -(-total // rows_per_run))
+    parts = min(max(2, -(-total // rows_per_run)), MAX_RUNS)
     ranged = df.repartitionByRange(parts, *keys, order).withColumn(RUN, F.spark_partition_id())
     return materialize(ranged)
 

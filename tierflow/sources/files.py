@@ -78,11 +78,19 @@ def _load(spark: SparkSession, source: FileSource, streaming: bool) -> DataFrame
         return _load_rescued(spark, source, streaming)
     reader = (spark.readStream if streaming else spark.read).format(fmt).options(**options)
     schema = source.schema
-    if schema is None and (streaming or source.format == INCREMENTAL):
+    if schema is None and (streaming or source.format == INCREMENTAL or source.rescue_column):
         schema = infer_schema(spark, source)
+    if source.rescue_column and fmt == "csv":
+        # The reader keeps the raw line of a row that does not fit, if it parses the columns concerned.
+        kept = [f for f in schema.fields if f.name != source.rescue_column]
+        schema = T.StructType([*kept, T.StructField(source.rescue_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", source.rescue_column)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(source.path)
+    if source.rescue_column and fmt == "csv":
+        # Behind a generator every column is needed, whatever the query selects.
+        return df.select("_metadata", F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
     if source.rescue_column and source.rescue_column not in df.columns:
         df = df.withColumn(source.rescue_column, F.lit(None).cast("string"))
     return df
