@@ -1,13 +1,13 @@
 """Change capture on a stream.
 
-Every micro-batch is reduced and appended to a log, bucketed by key hash: work and output follow the
+Every micro-batch is appended to a log, bucketed by key hash: work and output follow the
 size of the batch alone. Publishing brings the target up to date: it rewrites only buckets that got
 changes since the last time and computes only the keys that did. Type 1 stores one mergeable state row per key, tombstones included; type 2
 derives versions from the logged changes with the same plan as the batch operator, hot keys included.
 
 ::
 
-    log/batch=N/bucket=K         reduced changes of a micro-batch
+    log/batch=N/bucket=K         changes of a micro-batch, for type 1 reduced to key states
     truncates/batch=N            its truncate point, if it has one
     table/version=N/bucket=K     published state (type 1) or versions (type 2)
     manifest/N.json              which version holds each bucket
@@ -59,10 +59,8 @@ class ChangeTarget:
         if self.opts.apply_as_truncates:
             points = cdc.truncate_point(changes).where("at IS NOT NULL")
             points.write.mode("overwrite").parquet(f"{self.path}/truncates/batch={batch_id}")
-        if self.opts.scd_type == "1":
-            rows = cdc.key_state(changes, self.keys, self.keep)
-        else:
-            rows = cdc.unique_changes(changes, self.keys)
+        # Type 2 needs every change; repeated ones are sorted out when versions are made.
+        rows = cdc.key_state(changes, self.keys, self.keep) if self.opts.scd_type == "1" else changes
         self._bucketed(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/log/batch={batch_id}")
 
     def _logged(self, above: int, upto: int) -> DataFrame | None:
