@@ -1,9 +1,10 @@
 """Change capture on a stream.
 
-Every micro-batch is appended to a log, bucketed by key hash: work and output follow the
-size of the batch alone. Publishing brings the target up to date: it rewrites only buckets that got
-changes since the last time and computes only the keys that did. Type 1 stores one mergeable state row per key, tombstones included; type 2
-derives versions from the logged changes with the same plan as the batch operator, hot keys included.
+Every micro-batch is appended to a log, bucketed by key hash: work and output follow the size of the
+batch alone. Publishing brings the target up to date: it rewrites only buckets that got changes since
+the last time and computes only the keys that did. Type 1 stores one mergeable state row per key,
+tombstones included; type 2 derives versions from the logged changes with the same plan as the batch
+operator, hot keys included.
 
 ::
 
