@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import table
+from tierflow.llm.decontaminate import find_items
+from tierflow.llm.mixing import mix
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
 
@@ -37,3 +39,81 @@ FROM sharded, crc_table
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+OP7_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    CASE WHEN coalesce(length(text), 0) = 0 THEN 1.0::DOUBLE
+      ELSE greatest(1 - (length(text) - length(translate(text, '#*$%&|<>', '')))::DOUBLE / length(text), 0.05::DOUBLE) END AS quality,
+    CASE WHEN doc_id IS NULL THEN -1 ELSE ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT END AS d
+  FROM documents
+),
+keyed AS (SELECT *, -ln((greatest(d, 0) + 0.5::DOUBLE) / 1152921504606846976::DOUBLE) / quality AS k FROM sized),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank, 3 * source_size AS cap FROM sources),
+weighed AS (SELECT *, rank % 3 + 1 AS weight FROM ranked),
+room AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, rank) AS place,
+    sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+    sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM weighed
+),
+free AS (SELECT place AS first, remaining AS r, weights AS w FROM room WHERE remaining * weight <= cap * weights ORDER BY place LIMIT 1),
+targets AS (
+  SELECT source, source_size, CASE WHEN place < coalesce(first, 2147483647) THEN cap::DOUBLE ELSE (weight * r)::DOUBLE / w::DOUBLE END AS target
+  FROM room LEFT JOIN free ON true
+),
+drawn AS (
+  SELECT doc_id, size, source_size, target,
+    coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY k, d, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs
+  FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  (size * (epochs + CASE WHEN epochs < 3 AND 2 * before + size <= 2 * (target - epochs * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM drawn
+"""
+
+
+@query("op7_weighted_mix", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH doc_words AS (
+  SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT row_number() OVER () AS rowid, * FROM documents)
+),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+patterns AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS p
+  FROM (SELECT *, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)
+),
+lengths AS (SELECT DISTINCT n FROM patterns),
+windows AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS p
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, lengths WHERE len(w) >= n)
+),
+hits AS (SELECT r, i, h.n, item_id FROM windows h JOIN patterns q ON h.n = q.n AND h.p = q.p),
+covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op10_wu_manber", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
+    )
