@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import table
 from tierflow.llm.decontaminate import find_items
 from tierflow.llm.mixing import mix
+from tierflow.llm.quality import quality_rules
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
 
@@ -117,3 +118,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
     )
+
+
+@query("op4_divergence_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
