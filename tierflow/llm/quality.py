@@ -33,7 +33,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 # Limits of the verdict.
 MOST_CLASS_DISTANCE = 0.30
-MOST_WORD_DISTANCE = 0.70
+MOST_WORD_DISTANCE = 0.31
 LEAST_CHARS = 200
 LEAST_WORDS = 100
 
