@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import table
 from tierflow.llm.decontaminate import find_items
 from tierflow.llm.mixing import mix
+from tierflow.llm.neardup import near_duplicates
 from tierflow.llm.quality import quality_rules
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
@@ -123,3 +124,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_divergence_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
+"""
+
+
+@query("op3_odd_sketch_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
