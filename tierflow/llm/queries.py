@@ -12,6 +12,8 @@ from tierflow.llm.neardup import near_duplicates
 from tierflow.llm.quality import quality_rules
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
+from tierflow.llm.substrings import remove_repeats
+#X shard_documents
 
 OP1_SQL = r"""
 WITH crc_table AS (
@@ -150,3 +152,25 @@ FROM w LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
 @query("op3_odd_sketch_dedup", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+windows AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM windows SEMI JOIN twice USING (h)),
+words AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY k) AS t FROM words ANTI JOIN gone USING (r, k) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+@query("op6_fm_index_repeats", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_words", "UTF-8"), 256).alias("kept_sha256"))
