@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import table
+from tierflow.llm.common import learned_from, table
 from tierflow.llm.decontaminate import find_items
+from tierflow.llm.languages import identify_languages
 from tierflow.llm.mixing import mix
 from tierflow.llm.neardup import near_duplicates
 from tierflow.llm.quality import quality_rules
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
 from tierflow.llm.substrings import remove_repeats
+from tierflow.llm.urls import PATTERN_RULES, filter_urls
 #X shard_documents
 
 OP1_SQL = r"""
@@ -174,3 +176,35 @@ FROM d LEFT JOIN kept USING (r)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_words", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def _url_pattern_sql() -> str:
+    return " OR ".join(f"regexp_matches(lower(url), '{r.pattern}')" for r in PATTERN_RULES)
+
+
+OP5_SQL = rf"""
+WITH p AS (
+  SELECT page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages
+),
+r(rule, h, p, v) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+best AS (
+  SELECT p.*, (SELECT arg_max({{'rule': rule, 'v': v}}, length(rule)) FROM r
+    WHERE (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.p)) AS b FROM p
+)
+SELECT page_id, host, path, b.rule AS rule,
+  coalesce(b.v, CASE WHEN coalesce({_url_pattern_sql()}, false) THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce({_url_pattern_sql()}, false) AS matched
+FROM best
+"""
+
+
+@query("op5_token_index", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op9_language_mixture")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"), learned_from("doc_id", 4, 2))
