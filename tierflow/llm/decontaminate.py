@@ -25,7 +25,13 @@ from tierflow.session import materialize
 # Lower-case A-Z, blank out every other ASCII byte that is no letter or digit.
 _WORD_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in ASCII_LOWER)
 
-FOUND = "words: long, hits: array<struct<first: int, last: int>>, items: array<long>"
+FOUND = T.StructType(
+    [
+        T.StructField("words", T.LongType()),
+        T.StructField("hits", T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]))),
+        T.StructField("items", T.ArrayType(T.LongType())),
+    ]
+)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -130,7 +136,7 @@ def _scan(docs: DataFrame, block: list[tuple[int, bytes]], width: int, keep: lis
             columns = [batch.column(c) for c in keep] + [pa.array(found, kind)]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "__found"])
 
-    schema = T.StructType([*docs.select([F.col(f"`{c}`") for c in keep]).schema.fields, T.StructField("__found", T._parse_datatype_string(f"struct<{FOUND}>"))])
+    schema = docs.select([F.col(f"`{c}`") for c in keep]).schema.add("__found", FOUND)
     given = docs.select(*[F.col(f"`{c}`") for c in keep], F.encode("text", "UTF-8").alias("__text"))
     return given.mapInArrow(search, schema)
 

@@ -14,6 +14,7 @@ from tierflow.llm.quality import quality_rules
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
 from tierflow.llm.substrings import remove_repeats
+from tierflow.llm.toxicity import score_toxicity
 from tierflow.llm.urls import PATTERN_RULES, filter_urls
 #X shard_documents
 
@@ -208,3 +209,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language_mixture")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"), learned_from("doc_id", 4, 2))
+
+
+@query("op2_weak_supervision")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learned_from("doc_id", 5, 0))
