@@ -14,6 +14,7 @@ from tierflow.llm.quality import quality_rules
 from tierflow.llm.registry import query
 from tierflow.llm.sharding import shard_documents
 from tierflow.llm.substrings import remove_repeats
+from tierflow.llm.surrogates import replace_personal_data
 from tierflow.llm.toxicity import score_toxicity
 from tierflow.llm.urls import PATTERN_RULES, filter_urls
 #X shard_documents
@@ -214,3 +215,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_weak_supervision")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learned_from("doc_id", 5, 0))
+
+
+@query("op8_surrogates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(table(spark, sf_dir, "documents"), F.lit("key of the published sample"))
