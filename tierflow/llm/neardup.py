@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierflow.llm.common import ASCII_LOWER
 from tierflow.llm.graphs import components
@@ -272,3 +273,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")
     )
     return out.unionByName(nameless)
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component (its smallest id) and every document without links, all columns.
+
+    Documents with a NULL id and those without words stay. Of rows that agree in id and text one stays.
+    """
+    judged = materialize(near_duplicates(docs, width, percent))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__id"))
+    if repeated.isEmpty():
+        return left
+    same = F.col("doc_id").cast("long") == F.col("__id")
+    number = F.row_number().over(Window.partitionBy("doc_id", F.md5(F.encode("text", "UTF-8"))).orderBy(F.lit(0)))
+    several = left.join(repeated, same, "left_semi").withColumn("__number", number)
+    once = several.filter((F.col("__number") == 1) | F.col("text").isNull()).select(*names)
+    return left.join(repeated, same, "left_anti").unionByName(once)
