@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +36,6 @@ def learned_from(doc_id: Column | str, modulus: int, held_out: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % modulus != held_out, F.lit(False))
 
 
-def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Drop columns whose names would clash, whatever their case."""
-    taken = {n.lower() for n in names}
-    return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-
-
 def pinned(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns behind a generator, so that later uses read the value instead of computing it again."""
     row = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))

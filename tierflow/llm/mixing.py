@@ -66,7 +66,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, qual
     u = (F.greatest(id_key("doc_id"), F.lit(0)) + 0.5) / float(2**KEY_BITS)
     computed = {"__size": word_count("text"), "__key": -F.log(u) / quality, "__d": id_key("doc_id")}
     if keep:
-        rows = pinned(docs, **computed)
+        packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", "text")
+        rows = pinned(packed, **computed).drop("doc_id", "text")
         narrow = materialize(rows.select("source", "__size", "__key", "__d"))
     else:
         rows = narrow = materialize(docs.select("doc_id", "source", *[c.alias(n) for n, c in computed.items()]))
@@ -92,7 +93,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, qual
     times = F.when(F.col("__size") > 0, epochs + F.when(more & (epochs < most), 1).otherwise(0)).otherwise(0)
     if keep:
         copies = drawn.withColumn("__times", times.cast("int")).filter("__times > 0")
-        return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select([F.col(f"`{c}`") for c in docs.columns])
+        return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select([F.col(f"row.`{c}`") for c in docs.columns])
     return drawn.select(
         "doc_id",
         F.col("__size").alias("size"),

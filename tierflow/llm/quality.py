@@ -168,6 +168,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     narrow = materialize(profile(docs.select("lang", "text")).select("lang", "__p"))
     known = references(narrow)
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), "text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "text")
     judged = judge(profile(rows).drop("text"), known)
-    return judged.filter("kept").select([F.col(f"__row.`{c}`") for c in names])
+    return judged.filter("kept").select([F.col(f"row.`{c}`") for c in names])

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tierflow.llm.common import KEY_BITS, id_key, pinned, uniform_key, without
+from tierflow.llm.common import KEY_BITS, id_key, pinned, uniform_key
 from tierflow.session import materialize
 
 STEP = 12
@@ -144,16 +144,15 @@ def shard_documents(docs: DataFrame, shards: int = 16, rows_per_part: int = 1_00
     below = [0, *[n for _, _, n in splitters.bounds]]
     offsets = [below[p] - below[p - p % per_shard] for p in range(shards * per_shard)]
     if keep:
-        source = without(docs, ["shard", "slot"])
+        source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
     else:
         source = docs.select("doc_id", "text", text_size().alias("size"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"))
-    placed = splitters.place(source)
-    if not keep:
-        placed = placed.drop("text")
+    placed = splitters.place(source).drop("text")
     number = F.row_number().over(Window.partitionBy("__part").orderBy("__h", "__d", "doc_id"))
     offset = F.element_at(F.lit(offsets), F.col("__part") + 1) if len(offsets) > 1 else F.lit(offsets[0])
+    names = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")] if keep else ["doc_id", "size", "text_crc32"]
     return placed.select(
-        *[F.col(f"`{c}`") for c in placed.columns if not c.startswith("__")],
+        *names,
         F.expr(f"cast(__part div {per_shard} as int)").alias("shard"),
         (number - 1 + offset).cast("long").alias("slot"),
     )
