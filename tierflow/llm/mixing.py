@@ -27,7 +27,7 @@ LEAST_QUALITY = 0.05
 def symbol_quality(text: str = "text") -> Column:
     """Share of the characters that are no symbols, at least 0.05; 1 for empty texts."""
     chars = F.length(text)
-    share = 1 - (chars - F.length(F.translate(text, SYMBOLS, ""))) / chars
+    share = 1 - F.try_divide(chars - F.length(F.translate(text, SYMBOLS, "")), chars)
     return F.coalesce(F.greatest(share, F.lit(LEAST_QUALITY)), F.lit(1.0))
 
 

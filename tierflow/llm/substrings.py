@@ -273,11 +273,15 @@ def repeated_passages(docs: DataFrame, width: int = 35, shard_words: int = SHARD
     flagged = texts.join(numbers, "key").select("doc", F.encode("text", "UTF-8").alias("text"), "numbers")
     hot = counts.filter("blocks > 1").select("anchor", "blocks")
     cut = _emit(flagged, width).join(hot, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    cut = _blocked(cut, "blocks", "content").repartition(shards, "anchor", "pair").select("doc", "first", "content")
+    cut = _blocked(cut, "blocks", "content").repartition(shards, "anchor", "pair").select("anchor", "pair", "doc", "first", "content")
 
     def search(batches):
-        rows = [(d, f, c) for b in batches for d, f, c in zip(*[b.column(k).to_pylist() for k in ("doc", "first", "content")])]
-        found = search_shard(rows, width) if rows else []
+        # A pair of blocks has rows that other pairs repeat, so it is searched by itself; all else makes one shard.
+        groups: dict[tuple, list] = {}
+        for b in batches:
+            for anchor, pair, *row in zip(*[b.column(k).to_pylist() for k in ("anchor", "pair", "doc", "first", "content")]):
+                groups.setdefault((anchor, pair) if pair else (), []).append(row)
+        found = [x for rows in groups.values() for x in search_shard(rows, width)]
         for at in range(0, len(found), 50_000):
             d, f, e = zip(*found[at : at + 50_000])
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.binary()), pa.array(f, pa.int32()), pa.array(e, pa.int32())], ["doc", "first", "end"])
