@@ -18,7 +18,7 @@ from tierflow.streaming.changes import ChangeTarget, open_changes
 
 DDL = "k int, seq int, op string, a int, b int"
 DEL = "op = 'D'"
-SPLIT = {"hot_key_rows": 3, "small_input_bytes": 0}
+SPLIT = {"hot_key_rows": 3}
 
 
 def frame(spark, events):
@@ -188,7 +188,7 @@ def test_null_keys_are_a_key(spark):
     df = frame(spark, [(None, 1, "U", 1, 1), (None, 2, "U", 2, 2), (1, 1, "U", 3, 3)])
     assert rows(apply_changes(df, ["k"], "seq", 1), "k", "a") == [(None, 2), (1, 3)]
     plain = rows(apply_changes(df, ["k"], "seq", 2))
-    assert rows(apply_changes(df, ["k"], "seq", 2, hot_key_rows=1, small_input_bytes=0)) == plain
+    assert rows(apply_changes(df, ["k"], "seq", 2, hot_key_rows=1)) == plain
 
 
 def test_struct_sequence_sorts_nulls_first(spark):
@@ -213,7 +213,7 @@ def test_hot_key_is_cut_into_runs(spark):
     """One key holds most rows; the split plan must not put them into one window group."""
     events = [(0 if i % 3 else i, i, "D" if i % 50 == 0 else "U", i // 7, i % 2) for i in range(600)]
     df = frame(spark, events)
-    assert type2(df, {"hot_key_rows": 40, "small_input_bytes": 0}) == brute_type2(events)
+    assert type2(df, {"hot_key_rows": 40}) == brute_type2(events)
 
 
 def test_option_checks():

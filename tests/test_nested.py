@@ -49,7 +49,8 @@ def test_name_may_appear_at_a_deeper_level(spark):
 
 def test_depth_guard_and_flags(spark):
     df = spark.sql("SELECT named_struct('a', named_struct('b', named_struct('c', 1))) AS s")
-    assert flatten(df, max_depth=0).columns == ["s__a"]
+    with pytest.raises(ValueError, match="nested deeper"):
+        flatten(df, max_depth=0)
     assert flatten_by_spec(df, "false", None).columns == ["s"]
     assert flatten_by_spec(df, "TRUE", []).columns == ["s__a__b__c"]
     assert spark.range(1).select().columns == flatten(spark.range(1).select()).columns

@@ -12,7 +12,7 @@ from tierflow.functions.crypto import Cipher
 from tierflow.plans.medallion import Hooks, MedallionRun
 from tierflow.plans.onboarding import compile_specs, onboard, read_onboarding, store_specs
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, load_specs, spec_schema
-from tierflow.sources.storage import current_version, read_published
+from tierflow.sources.storage import current_version, publish, read_published
 from tierflow.streaming.sinks import FanOutTarget, fan_out_stream
 
 RULES = {"expect_or_drop": {"has_id": "id IS NOT NULL"}, "expect_or_quarantine": {"no_id": "id IS NULL"}}
@@ -270,3 +270,59 @@ def test_fan_out_replay_replaces_its_batch(spark, tmp_path):
         fan_out_stream(feed, targets, str(tmp_path / "out"), str(tmp_path / checkpoint)).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "low")).count() == 2
     assert spark.read.parquet(str(tmp_path / "out" / "all")).count() == 4
+
+
+def test_cdc_keeps_counts_and_rejects(spark, tmp_path):
+    """Violations and changes without a sequence are reported and kept, in batch and stream."""
+    rows_in = [(1, 1, "a"), (1, None, "b"), (2, 5, None), (3, 7, "c")]
+    source = str(tmp_path / "in")
+    spark.createDataFrame(rows_in, "k int, seq int, v string").repartition(2).write.parquet(source)
+    for streaming in (False, True):
+        root = str(tmp_path / f"lake{streaming}")
+        spec = BronzeSpec(
+            "1", "g", targetDetails={"database": "raw", "table": "t"}, sourceFormat="parquet", sourceDetails={"path": source}, readerConfigOptions={},
+            schema=spark.read.parquet(source).schema.json(), dataQualityExpectations=json.dumps({"expect": {"has_v": "v IS NOT NULL"}}),
+            cdcApplyChanges=json.dumps({"keys": ["k"], "sequence_by": "seq", "scd_type": "1"}), isStreaming=str(streaming).lower(),
+        )
+        run = MedallionRun(spark, root, buckets=2)
+        run.run("bronze", {"bronze": [spec]})
+        assert (streaming, run.violations[spec.table]["has_v"], run.rejected[spec.table]) == (streaming, 1, 1)
+        assert rows(run.rejects(spec), "k", "v") == [(1, "b")]
+        assert run.read(spec).count() == 3
+
+
+def test_stream_counts_are_complete(spark, tmp_path):
+    """More micro-batches than a query's progress remembers."""
+    from tierflow.operators.quality import RuleSet, StreamCounts
+    from tierflow.streaming.sinks import checked_stream
+
+    source = str(tmp_path / "in")
+    spark.range(130).repartition(130).write.parquet(source)
+    feed = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        with StreamCounts(spark, "many") as counts:
+            running = checked_stream(feed, RuleSet(warn={"even": "id % 2 = 0"}), str(tmp_path / "out"), str(tmp_path / "cp"), name="many")
+            assert counts.of(running) == {"rows": 130, "even": 65}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_streams_over_published_tables_are_refused(spark, tmp_path):
+    run = MedallionRun(spark, str(tmp_path))
+    publish(spark.range(3), f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="cannot be read as a stream"):
+        run.open(f"{tmp_path}/t", streaming=True)
+
+
+def test_version_zero_and_gaps(spark, tmp_path):
+
+    from tierflow.sources.tables import numbered_files, snapshot_series
+
+    for n in (0, 1, 3):
+        spark.range(n + 1).write.parquet(f"{tmp_path}/in/load_{n}.parquet")
+    following = numbered_files(spark, f"{tmp_path}/in/load_{{version}}.parquet", "parquet")
+    assert [v for _, v in snapshot_series(following)] == [0, 1, 3]
+    assert publish(spark.range(1), f"{tmp_path}/t", version=0) == 0 and current_version(spark, f"{tmp_path}/t") == 0
+    assert publish(spark.range(2), f"{tmp_path}/t") == 1 and read_published(spark, f"{tmp_path}/t", 0).count() == 1

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.catalogue.shared import load, query, work_dir
-from tierflow.operators.cdc import ChangeOptions, apply_changes
+from tierflow.operators.cdc import ChangeOptions, apply_changes, rejected_changes
 from tierflow.operators.keyed import keyed_merge, latest_per_key
 from tierflow.operators.snapshots import (
     apply_snapshots,
@@ -268,6 +268,29 @@ def stream_cdc_scd2(spark, sf):
     return _run_changes(spark, sf, "stream-cdc2", opts, publish_every=1_000)
 
 
+# --- changes without a sequence ------------------------------------------------------------------
+
+_UNORDERED = "nullif(event_id % 7, 0)"
+_REJECTED_SQL = "SELECT event_id, user_id, event_type FROM events WHERE event_id % 7 = 0"
+
+
+@query("cdc_rejected_rows", _REJECTED_SQL)
+def cdc_rejected_rows(spark, sf):
+    """What a batch target cannot order lies beside it."""
+    return rejected_changes(load(spark, sf, "events"), ChangeOptions(("user_id",), _UNORDERED)).select("event_id", "user_id", "event_type")
+
+
+@query("stream_cdc_rejected_rows", _REJECTED_SQL)
+def stream_cdc_rejected_rows(spark, sf):
+    folder = work_dir(spark, "stream-rejects")
+    events = load(spark, sf, "events")
+    events.repartition(4).write.parquet(f"{folder}/in")
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    running, target = apply_changes_stream(feed, f"{folder}/out", f"{folder}/checkpoint", ChangeOptions(("user_id",), _UNORDERED), buckets=4, publish_every=4)
+    running.awaitTermination()
+    return target.rejects().select("event_id", "user_id", "event_type")
+
+
 # --- snapshots ----------------------------------------------------------------------------------
 
 # Three snapshots of the orders: each misses one priority, later ones edit some statuses and prices.

@@ -222,6 +222,43 @@ def layers_batch(spark, sf):
     return run.read(specs["gold"][0])
 
 
+@query("layers_batch_rerun", _RUN_SQL)
+def layers_batch_rerun(spark, sf):
+    """A second run over the same input leaves the same rows, in every layer."""
+    run, specs = _run(spark, sf, streaming=False)
+    before = {s.table: run.read(s).count() for layer in specs.values() for s in layer}
+    run.run("bronze_silver_gold", specs)
+    after = {s.table: run.read(s).count() for layer in specs.values() for s in layer}
+    if before != after:
+        raise AssertionError(f"a second run changed the tables: {before} became {after}")
+    return run.read(specs["gold"][0])
+
+
+@query("dq_partitioned", "SELECT event_id, event_type, value FROM events WHERE user_id IS NOT NULL")
+def dq_partitioned(spark, sf):
+    """A checked target in partitions: the folders of a type hold exactly its rows."""
+    run, spec = _partitioned(spark, sf)
+    folder = run.path(spec.targetDetails)
+    return spark.read.parquet(f"{folder}/v=1/__route=main").select("event_id", "event_type", "value")
+
+
+@query("quarantine_partitioned", "SELECT event_id, event_type, value FROM events WHERE value > 300")
+def quarantine_partitioned(spark, sf):
+    run, spec = _partitioned(spark, sf)
+    folder = run.path(spec.targetDetails)
+    return spark.read.parquet(f"{folder}/v=1/__route=quarantine").select("event_id", "event_type", "value")
+
+
+def _partitioned(spark, sf):
+    spec = BronzeSpec(
+        "1", "g", targetDetails=_details("raw.events"), sourceFormat="parquet", sourceDetails={"path": f"{sf}/events.parquet*"},
+        readerConfigOptions={}, dataQualityExpectations=_RULES, partitionColumns=["event_type"], isStreaming="false",
+    )
+    run = MedallionRun(spark, work_dir(spark, "partitioned"), cipher=_CIPHER)
+    run.run("bronze", {"bronze": [spec]})
+    return run, spec
+
+
 @query("layers_stream", _RUN_SQL)
 def layers_stream(spark, sf):
     run, specs = _run(spark, sf, streaming=True)

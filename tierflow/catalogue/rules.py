@@ -47,13 +47,16 @@ def dq_expect_metrics(spark, sf):
 
 @query(
     "dq_observed_metrics",
-    """
-    SELECT event_id, value, event_type FROM events WHERE user_id % 10 <> 3""",
+    " UNION ALL ".join(
+        [f"SELECT 'rows' AS rule, count(*)::BIGINT AS n FROM events"]
+        + [f"SELECT '{n}', count(*)::BIGINT FROM events WHERE ({r}) IS NOT TRUE" for n, r in EVENT_RULES.counted.items()]
+    ),
 )
 def dq_observed_metrics(spark, sf):
-    return apply_quality(load(spark, sf, "events"), EVENT_RULES, "dq_observed_metrics").main.select(
-        "event_id", "value", "event_type"
-    )
+    """What the pass that wrote the main rows counted on its way."""
+    checked = apply_quality(load(spark, sf, "events"), EVENT_RULES, "dq_observed_metrics")
+    checked.main.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(checked.metrics.get.items()), "rule string, n long")
 
 
 @query("dq_drop", "SELECT * FROM lineitem WHERE l_quantity > 5 AND l_discount < 0.08 AND l_returnflag IN ('A', 'R')")

@@ -12,6 +12,7 @@ from tierflow.operators.cdc import apply_changes
 from tierflow.operators.project import calendar_gate
 from tierflow.plans import gold
 from tierflow.plans.views import ViewRegistry, build_targets, view_chain
+from tierflow.session import materialize
 
 # --- derived inputs, once for Spark and once for DuckDB ------------------------------------------
 
@@ -203,10 +204,14 @@ def channel_case_map(spark, sf):
 _DAY = "strftime(bets.meeting_date, '%Y-%m-%d') AS meeting_date"
 
 
+# Count names of the configured views.
+_COUNT_NAMES = {"by_meeting_channel": "cust_count_distinct", "by_meeting_bet_type": "cust_count_distinct"}
+
+
 def _count_sql(which: str) -> str:
     keys = ", ".join(gold.CUSTOMER_COUNTS[which])
     shown = keys.replace("meeting_date", _DAY) if which in gold.COUNTS_BY_DATE else keys
-    return f"{_BETS_SQL} SELECT {shown}, count(DISTINCT customer_id) AS cnt_dstnct_customer_id FROM bets " + (
+    return f"{_BETS_SQL} SELECT {shown}, count(DISTINCT customer_id) AS {_COUNT_NAMES.get(which, 'cnt_dstnct_customer_id')} FROM bets " + (
         "WHERE bet_type IS NOT NULL OR bet_type <> '' " if which == "by_meeting_bet_type" else ""
     ) + "GROUP BY " + keys.replace("meeting_date", "bets.meeting_date")
 
@@ -248,7 +253,14 @@ def meeting_totals(spark, sf):
 
 @query(
     "meeting_reconciliation",
-    f"""{_BETS_SQL}, known AS (SELECT meeting_location FROM bets WHERE channel = 'TBAS' UNION SELECT meeting_location FROM bets WHERE bet_type = 'ALUP' AND fo_flag)
+    f"""{_BETS_SQL}, known AS (
+      SELECT meeting_location FROM (SELECT meeting_location, meeting_date, seg_team_cge_transformed FROM bets GROUP BY ALL)
+      UNION SELECT meeting_location FROM (SELECT meeting_location, meeting_date, seg_team_cge_transformed, channel FROM bets GROUP BY ALL)
+      UNION SELECT meeting_location FROM (SELECT meeting_location, meeting_date, bet_type, fo_flag FROM bets WHERE bet_type IS NOT NULL OR bet_type <> '' GROUP BY ALL)
+      UNION SELECT meeting_location FROM (SELECT meeting_location, meeting_date, race_no, seg_team_cge_transformed FROM bets GROUP BY ALL)
+      UNION SELECT meeting_location FROM (SELECT meeting_location, meeting_date, race_no, channel FROM bets GROUP BY ALL)
+      UNION SELECT meeting_location FROM (SELECT meeting_location, meeting_date, race_no, bet_type, fo_flag FROM bets GROUP BY ALL)
+      UNION SELECT meeting_location FROM (SELECT meeting_location, meeting_date, race_no, seg_team_cge_transformed, channel, bet_type, fo_flag FROM bets GROUP BY ALL))
     SELECT meeting_location, {_DAY}, last_race_no AS race_no, sum(CAST(ttl_cost AS DECIMAL(22,2)))::DOUBLE AS total_investment,
       CAST(count(DISTINCT ticketid) AS INT) AS total_ticket, max(sell_time) AS latest_sell_time
     FROM bets WHERE meeting_location IN (SELECT meeting_location FROM known WHERE meeting_location IS NOT NULL) GROUP BY meeting_location, bets.meeting_date, last_race_no""",
@@ -256,7 +268,10 @@ def meeting_totals(spark, sf):
 )
 def meeting_reconciliation(spark, sf):
     bets = _bets(spark, sf)
-    others = [bets.where("channel = 'TBAS'"), bets.where("bet_type = 'ALUP' AND fo_flag")]
+    # The small published targets say which places are known; the bets are computed once and read from there.
+    bets = materialize(bets)
+    others = [materialize(gold.customer_count(bets, which)) for which in gold.CUSTOMER_COUNTS]
+    others.append(materialize(gold.meeting_totals(bets)))
     return _plain(gold.reconciliation(bets, others))
 
 

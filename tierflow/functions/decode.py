@@ -52,7 +52,7 @@ def validity_of(text: Column, parsed: Column) -> Column:
     return F.struct(
         bad.alias("is_error"),
         F.when(text.isNull(), "JSON string is null")
-        .when(bad, F.concat(F.lit("invalid JSON: "), F.left(text, F.lit(80))))
+        .when(bad, F.concat(F.lit("invalid JSON: "), text))
         .alias("error_details"),
     )
 
@@ -65,7 +65,7 @@ def register_json_validity(spark: SparkSession, name: str = "json_validity") ->
         RETURN named_struct(
           'is_error', try_parse_json(txt) IS NULL,
           'error_details', CASE WHEN txt IS NULL THEN 'JSON string is null'
-            WHEN try_parse_json(txt) IS NULL THEN concat('invalid JSON: ', left(txt, 80)) END)"""
+            WHEN try_parse_json(txt) IS NULL THEN concat('invalid JSON: ', txt) END)"""
     )
 
 

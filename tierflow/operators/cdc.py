@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 from tierflow.operators.ordering import (
     HOT_KEY_ROWS,
     RUN,
-    SMALL_INPUT_BYTES,
     KeyOrder,
     by_key_order,
 )
@@ -278,7 +277,6 @@ def history(
     keep_nulls: list[str],
     *,
     hot_key_rows: int = HOT_KEY_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Versions of every key from change rows as :func:`read_changes` makes them."""
     untracked = [c for c in schema.names if c not in keys and c not in tracked]
@@ -322,7 +320,6 @@ def history(
         lambda rows: unique_changes(rows, keys),
         body,
         hot_key_rows=hot_key_rows,
-        small_input_bytes=small_input_bytes,
     )
 
 
@@ -376,7 +373,6 @@ def apply_changes(
     scd_type: int | str = 1,
     *,
     hot_key_rows: int = HOT_KEY_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
     **options,
 ) -> DataFrame:
     """Target table of a change feed.
@@ -392,4 +388,4 @@ def apply_changes(
         opts = ChangeOptions(tuple(keys), sequence_by, scd_type, **named)
     if opts.scd_type == "1":
         return _type1(df, opts)
-    return _type2(df, opts, hot_key_rows=hot_key_rows, small_input_bytes=small_input_bytes)
+    return _type2(df, opts, hot_key_rows=hot_key_rows)

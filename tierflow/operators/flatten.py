@@ -82,7 +82,7 @@ def flatten(df: DataFrame, column: str = "", max_depth: int = MAX_DEPTH) -> Data
             if column:
                 raise ValueError(f"no column {column!r} to extract in {df.columns}")
             return df
-    return df
+    raise ValueError(f"nested deeper than {max_depth} levels: {df.schema.simpleString()}")
 
 
 def flatten_by_spec(df: DataFrame, flag: str | None, column: str | list[str] | None) -> DataFrame:

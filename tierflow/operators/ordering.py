@@ -15,13 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.session import estimated_bytes, materialize
+from tierflow.session import materialize
 
 HOT_KEY_ROWS = 2_000_000
-# More runs than this would strain the shuffle; beyond it the runs grow instead.
-MAX_RUNS = 20_000
-# Below this optimizer estimate no key can be too large for one task, so the count is skipped.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 RUN = "__run"
 
@@ -107,13 +103,12 @@ def hot_keys(
     keys: list[str],
     *,
     hot_key_rows: int = HOT_KEY_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame | None:
     """Keys with more rows than one task should hold, or None when there are none.
 
     The count is combined on the map side and reads only the key columns.
     """
-    if df.isStreaming or estimated_bytes(df) <= small_input_bytes:
+    if df.isStreaming:
         return None
     counted = df.groupBy(*keys).count().where(F.col("count") > hot_key_rows)
     found = materialize(counted.select(*keys, F.col("count").alias("__rows")))
@@ -125,7 +120,7 @@ def split_runs(df: DataFrame, keys: list[str], order: str, rows_per_run: int, to
 
     Rows are written before the number is used, so that a lost executor cannot renumber them.
     """
-    parts = min(max(2, -(-total // rows_per_run)), MAX_RUNS)
+    parts = max(2, -(-total // rows_per_run))
     ranged = df.repartitionByRange(parts, *keys, order).withColumn(RUN, F.spark_partition_id())
     return materialize(ranged)
 
@@ -138,14 +133,13 @@ def by_key_order(
     body,
     *,
     hot_key_rows: int = HOT_KEY_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Run ``body(rows, KeyOrder)`` over all rows, with hot keys on the split plan.
 
     ``collapse`` reduces ``df`` to one row per (keys, order). Ordinary keys are shuffled once, on the
     keys, for both steps; hot keys are collapsed on (keys, order) before they are cut into runs.
     """
-    hot = hot_keys(df, keys, hot_key_rows=hot_key_rows, small_input_bytes=small_input_bytes)
+    hot = hot_keys(df, keys, hot_key_rows=hot_key_rows)
     plain = KeyOrder(tuple(keys), order)
     if hot is None:
         return body(collapse(df.repartition(*keys)), plain)

@@ -7,12 +7,13 @@ rows as they came in, whatever the other rules do with them.
 from __future__ import annotations
 
 import json
+import threading
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 @dataclass(frozen=True)
@@ -81,7 +82,7 @@ def expect(df: DataFrame, rules: dict[str, str], name: str = "expect") -> tuple[
     """Keep every row and count rows and violations per rule while the rows pass by.
 
     A batch returns the observation to ask. A stream reports under ``name`` in its progress instead, see
-    :func:`observed_counts`.
+    :class:`StreamCounts`.
     """
     counts = [F.count(F.lit(1)).alias("rows"), *_counts(rules)]
     if df.isStreaming:
@@ -90,14 +91,49 @@ def expect(df: DataFrame, rules: dict[str, str], name: str = "expect") -> tuple[
     return df.observe(seen, *counts), seen
 
 
-def observed_counts(running: StreamingQuery, name: str) -> dict[str, int]:
-    """Rows and violations that the recent micro-batches of a stream reported, summed."""
-    total: dict[str, int] = {}
-    for progress in running.recentProgress:
-        found = progress["observedMetrics"].get(name)
-        for key, value in (found.asDict() if found else {}).items():
-            total[key] = total.get(key, 0) + value
-    return total
+class StreamCounts(StreamingQueryListener):
+    """Rows and violations of every micro-batch of one stream, summed as they are reported.
+
+    Use as a context in which the stream runs; a query's own progress only holds its last reports.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.total: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
+
+    def __enter__(self) -> StreamCounts:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(self.name)
+        if found:
+            for key, value in found.asDict().items():
+                self.total[key] = self.total.get(key, 0) + value
+
+    def onQueryTerminated(self, event) -> None:
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def of(self, running: StreamingQuery, patience: float = 60) -> dict[str, int]:
+        """The counts once ``running`` has ended and all of its reports are in."""
+        running.awaitTermination()
+        with self.news:
+            if not self.news.wait_for(lambda: str(running.runId) in self.ended, patience):
+                raise TimeoutError(f"the end of stream {self.name} was not reported")
+        return self.total
 
 
 def rule_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:

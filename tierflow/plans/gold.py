@@ -155,6 +155,9 @@ CUSTOMER_COUNTS = {
 }
 
 
+# The name of the count where it is not the usual one.
+COUNT_NAMES = {"by_meeting_channel": "cust_count_distinct", "by_meeting_bet_type": "cust_count_distinct"}
+
 # Counts that show the meeting date as a date. They still group by the full timestamp, as configured.
 COUNTS_BY_DATE = ("by_meeting_channel", "by_meeting_bet_type", "by_race_bet_type")
 
@@ -162,7 +165,7 @@ COUNTS_BY_DATE = ("by_meeting_channel", "by_meeting_bet_type", "by_race_bet_type
 def customer_count(bets: DataFrame, which: str) -> DataFrame:
     # As configured: this keeps empty bet types, too.
     source = bets.where("bet_type IS NOT NULL OR bet_type <> ''") if which == "by_meeting_bet_type" else bets
-    counted = distinct_customers(source, CUSTOMER_COUNTS[which])
+    counted = distinct_customers(source, CUSTOMER_COUNTS[which], COUNT_NAMES.get(which, "cnt_dstnct_customer_id"))
     if which in COUNTS_BY_DATE:
         counted = counted.withColumn("meeting_date", F.col("meeting_date").cast("date"))
     if which == "by_race_bet_type":

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tierflow.functions.crypto import Cipher, encrypt_columns, with_decrypted
-from tierflow.operators.cdc import ChangeOptions, apply_changes
+from tierflow.operators.cdc import ChangeOptions, apply_changes, rejected_changes
 from tierflow.operators.flatten import flatten_by_spec
 from tierflow.operators.messages import decode_messages
 from tierflow.operators.project import Hook, apply_hook, project_then_filter
-from tierflow.operators.quality import ROUTE, RuleSet, apply_quality, observed_counts
+from tierflow.operators.quality import ROUTE, RuleSet, StreamCounts, apply_quality
 from tierflow.operators.snapshots import empty_history, snapshot_step_type1, snapshot_step_type2
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, Spec
 from tierflow.plans.views import ViewRegistry, build_targets
@@ -36,17 +36,18 @@ from tierflow.sources.tables import NextSnapshot, numbered_files, read_path, sna
 from tierflow.streaming.changes import apply_changes_stream, open_changes
 from tierflow.streaming.sinks import (
     AppendFlow,
-    append_batch,
     append_stream,
     checked_stream,
     read_checked,
     read_flows,
     read_route,
+    replace_batch,
     run_append_flows,
     write_checked,
 )
 
 LINK = "link"
+REJECTS = "__rejects"
 
 # Layer names a run accepts and the layers each stands for.
 LAYERS = {
@@ -81,8 +82,9 @@ class MedallionRun:
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.cipher, self.hooks, self.buckets = cipher, hooks or Hooks(), buckets
-        # Violations per table and rule, as the last run counted them.
+        # Violations per table and rule, and changes without a sequence per table, as the last run counted them.
         self.violations: dict[str, dict[str, int]] = {}
+        self.rejected: dict[str, int] = {}
 
     # --- tables ---
 
@@ -94,11 +96,18 @@ class MedallionRun:
     def checkpoint(self, spec: Spec, what: str = "main") -> str:
         return f"{self.root}/_checkpoints/{spec.table}/{what}"
 
-    def open(self, path: str, streaming: bool = False) -> DataFrame:
-        """Main rows of a table this engine has written, whichever sink it used."""
+    def open(self, path: str, streaming: bool = False, options: dict | None = None) -> DataFrame:
+        """Main rows of a table this engine has written, whichever sink it used.
+
+        Published tables (batch and change-capture targets, snapshots) are replaced as a whole. A stream over one would bring
+        all its rows again, so it is refused.
+        """
         names = children(self.spark, path)
         if LINK in names:
             return self._rejected(get_text(self.spark, f"{path}/{LINK}"))
+        published = "description" in names or current_version(self.spark, path) is not None
+        if streaming and published:
+            raise ValueError(f"{path} is published version by version and cannot be read as a stream; read it as batch")
         if "description" in names:
             df = open_changes(self.spark, path).read()
             if df is None:
@@ -108,16 +117,21 @@ class MedallionRun:
             df = read_published(self.spark, path)
             return df.where(f"{ROUTE} = 'main'").drop(ROUTE) if ROUTE in df.columns else df
         if any(n.startswith(f"{ROUTE}=") for n in names):
-            main = read_checked(self.spark, path, "main", streaming)
-        else:
-            main = read_path(self.spark, path, streaming)
-        return main
+            return read_checked(self.spark, path, "main", streaming, options)
+        return read_path(self.spark, path, streaming, options=options)
 
     def _rejected(self, path: str) -> DataFrame:
         if current_version(self.spark, path) is not None:
             return read_route(self.spark, path, "quarantine")
         return read_checked(self.spark, path, "quarantine")
 
+    def rejects(self, spec: Spec) -> DataFrame:
+        """Changes that a change-capture target could not order."""
+        path = self.path(spec.targetDetails)
+        if "description" in children(self.spark, path):
+            return open_changes(self.spark, path).rejects()
+        return read_published(self.spark, f"{path}{REJECTS}")
+
     def quarantine(self, spec: BronzeSpec) -> DataFrame:
         return self._rejected(self.path(spec.targetDetails))
 
@@ -179,9 +193,9 @@ class MedallionRun:
 
     def _table(self, details, options, streaming) -> DataFrame:
         if details.get("path"):
-            return read_path(self.spark, details["path"], streaming)
+            return read_path(self.spark, details["path"], streaming, options=options)
         path = self.path({"database": details.get("source_database"), "table": details["source_table"]})
-        return self.open(path, streaming)
+        return self.open(path, streaming, options)
 
     def _records(self, kind, details, options, spec: BronzeSpec) -> DataFrame:
         if kind == "kafka":
@@ -282,9 +296,9 @@ class MedallionRun:
     # --- gold ---
 
     def _gold(self, specs: list[GoldSpec]) -> list[str]:
-        """All gold targets of one kind share their views; streaming and batch targets run apart."""
+        """All gold targets of one kind share their views. Streaming facts come first: batch targets may stand on them."""
         written = []
-        for streaming in (False, True):
+        for streaming in (True, False):
             group = [s for s in specs if s.streaming == streaming]
             if not group:
                 continue
@@ -331,31 +345,41 @@ class MedallionRun:
             self._write_changes(df, spec, path, opts, rules)
         elif rules:
             if df.isStreaming:
-                running = checked_stream(df, rules, path, self.checkpoint(spec), spec.layout, spec.table)
-                running.awaitTermination()
-                self.violations[spec.table] = observed_counts(running, spec.table)
+                with StreamCounts(self.spark, spec.table) as counts:
+                    running = checked_stream(df, rules, path, self.checkpoint(spec), spec.layout, spec.table)
+                    self.violations[spec.table] = counts.of(running)
             else:
-                self.violations[spec.table] = write_checked(df, rules, path)
+                self.violations[spec.table] = write_checked(df, rules, path, spec.layout)
             self._link_quarantine(spec)
         elif df.isStreaming:
             append_stream(df, path, self.checkpoint(spec), spec.layout, spec.table).awaitTermination()
         else:
-            append_batch(df, path, spec.layout)
+            replace_batch(df, path, spec.layout)
 
     def _write_changes(self, df, spec: Spec, path: str, opts: ChangeOptions, rules: RuleSet) -> None:
         """Warn, drop and fail rules stand in front of change capture; quarantine does not apply there."""
         mark = f"{self.checkpoint(spec, opts.flow_name or 'main')}.done"
         if opts.once and exists(self.spark, mark):
             return
-        checked = apply_quality(df, rules, spec.table).main if rules else df
+        result = apply_quality(df, rules, spec.table) if rules else None
+        checked = result.main if result else df
         if df.isStreaming:
-            query, target = apply_changes_stream(
-                checked, path, self.checkpoint(spec, opts.flow_name or "main"), opts, buckets=self.buckets, publish_every=1_000_000, name=spec.table
-            )
-            query.awaitTermination()
+            with StreamCounts(self.spark, spec.table) as counts:
+                query, target = apply_changes_stream(
+                    checked, path, self.checkpoint(spec, opts.flow_name or "main"), opts, buckets=self.buckets, publish_every=1_000_000, name=spec.table
+                )
+                seen = counts.of(query)
             target.publish()
+            self.rejected[spec.table] = target.rejects().count()
         else:
-            publish(apply_changes(checked, opts), path, spec.layout.partition_by)
+            # The rejects are written first: their pass also counts the violations, as it reads every row.
+            rejects = f"{path}{REJECTS}"
+            replace_batch(rejected_changes(checked, opts), rejects)
+            self.rejected[spec.table] = read_published(self.spark, rejects).count()
+            seen = result.metrics.get if result and result.metrics else {}
+            replace_batch(apply_changes(checked, opts), path, spec.layout)
+        if rules:
+            self.violations[spec.table] = seen
         if opts.once:
             touch(self.spark, mark)
 

@@ -87,9 +87,11 @@ def read_onboarding(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"onboarding files are JSON, got {path}")
     df = json_objects(spark, path)
     ids = df.select(F.try_variant_get("v", "$.data_flow_id", "string").alias("data_flow_id"))
-    twice = [r[0] for r in duplicate_keys(ids, ["data_flow_id"]).take(20)]
-    if twice:
-        raise ValueError(f"data_flow_id given more than once: {twice}")
+    twice = duplicate_keys(ids, ["data_flow_id"])
+    number = twice.count()
+    if number:
+        shown = [r[0] for r in twice.take(20)]
+        raise ValueError(f"{number} data_flow_id given more than once: {shown}{' and others' if number > len(shown) else ''}")
     return df
 
 

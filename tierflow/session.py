@@ -53,8 +53,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(spark)}/tierflow/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df``; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -63,9 +63,10 @@ def current_version(spark: SparkSession, path: str) -> int | None:
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, version: int | None = None) -> int:
     """Write ``df`` as the next (or a given, higher) version. ``df`` may read the current one."""
-    current = current_version(df.sparkSession, path) or 0
-    version = version or current + 1
-    if version <= current:
+    current = current_version(df.sparkSession, path)
+    if version is None:
+        version = 1 if current is None else current + 1
+    if current is not None and version <= current:
         raise ValueError(f"version {version} of {path} exists already")
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -75,7 +76,7 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, ver
 
 
 def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    version = version or current_version(spark, path)
+    version = current_version(spark, path) if version is None else version
     if version is None:
         raise FileNotFoundError(f"no published version under {path}")
     return spark.read.parquet(f"{path}/v={version}")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.functions.crypto import Cipher, decrypt_columns
 from tierflow.operators.project import where_all
+from tierflow.sources.storage import children
 
 
 def read_table(spark: SparkSession, name: str, options: dict[str, str] | None = None, streaming: bool = True) -> DataFrame:
@@ -61,15 +62,23 @@ def snapshot_series(next_snapshot: NextSnapshot, latest: int | None = None):
 
 
 def numbered_files(spark: SparkSession, pattern: str, format: str, options: dict | None = None, schema=None) -> NextSnapshot:
-    """Callback over files named by version, ``pattern`` holding ``{version}``."""
+    """Callback over files named by version, ``pattern`` holding ``{version}`` in its last part.
+
+    The lowest version above the last one comes next, so version 0 counts and a missing number hides nothing.
+    """
+    folder, _, name = pattern.rpartition("/")
+    before, _, after = name.partition("{version}")
+
+    def number(child: str) -> int | None:
+        inner = child[len(before) : len(child) - len(after)] if child.startswith(before) and child.endswith(after) else ""
+        return int(inner) if inner.isdecimal() else None
 
     def following(latest: int | None):
-        version = (latest or 0) + 1
-        path = pattern.format(version=version)
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        found = [n for n in map(number, children(spark, folder)) if n is not None]
+        version = min((n for n in found if latest is None or n > latest), default=None)
+        if version is None:
             return None
         reader = spark.read.format(format).options(**(options or {}))
-        return (reader.schema(schema) if schema else reader).load(path), version
+        return (reader.schema(schema) if schema else reader).load(pattern.format(version=version)), version
 
     return following

@@ -10,6 +10,7 @@ operator, hot keys included.
 
     log/batch=N/bucket=K         changes of a micro-batch, for type 1 reduced to key states
     truncates/batch=N            its truncate point, if it has one
+    rejects/batch=N              its rows without a sequence, as they came
     table/version=N/bucket=K     published state (type 1) or versions (type 2)
     manifest/N.json              which version holds each bucket
     description                  schema and options, for readers
@@ -20,7 +21,6 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +28,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierflow.operators import cdc
 from tierflow.operators.cdc import ChangeOptions
-from tierflow.operators.ordering import HOT_KEY_ROWS, SMALL_INPUT_BYTES, null_safe
+from tierflow.operators.ordering import HOT_KEY_ROWS, null_safe
 from tierflow.sources.storage import children, exists, get_text, newest, put_text
 
 BUCKET = "bucket"
+REJECTS = "rejects"
 
 
 class ChangeTarget:
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, opts: ChangeOptions, buckets: int = 64,
-        hot_key_rows: int = HOT_KEY_ROWS, small_input_bytes: int = SMALL_INPUT_BYTES,
+        hot_key_rows: int = HOT_KEY_ROWS,
     ):
         self.spark, self.path, self.opts, self.buckets = spark, path.rstrip("/"), opts, buckets
         self.schema = schema
@@ -46,7 +47,7 @@ class ChangeTarget:
         self.keep = cdc.null_keeping_columns(columns, opts)
         self.stored = cdc.stored_schema(schema, opts)
         self.tracked = cdc.tracked_columns(columns, opts)
-        self.limits = {"hot_key_rows": hot_key_rows, "small_input_bytes": small_input_bytes}
+        self.limits = {"hot_key_rows": hot_key_rows}
 
     # --- log ---
 
@@ -56,20 +57,32 @@ class ChangeTarget:
         return df.withColumn(BUCKET, number).hint("rebalance", F.col(BUCKET))
 
     def absorb(self, batch: DataFrame, batch_id: int) -> None:
-        changes = cdc.read_changes(batch, self.opts)
-        if self.opts.apply_as_truncates:
-            points = cdc.truncate_point(changes).where("at IS NOT NULL")
-            points.write.mode("overwrite").parquet(f"{self.path}/truncates/batch={batch_id}")
-        # Type 2 needs every change; repeated ones are sorted out when versions are made.
-        rows = cdc.key_state(changes, self.keys, self.keep) if self.opts.scd_type == "1" else changes
-        self._bucketed(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/log/batch={batch_id}")
+        # Held while it is written, so that rules in front of it count every row once.
+        batch.persist()
+        try:
+            rejected = cdc.rejected_changes(batch, self.opts)
+            rejected.write.mode("overwrite").parquet(f"{self.path}/{REJECTS}/batch={batch_id}")
+            changes = cdc.read_changes(batch, self.opts)
+            if self.opts.apply_as_truncates:
+                points = cdc.truncate_point(changes).where("at IS NOT NULL")
+                points.write.mode("overwrite").parquet(f"{self.path}/truncates/batch={batch_id}")
+            # Type 2 needs every change; repeated ones are sorted out when versions are made.
+            rows = cdc.key_state(changes, self.keys, self.keep) if self.opts.scd_type == "1" else changes
+            self._bucketed(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/log/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    def _has_rows(self, folder: str) -> bool:
+        """Whether some committed batch under ``folder`` holds a data file or a bucket."""
+        base = f"{self.path}/{folder}"
+        batches = [b for b in children(self.spark, base) if b.startswith("batch=")]
+        return any(n.startswith((f"{BUCKET}=", "part-")) for b in batches for n in children(self.spark, f"{base}/{b}"))
 
     def _logged(self, above: int, upto: int) -> DataFrame | None:
         """Logged rows of the batches in ``(above, upto]``; None while nothing is logged at all."""
-        try:
-            log = self.spark.read.parquet(f"{self.path}/log")
-        except AnalysisException:  # every batch so far was empty
+        if not self._has_rows("log"):  # every batch so far was empty
             return None
+        log = self.spark.read.parquet(f"{self.path}/log")
         return log.where((F.col("batch") > above) & (F.col("batch") <= upto)).drop("batch")
 
     # --- manifest ---
@@ -142,11 +155,16 @@ class ChangeTarget:
             return table if table is None else table.drop(BUCKET)
         return cdc.live_rows(table, self.keys, self.keep, self.stored, self._truncated_at())
 
+    def rejects(self) -> DataFrame:
+        """Every row so far that could not be ordered, with all columns of the source."""
+        if not self._has_rows(REJECTS):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{REJECTS}")
+
     def _truncated_at(self):
-        try:
-            points = self.spark.read.parquet(f"{self.path}/truncates")
-        except AnalysisException:  # no batch held a truncate
+        if not self._has_rows("truncates"):  # no batch held a truncate
             return None
+        points = self.spark.read.parquet(f"{self.path}/truncates")
         return points.agg(F.max("at")).scalar()
 
     # --- description ---
@@ -175,14 +193,14 @@ def apply_changes_stream(
     available_now: bool = True,
     interval: str | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
-    small_input_bytes: int = SMALL_INPUT_BYTES,
 ) -> tuple[StreamingQuery, ChangeTarget]:
     """Start the stream. With ``publish_every`` > 1 call ``target.publish()`` once the query has ended."""
     target = ChangeTarget(
-        stream.sparkSession, path, stream.schema, opts, buckets, hot_key_rows, small_input_bytes
+        stream.sparkSession, path, stream.schema, opts, buckets, hot_key_rows
     )
 
     target.describe()
+    target.publish()  # what a run before this one logged and did not publish
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         target.absorb(batch, batch_id)

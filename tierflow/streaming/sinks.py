@@ -81,6 +81,11 @@ def append_batch(df: DataFrame, path: str, layout: Layout = Layout()) -> None:
     writer.parquet(path)
 
 
+def replace_batch(df: DataFrame, path: str, layout: Layout = Layout()) -> int:
+    """A full recompute: the rows become the table's next version, so running again changes nothing."""
+    return publish(layout.arrange(df), path, layout.partition_by)
+
+
 def append_stream(
     df: DataFrame, path: str, checkpoint: str, layout: Layout = Layout(), name: str | None = None,
     available_now: bool = True, interval: str | None = None,
@@ -108,15 +113,18 @@ def overwrite_merging(df: DataFrame, path: str) -> int:
 # --- checked tables: main and quarantine from one pass ------------------------------------------
 
 
-def write_checked(df: DataFrame, rules: RuleSet, path: str) -> dict[str, int]:
+def write_checked(df: DataFrame, rules: RuleSet, path: str, layout: Layout = Layout()) -> dict[str, int]:
     """Main and quarantine rows as one version: both appear together, or neither when a rule fails.
 
+    Both lie in the layout's partitions and order, below their route.
+
     Returns the violation counts of the same pass.
     """
     seen = None
     if rules.counted:
         df, seen = expect(df, rules.counted, "checked")
-    publish(route_rows(df, rules), path, [ROUTE])
+    routed = Layout([ROUTE, *(layout.partition_by or [])], layout.cluster_by)
+    replace_batch(route_rows(df, rules), path, routed)
     return seen.get if seen else {}
 
 
@@ -137,8 +145,8 @@ def checked_stream(
     return append_stream(route_rows(df, rules), path, checkpoint, routed, name)
 
 
-def read_checked(spark: SparkSession, path: str, route: str, streaming: bool = False) -> DataFrame:
-    df = read_path(spark, path, streaming)
+def read_checked(spark: SparkSession, path: str, route: str, streaming: bool = False, options: dict | None = None) -> DataFrame:
+    df = read_path(spark, path, streaming, options=options)
     return df.where(F.col(ROUTE) == route).drop(ROUTE)
 
 
