@@ -259,6 +259,23 @@ def _partitioned(spark, sf):
     return run, spec
 
 
+@query(
+    "append_flow_creates_target",
+    """
+    SELECT c_custkey AS id FROM customer UNION ALL SELECT c_custkey FROM customer""",
+)
+def append_flow_creates_target(spark, sf):
+    """A target that only append flows fill: the first one may create it."""
+    flows = [
+        {"name": n, "source_format": "parquet", "source_details": {"path": f"{sf}/customer.parquet*"}, "create_streaming_table": str(n == "one").lower()}
+        for n in ("one", "two")
+    ]
+    spec = BronzeSpec("1", "g", targetDetails=_details("raw.people"), appendFlows=json.dumps(flows), isStreaming="true")
+    run = MedallionRun(spark, work_dir(spark, "created"))
+    run.run("bronze", {"bronze": [spec]})
+    return run.read(spec).select(F.col("c_custkey").alias("id"))
+
+
 @query("layers_stream", _RUN_SQL)
 def layers_stream(spark, sf):
     run, specs = _run(spark, sf, streaming=True)

@@ -143,13 +143,17 @@ class MedallionRun:
 
     def read(self, spec: Spec) -> DataFrame:
         """A target with the rows its append flows brought."""
-        main = self.open(self.path(spec.targetDetails))
+        path = self.path(spec.targetDetails)
         names = [f.name for f in spec.flows]
-        if not names:
-            return main
-        return main.unionByName(
-            read_flows(self.spark, f"{self.path(spec.targetDetails)}__flows", names), allowMissingColumns=True
-        )
+        brought = read_flows(self.spark, f"{path}__flows", names) if names else None
+        if brought is not None and self._flows_create(spec, path):
+            return brought
+        main = self.open(path)
+        return main if brought is None else main.unionByName(brought, allowMissingColumns=True)
+
+    def _flows_create(self, spec: Spec, path: str) -> bool:
+        """Whether a target without rows of its own is left to append flows that may create it."""
+        return not children(self.spark, path) and any(f.create_streaming_table for f in spec.flows)
 
     # --- run ---
 
@@ -223,6 +227,9 @@ class MedallionRun:
         return with_ingestion_time(df) if spec.wants_ingestion_time else df
 
     def _bronze(self, spec: BronzeSpec) -> None:
+        if not spec.sourceFormat and any(f.create_streaming_table for f in spec.flows):
+            self._append_flows(spec)
+            return
         if (spec.sourceFormat or "").lower() == "snapshot":
             self._snapshots(spec)
         else:
@@ -261,6 +268,9 @@ class MedallionRun:
     def _append_flows(self, spec: Spec) -> None:
         if not spec.flows:
             return
+        path = self.path(spec.targetDetails)
+        if not children(self.spark, path) and not self._flows_create(spec, path):
+            raise ValueError(f"{spec.table}: no append flow may create it (create_streaming_table), and it is not there")
         schemas = {k: T.StructType.fromJson(json.loads(v)) for k, v in (spec.appendFlowsSchemas or {}).items()}
 
         def read(flow: AppendFlow) -> DataFrame:
