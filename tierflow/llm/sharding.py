@@ -2,7 +2,7 @@
 
 Order: (key of the text, key of the id, id), both keys being 60 MD5 bits, so that equal texts lie together. The
 splitters are found by counting: each round counts the exact bytes and rows in the cells below every open splitter (12
-more bits of the key a round) and keeps the one cell in which it must lie, until the cell holds one row or
+more bits of the key a round) and keeps the one cell in which it must lie, until the cell holds one key or
 no more bytes than the tolerance. Counts combine before the shuffle, so a text that owns a third of all rows costs no more
 than another; its rows are cut by the bits of their ids. Then rows move once.
 
@@ -55,19 +55,19 @@ class Splitters:
             if not open_cells:
                 break
             counts: dict[tuple, list] = {c: [] for c in open_cells}
-            for cell, at, size, n in self._count(keys, level, list(open_cells)):
+            for cell, at, size, n, single in self._count(keys, level, list(open_cells)):
                 if cell in counts:
-                    counts[cell].append((at, size, n))
+                    counts[cell].append((at, size, n, single))
             next_cells, next_below = {}, {}
             for cell, numbers in open_cells.items():
                 for number in numbers:
                     size_below, rows_below = below[cell]
-                    for at, size, n in sorted(counts[cell]):
+                    for at, size, n, single in sorted(counts[cell]):
                         # The last cell that begins below the target holds the splitter.
                         if (size_below + size) * parts >= number * self.total:
                             break
                         size_below, rows_below = size_below + size, rows_below + n
-                    if n == 1 or size <= tolerance or level == 2 * LEVELS - 1:
+                    if single or size <= tolerance or level == 2 * LEVELS - 1:
                         found[number] = (*self._upper(level, cell, at), rows_below + n)
                     else:
                         key = self._name(level, cell, at)
@@ -91,21 +91,24 @@ class Splitters:
 
     @staticmethod
     def _count(keys: DataFrame, level: int, cells: list[tuple]):
+        """(cell, place, bytes, rows, whether all rows have one key) of the cells one level down."""
+        one_key = (F.min("h") == F.max("h")) & (F.min("d") == F.max("d"))
+        found = F.sum("size"), F.count("*"), one_key
         if level < LEVELS:
             shift = KEY_BITS - STEP * (level + 1)
             if level:
                 keys = keys.filter(F.shiftright("h", shift + STEP).isin([c[0] for c in cells]))
             counted = keys.groupBy(F.shiftright("h", shift).alias("at"))
-            for at, size, n in counted.agg(F.sum("size"), F.count("*")).toLocalIterator():
-                yield ((at >> STEP,) if level else ()), at, size, n
+            for at, size, n, single in counted.agg(*found).toLocalIterator():
+                yield ((at >> STEP,) if level else ()), at, size, n, single
         else:
             shift = KEY_BITS - STEP * (level + 1 - LEVELS)
             keys = keys.filter(F.col("h").isin([c[0] for c in cells]))
             if level > LEVELS:
                 keys = keys.filter(F.shiftright("d", shift + STEP).isin([c[1] for c in cells]))
             counted = keys.groupBy("h", F.shiftright("d", shift).alias("at"))
-            for h, at, size, n in counted.agg(F.sum("size"), F.count("*")).toLocalIterator():
-                yield ((h, at >> STEP) if level > LEVELS else (h,)), at, size, n
+            for h, at, size, n, single in counted.agg(*found).toLocalIterator():
+                yield ((h, at >> STEP) if level > LEVELS else (h,)), at, size, n, single
 
     def place(self, docs: DataFrame) -> DataFrame:
         """Add ``__h``, ``__d`` and ``__part``: the number of splitters at or below the row's key."""
