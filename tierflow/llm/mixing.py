@@ -54,7 +54,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: i
     return ranked.select("source", "source_size", "rank", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, quality: Column | None = None, bin_rows: int = 500_000, keep: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, quality: Column | None = None, bin_rows: int = 20_000, keep: bool = False) -> DataFrame:
     """Words that the mix takes of every document.
 
     Gives doc_id, size, source_size, target and taken, or with ``keep`` the input's rows and columns, each repeated as
