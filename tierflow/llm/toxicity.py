@@ -30,7 +30,9 @@ from tierflow.session import materialize
 LEXICON = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
 PREFIXES = range(4, 9)
 LEARNED_VOTERS = 150
+# A learned voter fires on at least so many marked toxic documents, and is right at least so often.
 LEAST_MARKED = 5
+LEAST_ACCURACY = 0.75
 ROUNDS = 15
 MOST_ROWS = 20_000
 # Times a mark counts against a posterior of an unmarked document.
@@ -81,7 +83,8 @@ def learn_voters(marked: DataFrame, most: int = LEARNED_VOTERS) -> list[bytes]:
         return []
     counts = given.mapInArrow(count, "form binary, clean long, toxic long").groupBy("form").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ratio = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
-    best = counts.filter((F.col("toxic") >= LEAST_MARKED) & (ratio > 2)).orderBy((ratio * F.sqrt("toxic")).desc(), "form").limit(most)
+    right = (F.col("toxic") + 1) / (F.col("toxic") + F.col("clean") + 2)
+    best = counts.filter((F.col("toxic") >= LEAST_MARKED) & (right >= LEAST_ACCURACY) & (ratio > 2)).orderBy((ratio * F.sqrt("toxic")).desc(), "form").limit(most)
     return sorted(bytes(r["form"]) for r in best.collect())
 
 
