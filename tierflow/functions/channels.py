@@ -30,12 +30,13 @@ POOL_TERMINALS = {
 }
 TBAS_SOURCE, TBAS_TERMINAL = 17, "TBAS"
 OLD_CENTRE_SOURCES, OLD_CENTRE_TERMINAL = (4, 19), "IBT"
-# Terminal codes that are not a telephone bet.
-KNOWN_TERMINALS = (
-    "AMBS CIT-3 CIT3 CIT-3A CIT3A CIT-5 CIT5 CIT6 CIT-8 CIT8 CIT-PDA CITPDA PDA EWIN E-WIN JCBW MANGO JCBWEKBA "
-    "MANGOCOMBO MANGODELUXE MPB TWM WLPDA ITV ITVBS IP-PHONE IPPHONE IPPBS APINOW IOSBS JCMOW AOSBS APISMC APITD "
-    "IBUT APIWC IBUA WOSBS MASBAI MASBAA"
-).split()
+# Terminal codes that are not a telephone bet.
+KNOWN_TERMINALS = [
+    "AMBS", "CIT-3", "CIT3", "CIT-3A", "CIT3A", "CIT-5", "CIT5", "CIT6", "CIT-8", "CIT8", "CIT-PDA", "CITPDA",
+    "PDA", "EWIN", "E-WIN", "JCBW", "MANGO", "JCBWEKBA", "MANGOCOMBO", "MANGODELUXE", "MPB", "TWM", "WLPDA",
+    "ITV", "ITVBS", "IP-PHONE", "IPPHONE", "IPPBS", "APINOW", "IOSBS", "JCMOW", "AOSBS", "APISMC", "APITD",
+    "IBUT", "APIWC", "IBUA", "WOSBS", "MASBAI", "MASBAA",
+]
 VOICE, OTHER = "TB Voice", "NA"
 PLACES = {1: "ST", 2: "HV", 3: "X1", 4: "X2", 5: "S1", 6: "S2", 7: "S3", 8: "S4", 9: "S5", 10: "CH"}
 SYSTEMS = {"ACP01": 20, "ACP02": 21, "AGP01": 17, "AGP02": 18, "AGP03": 19, "AGP04": 1}

@@ -17,6 +17,7 @@ from tierflow.operators.project import pinned
 # Placeholders in cancelled rows.
 NO_CUSTOMER, NO_COST, NO_TICKET = 9999999, "999999.99", 9999999
 
+# Columns of the bet facts.
 BET_COLUMNS = [
     "meeting_location", "meeting_date", "seg_team_cge_transformed", "channel", "bet_type", "race_no", "first_race_no",
     "last_race_no", "fo_flag", "account_no", "customer_id", "ttl_cost", "cancelled", "cancelled_amount", "ticketid",
@@ -203,13 +204,18 @@ def reconciliation(bets: DataFrame, others: list[DataFrame]) -> DataFrame:
 
 
 # Layout of a product-offer message and the paths that must hold a value.
-OFFER_FIELDS = "crtAt crtBy id mtgDate mtgId pdtId prvStatus raceId raceSeq status updAt updBy".split()
+OFFER_FIELDS = [
+    "crtAt", "crtBy", "id", "mtgDate", "mtgId", "pdtId", "prvStatus", "raceId", "raceSeq", "status", "updAt",
+    "updBy",
+]
 OFFER_DDL = (
     "body struct<entyGrps: array<struct<entys: array<struct<"
     + ", ".join(f"{f}: {'bigint' if f == 'raceSeq' else 'string'}" for f in OFFER_FIELDS)
     + ">>>>>"
 )
-OFFER_REQUIRED = "id status mtgId mtgDate raceId raceSeq pdtId crtAt crtBy".split()
+OFFER_REQUIRED = [
+    "id", "status", "mtgId", "mtgDate", "raceId", "raceSeq", "pdtId", "crtAt", "crtBy",
+]
 OFFER_COLUMNS = {
     "product_offer_id": "id",
     "product_offer_status": "status",
