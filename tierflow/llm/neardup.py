@@ -255,8 +255,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         F.ceil(F.greatest(F.count("*") / CLUSTER_BLOCK_DOCS, F.sum("n_shingles") / CLUSTER_BLOCK_SHINGLES)).alias("blocks")
     )
     placed = _blocked(sized.join(blocks, "cluster"), "blocks", "doc_id")
+    # The ids grow with the input, so they are never broadcast: one plan at every size.
     texts = placed.select("cluster", "pair", "doc_id", "n_shingles").join(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("text")), "doc_id"
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("text")).hint("merge"), "doc_id"
     )
     texts = texts.select("cluster", "pair", "doc_id", "n_shingles", "text").repartition("cluster", "pair").sortWithinPartitions("cluster", "pair", "doc_id")
     links = confirmed_links(texts, width, percent)
@@ -283,7 +284,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     judged = materialize(near_duplicates(docs, width, percent))
     names = [F.col(f"`{c}`") for c in docs.columns]
     gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    left = docs.hint("merge").join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
     repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__id"))
     if repeated.isEmpty():
         return left
