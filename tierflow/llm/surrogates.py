@@ -7,12 +7,14 @@ surrogate is written in the mention's format: digits for digits, letters of the
 titles and top-level domains as they are, valid octets, given names of the title's gender.
 
 Distinctness is checked on the table of all different entities: where two entities share a surrogate, or a surrogate is a real
-entity, all but one (or the one) draw again, until no clash is left. Texts without a mention never move; the others are
+entity, all but one (or the one) draw again, until no clash is left. Texts without a sign of a mention never move; the others are
 joined with their surrogates by the MD5 of the text. Everything is a built-in expression.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from tierflow.session import materialize
 # Titles and names.
 TITLES_F = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Señora", "Sra", "Госпожа")
 TITLES_M = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин")
+ASSIGNED = ("token", "TOKEN", "secret", "SECRET", "password", "PASSWORD", "api_key", "API_KEY")
 GIVEN = {
     "f": ("Anna", "Clara", "Elena", "Emma", "Julia", "Laura", "Lea", "Maria", "Nora", "Olga", "Paula", "Rita", "Sara", "Sofia", "Vera", "Zoe"),
     "m": ("Adam", "Bruno", "Carlos", "David", "Emil", "Felix", "Hugo", "Ivan", "Jonas", "Leo", "Marco", "Noah", "Oscar", "Paul", "Tom", "Victor"),
@@ -38,7 +41,7 @@ _NAME = r"\p{Lu}\p{Ll}{1,30}+"
 #: possessive, so the search is linear in the text.
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}",
-    "secret": _EDGE + r"[0-9A-Fa-f]{32,128}+" + _END + r"|(?<=(?:token|TOKEN|secret|SECRET|password|PASSWORD|api_key|API_KEY) ?[=:] ?\")[^\"\s]{8,200}+(?=\")",
+    "secret": _EDGE + r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,128}+" + _END + r"|(?<=(?:" + "|".join(ASSIGNED) + r") ?[=:] ?\")[^\"\s]{8,200}+(?=\")",
     "ip": r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<![\p{L}\p{N}+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}.])\d(?:[ -]?\d){12,18}(?!\d)",
@@ -49,6 +52,12 @@ _TITLE = "^(?:" + "|".join(TITLES_F + TITLES_M) + r")\.? "
 _BLOCKS = 8  # of SHA-256 in a stream: 256 values
 
 
+def may_hold_mentions(text: Column) -> Column:
+    """True for every text with a mention, and cheap: each kind holds a digit, an @, a title or the name of an assigned secret."""
+    signs = [text.contains(x) for x in ("@", *TITLES_F, *TITLES_M, *ASSIGNED)]
+    return reduce(lambda a, b: a | b, signs, text.rlike("[0-9]"))
+
+
 def kind_of(mention: Column) -> Column:
     """The kind of a mention, with the gender for names."""
     out = F.lit("card")
@@ -157,19 +166,21 @@ def replace_personal_data(docs: DataFrame, key: Column) -> DataFrame:
     """
     given = docs.select("doc_id", "text")
     hits = F.regexp_extract_all(F.col("text"), F.lit(PATTERN), F.lit(0))
-    has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
+    maybe = F.coalesce(may_hold_mentions(F.col("text")), F.lit(False))
     text_key = F.md5(F.encode("text", "UTF-8"))
-    with_hits = given.filter(has)
-    mentions = materialize(with_hits.select(text_key.alias("text_key"), F.explode(F.array_distinct(hits)).alias("mention")).distinct())
+    looked_at = given.filter(maybe).withColumn("text_key", text_key)
+    mentions = looked_at.select("text_key", F.explode(F.array_distinct(hits)).alias("mention")).distinct()
+    mentions = materialize(mentions)
     kinds = mentions.select("mention").distinct().withColumn("kind", kind_of(F.col("mention"))).withColumn("canon", canonical(F.col("mention"), F.col("kind")))
     kinds = materialize(kinds)
     attempts = distinct_surrogates(kinds.select("kind", "canon").distinct(), key)
     surrogates = rendered(kinds.join(attempts, ["kind", "canon"]), "mention", key).select("mention", "surrogate")
     maps = mentions.join(surrogates, "mention").groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "surrogate"))).alias("map"))
-    pieces = F.split(F.col("text"), PATTERN, -1)
-    joined = with_hits.withColumn("text_key", text_key).join(maps, "text_key")
-    shaped = pinned(joined, __pieces=pieces, __hits=hits)
+    # The texts without a map have no mention: only the others are cut again.
+    joined = looked_at.hint("merge").join(maps, "text_key", "left")
+    held = F.col("map").isNotNull()
+    shaped = pinned(joined, __pieces=F.when(held, F.split(F.col("text"), PATTERN, -1)), __hits=F.when(held, hits))
     whole = F.array_join(F.flatten(F.zip_with("__pieces", "__hits", lambda p, h: F.array(p, F.coalesce(F.element_at("map", h), F.lit(""))))), "")
-    changed = shaped.select("doc_id", whole.alias("text"), F.size("__hits").cast("long").alias("n_entities"))
-    same = given.filter(~has).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"))
+    changed = shaped.select("doc_id", F.when(held, whole).otherwise(F.col("text")).alias("text"), F.when(held, F.size("__hits")).otherwise(0).cast("long").alias("n_entities"))
+    same = given.filter(~maybe).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"))
     return changed.unionByName(same)
