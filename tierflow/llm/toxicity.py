@@ -244,7 +244,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, voters: in
     marks only the given lexicon and the patterns vote. Rows are scored one by one, whatever their ids.
     """
     marks = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    taught = docs.filter(learn).select("doc_id", "text").join(marks, "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    # Marks grow with the input, so they are never broadcast: one plan at every size.
+    taught = docs.filter(learn).select("doc_id", "text").hint("merge").join(marks, "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
     forms = learn_voters(taught, voters)
     size = Voters(forms).size
     votes = materialize(cast_votes(docs.select("doc_id", learn.alias("learn"), "text"), forms, ["doc_id", "learn"]))
