@@ -31,6 +31,8 @@ GRAM = 8
 DEPTH = 64
 SHARD_WORDS = 1_500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+# Masks of the bits below a place in a word of 64.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 
 
 class WordHashes:
@@ -95,22 +97,22 @@ class WaveletMatrix:
             ones = bit.astype(bool)
             current = np.concatenate([current[~ones], current[ones]])
 
-    def ranks(self, symbols: np.ndarray, *places: np.ndarray) -> list[np.ndarray]:
-        """How often each symbol stands before each of its places."""
-        begin, ends = np.zeros(len(symbols), np.int64), [p.astype(np.int64) for p in places]
-        one = np.uint64(1)
+        # Where the places of each symbol begin in the order that the last bit leaves.
+        self.begin = np.zeros(symbols, np.int64)
+        self.begin = self._descend(np.arange(symbols), np.zeros(symbols, np.int64))
+
+    def _descend(self, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
         for k in range(self.levels):
-            ones = ((symbols >> (self.levels - 1 - k)) & 1).astype(bool)
-            for at, p in enumerate([begin, *ends]):
-                block = p >> 6
-                mask = (one << (p & 63).astype(np.uint64)) - one
-                rank = self.counts[k][block] + np.bitwise_count(self.bits[k][block] & mask)
-                moved = np.where(ones, self.zeros[k] + rank, p - rank)
-                if at:
-                    ends[at - 1] = moved
-                else:
-                    begin = moved
-        return [p - begin for p in ends]
+            block = places >> 6
+            rank = self.counts[k][block] + np.bitwise_count(self.bits[k][block] & _BELOW[places & 63])
+            places = np.where((symbols >> (self.levels - 1 - k)) & 1, self.zeros[k] + rank, places - rank)
+        return places
+
+    def ranks(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each symbol stands before its two places."""
+        both = self._descend(np.concatenate([symbols, symbols]), np.concatenate([low, high]))
+        begin, n = self.begin[symbols], len(symbols)
+        return both[:n] - begin, both[n:] - begin
 
 
 class FMIndex:
@@ -148,53 +150,50 @@ class FMIndex:
                 break
         return order
 
-    def back(self, piece: np.ndarray, end: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """The lowest start >= ``stop`` from which the words up to ``end`` stand at two places or more."""
-        base = self.first[piece]
-        at = end.copy()
-        low, high = np.zeros(len(piece), np.int64), np.full(len(piece), len(self.text), np.int64)
-        live = np.flatnonzero(at > stop)
-        while len(live):
-            symbol = self.text[base[live] + at[live] - 1]
-            a, b = self.matrix.ranks(symbol, low[live], high[live])
-            a, b = a + self.before[symbol], b + self.before[symbol]
-            fits = self.weight[b] - self.weight[a] >= 2
-            moved = live[fits]
-            low[moved], high[moved] = a[fits], b[fits]
-            at[moved] -= 1
-            live = moved[at[moved] > stop[moved]]
-        return at
+    def extend(self, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One backward step to the word at each of ``places``: the new intervals, and which hold two occurrences."""
+        symbol = self.text[places]
+        low, high = self.matrix.ranks(symbol, low, high)
+        low, high = low + self.before[symbol], high + self.before[symbol]
+        return low, high, self.weight[high] - self.weight[low] >= 2
 
 
 def repeated_intervals(index: FMIndex, pieces: np.ndarray, lengths: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(piece, first, end) intervals whose windows all occur twice or more, covering every such window."""
+    """(piece, first, end) intervals whose windows all occur twice or more, covering every such window.
+
+    All pieces go one backward step at a time. A piece looks at the window from ``s`` (``g`` = 0) and goes on behind the place
+    where it fails; after a success it looks ``g`` words further to the right, and at half of that where this fails.
+    """
     out: list[tuple[int, int, int]] = []
     stretch = DEPTH - 2 - width
-    piece, length = pieces, lengths
-    s = np.zeros(len(piece), np.int64)
+    whole = len(index.text)
+    piece, length, base = pieces, lengths, index.first[pieces]
+    s, g = np.zeros(len(piece), np.int64), np.zeros(len(piece), np.int64)
+    end = s + width
+    at, stop = end.copy(), s.copy()
+    low, high = np.zeros(len(piece), np.int64), np.full(len(piece), whole, np.int64)
     while len(piece):
-        got = index.back(piece, s + width, s)
-        hit = got <= s
-        s = np.where(hit, s, got)
-        # Windows found: stretch them to the right as far as one search reaches, then by half of it, and so on.
-        g = np.where(hit, np.minimum(stretch, length - s - width), 0)
-        here = np.flatnonzero(hit)
-        out += zip(piece[here].tolist(), s[here].tolist(), (s[here] + width).tolist())
-        following = np.where(hit, s + 1, s)
-        try_now = here[g[here] > 0]
-        while len(try_now):
-            end = s[try_now] + width + g[try_now]
-            low = index.back(piece[try_now], end, s[try_now] + 1)
-            reached = low <= s[try_now] + 1
-            long = end - low >= width
-            out += zip(piece[try_now[long]].tolist(), low[long].tolist(), end[long].tolist())
-            following[try_now[reached]] = (end - width + 1)[reached]
-            try_now = try_now[~reached]
-            g[try_now] //= 2
-            try_now = try_now[g[try_now] > 0]
-        s = following
+        new_low, new_high, fits = index.extend(base + at - 1, low, high)
+        low, high, at = np.where(fits, new_low, low), np.where(fits, new_high, high), at - fits
+        over = np.flatnonzero(~fits | (at <= stop))
+        if not len(over):
+            continue
+        reached, first, last, wide = at[over] <= stop[over], at[over], end[over], g[over]
+        found = over[last - first >= width]
+        out += zip(piece[found].tolist(), at[found].tolist(), end[found].tolist())
+        single = wide == 0
+        # The window itself: behind the failure, or to the right of it as far as one search reaches.
+        room = np.minimum(stretch, length[over] - s[over] - width)
+        new_g = np.where(single, np.where(reached, room, 0), np.where(reached, 0, wide // 2))
+        onward = np.where(single, np.where(reached, s[over] + 1, first), np.where(reached, last - width + 1, s[over] + 1))
+        s[over] = np.where(new_g > 0, s[over], onward)
+        g[over] = new_g
+        end[over] = s[over] + width + new_g
+        stop[over] = s[over] + (new_g > 0)
+        at[over], low[over], high[over] = end[over], 0, whole
         live = s + width <= length
-        piece, length, s = piece[live], length[live], s[live]
+        if not live.all():
+            piece, length, base, s, g, end, at, stop, low, high = (x[live] for x in (piece, length, base, s, g, end, at, stop, low, high))
     return out
 
 
