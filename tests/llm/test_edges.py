@@ -200,6 +200,21 @@ def test_repeats_match_brute_force(spark, shard_words):
     assert [g[1:] for g in got] == brute_repeats(texts, 35)
 
 
+def test_sentences_repeated_at_once_match_brute_force(spark):
+    texts = []
+    for k in range(40):
+        for period in range(9, 28):
+            n = max(3 * period, 35 + period + k % 10)
+            around = [prose(7000 + k, k % 7 * 6), prose(8000 + k, k % 5 * 9)]
+            sentence = prose(100 * k + period, period).split()
+            texts.append(" ".join([around[0], *(sentence * 5)[:n], around[1]]).strip().replace("  ", " "))
+    # Texts share no surroundings: each is judged by itself.
+    texts = [" ".join(f"{w}.{i}" for w in t.split()) for i, t in enumerate(texts)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: tuple(r)[1:] for r in remove_repeats(rows).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_repeats(texts, 35)
+
+
 def test_repeats_edges(docs, none):
     rows = remove_repeats(docs).collect()
     assert len(rows) == 16 and {(r["doc_id"], r["n_words"], r["n_removed"]) for r in rows} >= {(1, 200, 200), (4, 0, 0), (7, 1, 0), (13, 500, 500), (9, 30_000, 0)}

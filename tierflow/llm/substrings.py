@@ -67,16 +67,13 @@ def segments(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np
     starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
     ends = np.r_[starts[1:], len(least)] + width - 1
     anchors = least[starts]
-    # Grams equal to the smallest of the run, inside the run.
-    places = np.zeros(len(starts), np.int64)
-    order = np.searchsorted(starts, np.arange(len(mixed)), side="right") - 1
-    for back in (0, 1):
-        # A gram at position g lies in the run that starts at or before g, and maybe in the one before it.
-        run = order - back
-        valid = run >= 0
-        inside = valid & (np.arange(len(mixed)) + gram <= ends[np.maximum(run, 0)]) & (mixed == anchors[np.maximum(run, 0)])
-        np.add.at(places, run[inside], 1)
-    return anchors, starts, ends, np.maximum(places, 1)
+    # Grams equal to the smallest of the run, inside the run: places in the order of (hash, place).
+    order = np.argsort(mixed, kind="stable")
+    ranked = mixed[order]
+    number = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]]) * len(mixed)
+    at = number[np.searchsorted(ranked, anchors)]
+    places = np.searchsorted(number + order, at + ends - gram, side="right") - np.searchsorted(number + order, at + starts)
+    return anchors, starts, ends, places
 
 
 class WaveletMatrix:
