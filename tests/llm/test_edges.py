@@ -15,7 +15,7 @@ from tierflow.llm.mixing import mix
 from tierflow.llm.neardup import band_rows, drop_near_duplicates, near_duplicates
 from tierflow.llm.quality import keep_good, quality_rules
 from tierflow.llm.sharding import shard_documents
-from tierflow.llm.substrings import remove_repeats
+from tierflow.llm.substrings import different_pieces, remove_repeats
 from tierflow.llm.surrogates import distinct_surrogates, replace_personal_data
 from tierflow.llm.toxicity import score_toxicity
 from tierflow.llm.urls import PatternRule, RuleIndex, filter_urls
@@ -200,6 +200,21 @@ def test_repeats_match_brute_force(spark, shard_words):
     assert [g[1:] for g in got] == brute_repeats(texts, 35)
 
 
+def test_copies_of_a_hot_passage_are_one_piece(spark):
+    rows = [(1, bytes([k % 7]), k, 50, b"a copy") for k in range(500)] + [(1, b"d", k, 50, b"other %d" % k) for k in range(5)] + [(2, b"e", 0, 50, b"a single")]
+    made = different_pieces(spark.createDataFrame(rows, "anchor long, doc binary, first int, words int, content binary"), 100).collect()
+    # 300 different words are three blocks, and a row stands in two pairs of them.
+    assert sorted((r["anchor"], bytes(r["content"]), r["places"]) for r in made) == sorted(2 * [(1, b"a copy", 500)] + 2 * [(1, b"other %d" % k, 1) for k in range(5)] + [(2, b"a single", 1)])
+
+
+def test_hot_copies_match_brute_force(spark):
+    text, passage = prose(21, 80), prose(22, 60)
+    texts = [text] * 30 + [passage] * 30 + [f"{prose(3000 + k, k % 5)} {passage} {prose(4000 + k, k % 6)}".strip() for k in range(30)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, remove_repeats(rows, 35, 400).collect()))
+    assert [g[1:] for g in got] == brute_repeats(texts, 35)
+
+
 def test_sentences_repeated_at_once_match_brute_force(spark):
     texts = []
     for k in range(40):

@@ -11,7 +11,9 @@ such segments go no further. Of the others, each shard
   the interval falls under two occurrences, every window over the failed stretch is passed by. This yields the maximal
   intervals of at least ``width`` words that occur twice or more.
 
-A hash with more words than a block holds is cut into blocks, and each pair of blocks is a group of its own.
+A hash with more words than a block holds has its equal segments counted first: one of each goes on, with the count, and its
+spans are joined back to all places. What is still more than a block is cut into blocks of different segments, and each pair of
+blocks is a group of its own.
 """
 
 from __future__ import annotations
@@ -194,13 +196,13 @@ def repeated_intervals(index: FMIndex, pieces: np.ndarray, lengths: np.ndarray,
     return out
 
 
-def search_shard(rows: list[tuple[bytes, int, bytes]], width: int) -> list[tuple[bytes, int, int]]:
-    """``rows``: (document, first word, words joined by blanks) of one shard; gives (document, first, end) to remove."""
+def search_shard(rows: list[tuple[bytes, int, bytes, int]], width: int) -> list[tuple[bytes, int, int]]:
+    """``rows``: (document, first word, words joined by blanks, places) of one shard; gives (document, first, end) to remove."""
     owners: dict[bytes, set[tuple[bytes, int]]] = {}
     weights: dict[bytes, int] = {}
-    for doc, first, content in rows:
+    for doc, first, content, places in rows:
         owners.setdefault(content, set()).add((doc, first))
-        weights[content] = weights.get(content, 0) + 1
+        weights[content] = weights.get(content, 0) + places
     contents = list(owners)
     numbers: dict[bytes, int] = {}
     pieces = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in c.split(b" ")], np.int64) for c in contents]
@@ -237,7 +239,7 @@ def _anchors(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _emit(flagged: DataFrame, width: int) -> DataFrame:
-    """The flagged segments with their words: (anchor, doc, first, content)."""
+    """The flagged segments with their words: (anchor, doc, first, words, content)."""
 
     def cut(batches):
         hashes = WordHashes()
@@ -249,40 +251,70 @@ def _emit(flagged: DataFrame, width: int) -> DataFrame:
                     continue
                 anchors, starts, ends, _ = segments(hashes.of(words), width)
                 anchors = anchors.view(np.int64)
-                out += [(anchors[k], doc, starts[k], b" ".join(words[starts[k] : ends[k]])) for k in numbers if k < len(anchors)]
+                out += [(anchors[k], doc, starts[k], ends[k] - starts[k], b" ".join(words[starts[k] : ends[k]])) for k in numbers if k < len(anchors)]
             if out:
-                a, d, f, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(d, pa.binary()), pa.array(f, pa.int32()), pa.array(c, pa.binary())], ["anchor", "doc", "first", "content"])
+                a, d, f, n, c = zip(*out)
+                columns = [pa.array(a, pa.int64()), pa.array(d, pa.binary()), pa.array(f, pa.int32()), pa.array(n, pa.int32()), pa.array(c, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "first", "words", "content"])
 
-    return flagged.mapInArrow(cut, "anchor long, doc binary, first int, content binary")
+    return flagged.mapInArrow(cut, "anchor long, doc binary, first int, words int, content binary")
 
 
-def repeated_passages(docs: DataFrame, width: int = 35, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(doc, spans): for each different text (``doc``: its MD5) the word ranges [first, end) that repeated windows cover."""
-    texts = docs.filter("text is not null").select(F.xxhash64("text").alias("key"), F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("doc"), "text")
-    anchors = materialize(_anchors(texts.select("key", "text"), width))
-    counts = anchors.groupBy("anchor").agg(F.sum("places").alias("places"), F.sum("words").alias("words")).filter("places > 1")
-    counts = materialize(counts.select("anchor", "words", F.ceil(F.col("words") / shard_words).alias("blocks")))
-    total = counts.agg(F.sum(F.col("words") * F.col("blocks"))).first()[0] or 0
-    shards = max(1, -(-total // shard_words))
-    numbers = anchors.join(counts.select("anchor"), "anchor").select("key", "number").distinct().groupBy("key").agg(F.collect_list("number").alias("numbers"))
-    flagged = texts.join(numbers, "key").select("doc", F.encode("text", "UTF-8").alias("text"), "numbers")
-    hot = counts.filter("blocks > 1").select("anchor", "blocks")
-    cut = _emit(flagged, width).join(hot, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    cut = _blocked(cut, "blocks", "content").repartition(shards, "anchor", "pair").select("anchor", "pair", "doc", "first", "content")
+def _search(cut: DataFrame, width: int) -> DataFrame:
+    """(doc, first, end) to remove, from the shards that the partitions of ``cut`` are."""
 
     def search(batches):
         # A pair of blocks has rows that other pairs repeat, so it is searched by itself; all else makes one shard.
         groups: dict[tuple, list] = {}
         for b in batches:
-            for anchor, pair, *row in zip(*[b.column(k).to_pylist() for k in ("anchor", "pair", "doc", "first", "content")]):
+            for anchor, pair, *row in zip(*[b.column(k).to_pylist() for k in ("anchor", "pair", "doc", "first", "content", "places")]):
                 groups.setdefault((anchor, pair) if pair else (), []).append(row)
         found = [x for rows in groups.values() for x in search_shard(rows, width)]
         for at in range(0, len(found), 50_000):
             d, f, e = zip(*found[at : at + 50_000])
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.binary()), pa.array(f, pa.int32()), pa.array(e, pa.int32())], ["doc", "first", "end"])
 
-    found = cut.mapInArrow(search, "doc binary, first int, end int")
+    return cut.select("anchor", "pair", "doc", "first", "content", "places").mapInArrow(search, "doc binary, first int, end int")
+
+
+def different_pieces(rows: DataFrame, shard_words: int) -> DataFrame:
+    """The different segments of ``rows`` (``doc``: a segment's MD5) with their places, once for each pair of blocks."""
+    pieces = rows.groupBy("anchor", "content").agg(F.count("*").alias("places"), F.max("words").alias("words"))
+    pieces = materialize(pieces.withColumn("doc", F.unhex(F.md5("content"))).withColumn("first", F.lit(0)))
+    blocks = pieces.groupBy("anchor").agg(F.ceil(F.sum("words") / shard_words).alias("blocks"))
+    return _blocked(pieces.join(blocks, "anchor"), "blocks", "content")
+
+
+def _search_hot(rows: DataFrame, width: int, shard_words: int) -> DataFrame:
+    """As ``_search``, for segments of hashes with more words than a shard holds."""
+    rows = materialize(rows)
+    pieces = different_pieces(rows, shard_words)
+    shards = max(1, -(-pieces.agg(F.sum("words")).first()[0] // shard_words))
+    found = _search(pieces.repartition(shards, "anchor", "pair"), width).distinct()
+    found = found.groupBy(F.col("doc").alias("piece")).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    owners = rows.select(F.unhex(F.md5("content")).alias("piece"), "doc", "first").distinct()
+    placed = owners.join(found, "piece").select("doc", F.col("first").alias("at"), F.explode("spans").alias("span"))
+    return placed.select("doc", (F.col("at") + F.col("span.first")).alias("first"), (F.col("at") + F.col("span.end")).alias("end"))
+
+
+def repeated_passages(docs: DataFrame, width: int = 35, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(doc, spans): for each different text (``doc``: its MD5) the word ranges [first, end) that repeated windows cover."""
+    texts = docs.filter("text is not null").select(F.xxhash64("text").alias("key"), F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("doc"), "text")
+    anchors = materialize(_anchors(texts.select("key", "text"), width))
+    counts = anchors.groupBy("anchor").agg(F.sum("places").alias("places"), F.sum("words").alias("words")).filter("places > 1")
+    counts = materialize(counts.select("anchor", "words"))
+    hot = counts.filter(F.col("words") > shard_words)
+    others = counts.filter(F.col("words") <= shard_words)
+    shards = max(1, -(-(others.agg(F.sum("words")).first()[0] or 0) // shard_words))
+
+    def cut(chosen):
+        numbers = anchors.join(chosen.select("anchor"), "anchor").select("key", "number").distinct().groupBy("key").agg(F.collect_list("number").alias("numbers"))
+        return _emit(texts.join(numbers, "key").select("doc", F.encode("text", "UTF-8").alias("text"), "numbers"), width)
+
+    rows = cut(others).select("anchor", "doc", "first", "content").repartition(shards, "anchor")
+    found = _search(rows.withColumn("pair", F.lit(0)).withColumn("places", F.lit(1)), width)
+    if not hot.isEmpty():
+        found = found.unionByName(_search_hot(cut(hot), width, shard_words))
     return found.distinct().groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"))
 
 
