@@ -276,6 +276,18 @@ def test_surrogates_edges(spark, docs, none):
     assert any(p.replace("-", "") == q for p in parts if p.count("-") == 3 for q in parts)
 
 
+@pytest.mark.parametrize("length", [129, 256, 30_000])
+def test_long_secrets_are_replaced_whole(spark, length):
+    draw = random.Random(length)
+    key = "".join(draw.choice("0123456789abcdef") for _ in range(length))
+    token = "".join(draw.choice("abcXYZ0189-_") for _ in range(length + 471))
+    text = f'key {key} and token = "e{token}.x" end'
+    row = replace_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"), F.lit("k")).first()
+    new = row["text"].split()
+    assert row["n_entities"] == 2 and [len(w) for w in new] == [len(w) for w in text.split()] and new[0] == "key" and new[2:5] == ["and", "token", "="]
+    assert key[:40] not in row["text"] and token[:40] not in row["text"] and set(new[1]) <= set("0123456789abcdef")
+
+
 def test_surrogates_stay_distinct(spark):
     entities = spark.range(3000).select(F.lit("phone").alias("kind"), F.format_string("%04d", "id").alias("canon"))
     ten = distinct_surrogates(entities.limit(0), F.lit("k"))

@@ -41,7 +41,7 @@ _NAME = r"\p{Lu}\p{Ll}{1,30}+"
 #: possessive, so the search is linear in the text.
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}",
-    "secret": _EDGE + r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,128}+" + _END + r"|(?<=(?:" + "|".join(ASSIGNED) + r") ?[=:] ?\")[^\"\s]{8,200}+(?=\")",
+    "secret": _EDGE + r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+" + _END + r"|(?<=(?:" + "|".join(ASSIGNED) + r") ?[=:] ?\")[^\"\s]{8,}+(?=\")",
     "ip": r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<![\p{L}\p{N}+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}.])\d(?:[ -]?\d){12,18}(?!\d)",
@@ -94,20 +94,18 @@ def _pick(values, at: Column) -> Column:
 def _spelled(form: str) -> Column:
     """Letters and digits of ``form`` replaced one by one; a letter's or digit's number among them picks the value."""
     text = F.col(form)
-    hexadecimal = (F.col("kind") == "secret") & text.rlike("^[0-9A-Fa-f]+$")
-    domain_end = F.when(F.col("kind") == "email", F.length(text) - F.length(F.regexp_extract(text, r"\.[^.]*$", 0))).otherwise(F.length(text))
+    tail = F.when(F.col("kind") == "email", F.regexp_extract(text, r"\.[^.]*$", 0)).otherwise("")
+    head = F.substr(text, F.lit(1), F.length(text) - F.length(tail))
 
-    def one(i):
-        c = F.substr(text, i, F.lit(1))
-        v = _value(F.length(F.regexp_replace(F.substr(text, F.lit(1), i), r"[^\p{L}\p{N}]", "")))
+    def one(c, i):
+        v = _value(i + 1)
 
         def letter(first: str, size):
             return F.char(F.lit(ord(first)) + v % size) if ord(first) < 256 else F.substr(F.lit("абвгдежзиклмнопрстуфхцчшщэюя" if first == "а" else "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"), v % 28 + 1, F.lit(1))
 
-        size = F.when(hexadecimal, 6).otherwise(26)
+        size = F.when(F.col("__hexadecimal"), 6).otherwise(26)
         return (
-            F.when(i > domain_end, c)
-            .when(c.rlike("[0-9]"), F.char(F.lit(48) + v % 10))
+            F.when(c.rlike("[0-9]"), F.char(F.lit(48) + v % 10))
             .when(c.rlike(r"[\p{IsCyrillic}&&\p{Lu}]"), letter("А", 28))
             .when(c.rlike(r"\p{IsCyrillic}"), letter("а", 28))
             .when(c.rlike(r"\p{Lu}"), letter("A", size))
@@ -115,7 +113,10 @@ def _spelled(form: str) -> Column:
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")
+    # Cut at each letter and digit, so that the work follows the length of the mention and not its square.
+    spelled = r"[\p{L}\p{N}\p{IsCyrillic}]"
+    values = F.transform(F.regexp_extract_all(head, F.lit(spelled), F.lit(0)), one)
+    return F.concat(F.array_join(F.flatten(F.zip_with(F.split(head, spelled, -1), values, lambda p, x: F.array(p, F.coalesce(x, F.lit(""))))), ""), tail)
 
 
 def _named(form: str) -> Column:
@@ -137,9 +138,10 @@ def _octets() -> Column:
 
 def rendered(df: DataFrame, form: str, key: Column) -> DataFrame:
     """Add ``surrogate``: ``form`` (a mention or a canonical form) in the surrogate of (kind, canon, attempt)."""
-    streamed = pinned(df, __stream=_stream(key))
+    hexadecimal = (F.col("kind") == "secret") & F.col(form).rlike("^[0-9A-Fa-f]+$")
+    streamed = pinned(df, __stream=_stream(key), __hexadecimal=hexadecimal)
     value = F.when(F.col("kind").startswith("name"), _named(form)).when(F.col("kind") == "ip", _octets()).otherwise(_spelled(form))
-    return streamed.withColumn("surrogate", value).drop("__stream")
+    return streamed.withColumn("surrogate", value).drop("__stream", "__hexadecimal")
 
 
 def distinct_surrogates(entities: DataFrame, key: Column) -> DataFrame:
