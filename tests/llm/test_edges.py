@@ -13,7 +13,7 @@ from tierflow.llm.graphs import components
 from tierflow.llm.languages import identify_languages
 from tierflow.llm.mixing import mix
 from tierflow.llm.neardup import band_rows, drop_near_duplicates, near_duplicates
-from tierflow.llm.quality import keep_good, quality_rules
+from tierflow.llm.quality import COMMON_WORDS, keep_good, quality_rules
 from tierflow.llm.sharding import shard_documents
 from tierflow.llm.substrings import different_pieces, remove_repeats
 from tierflow.llm.surrogates import distinct_surrogates, replace_personal_data
@@ -106,6 +106,16 @@ def test_quality_edges(docs, none):
     assert good.columns == docs.columns and good.filter("doc_id = 13").isEmpty() and quality_rules(docs).filter("kept").count() == good.count()
 
 
+@pytest.mark.parametrize("junk", [1, 8, 30])
+def test_texts_without_common_words_fail_however_many_they_are(spark, junk):
+    draw = random.Random(junk)
+    rest = prose(30, 400).split()
+    clean = [" ".join(draw.choice(COMMON_WORDS["de"]) if draw.random() < 0.2 else draw.choice(rest) for _ in range(300)) for _ in range(40)]
+    texts = [*clean, *[prose(500 + k, 300) for k in range(junk)], *["hot words " * 3000] * 5]
+    rows = quality_rules(spark.createDataFrame([(i, "de", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")).collect()
+    assert {r["doc_id"] for r in rows if r["kept"]} == set(range(40))
+
+
 def test_many_repeated_windows(spark):
     text = prose(5, 300)
     row = quality_rules(spark.createDataFrame([(1, "en", f"{text} {text} tail of it")], "doc_id long, lang string, text string")).first()

@@ -2,9 +2,10 @@
 
 A text has two histograms: characters by class (lower case, upper case, digits, white space, symbols, other ASCII, bytes
 beyond ASCII) and common words (a share for each listed word of each language, and the rest). A language reference is
-the same histogram summed over all documents of that language, so every reference is a statistic of the whole table. A text
-is judged by the Jensen-Shannon distance (base 2, 0 to 1) to its nearest reference, each histogram by itself; short texts
-are not judged, as their histograms are mostly chance.
+the same histogram summed over all documents of that language that pass the base rule, so every reference is a statistic of the
+whole table. A text is judged by the Jensen-Shannon distance (base 2, 0 to 1) to its nearest reference, each histogram by itself;
+short texts are not judged, as their histograms are mostly chance. Distances of common words are scaled so that a text without a
+listed word is ``BARE_DISTANCE`` from every reference: the limit does not hang on how many such texts a language has.
 
 Rows are read once; what is counted per document is written as a narrow table, from which references and verdicts come.
 Everything is a built-in expression. Texts may have any length: trigrams are compared by 64-bit hashes in sorted order.
@@ -12,6 +13,8 @@ Everything is a built-in expression. Texts may have any length: trigrams are com
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 # Limits of the verdict.
 MOST_CLASS_DISTANCE = 0.30
 MOST_WORD_DISTANCE = 0.31
+BARE_DISTANCE = 1 / 3
 LEAST_CHARS = 200
 LEAST_WORDS = 100
 
@@ -102,8 +106,8 @@ def base_failed(p: str = "__p") -> Column:
 
 
 def references(profiles: DataFrame) -> list[tuple[list[float], list[float]]]:
-    """Histograms of the languages with a word list, over all their documents: at most one row for each list."""
-    known = profiles.filter(F.col("lang").isin(sorted(COMMON_WORDS)))
+    """Histograms of the languages with a word list, over their documents that pass the base rule: at most one row for each list."""
+    known = profiles.filter(F.col("lang").isin(sorted(COMMON_WORDS)) & ~base_failed())
     sums = [F.sum(F.get("__p.classes", F.lit(i))) for i in range(7)] + [F.sum("__p.n_words")]
     sums += [F.sum(F.get("__p.words", F.lit(i))) for i in range(len(ALL_WORDS))]
     out = []
@@ -134,17 +138,26 @@ def divergence(p: Column, reference: list[float]) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
+def bare_distance(reference: list[float]) -> float:
+    """The distance of a text without any listed word to a reference of common words."""
+    rest = reference[-1]
+    return math.sqrt(max(0.0, (1 - rest + math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest else 0.0)) / 2))
+
+
 def judge(profiles: DataFrame, known: list[tuple[list[float], list[float]]]) -> DataFrame:
-    """Add class_distance and word_distance (to the nearest reference, NULL if not judged), base_failed and kept."""
+    """Add class_distance and word_distance (to the nearest reference, NULL if not judged), base_failed and kept.
+
+    A reference without a listed word says nothing on common words.
+    """
     total = F.aggregate("__p.classes", F.lit(0).cast("long"), lambda a, c: a + c)
     shaped = pinned(profiles, __cs=_shares("__p.classes", total, False), __ws=_shares("__p.words", F.col("__p.n_words"), True))
 
-    def nearest(column, place):
-        each = [divergence(F.col(column), reference[place]) for reference in known]
+    def nearest(each):
         return F.lit(None).cast("double") if not each else each[0] if len(each) == 1 else F.least(*each)
 
-    by_class = F.when(F.col("__p.chars") >= LEAST_CHARS, nearest("__cs", 0))
-    by_word = F.when(F.col("__p.n_words") >= LEAST_WORDS, nearest("__ws", 1))
+    by_class = F.when(F.col("__p.chars") >= LEAST_CHARS, nearest([divergence(F.col("__cs"), classes) for classes, _ in known]))
+    bare = [(words, bare_distance(words)) for _, words in known if words[-1] < 1]
+    by_word = F.when(F.col("__p.n_words") >= LEAST_WORDS, nearest([divergence(F.col("__ws"), words) * (BARE_DISTANCE / most) for words, most in bare]))
     judged = pinned(shaped, class_distance=by_class, word_distance=by_word, base_failed=base_failed()).drop("__cs", "__ws")
     fits = (F.coalesce("class_distance", F.lit(0.0)) <= MOST_CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MOST_WORD_DISTANCE)
     return judged.withColumn("kept", ~F.col("base_failed") & fits)
