@@ -18,7 +18,7 @@ from tierflow.llm.sharding import shard_documents
 from tierflow.llm.substrings import different_pieces, remove_repeats
 from tierflow.llm.surrogates import distinct_surrogates, replace_personal_data
 from tierflow.llm.toxicity import score_toxicity
-from tierflow.llm.urls import PatternRule, RuleIndex, filter_urls
+from tierflow.llm.urls import PATTERN_RULES, PatternRule, RuleIndex, filter_urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, kept string, __x int"
 
@@ -272,6 +272,12 @@ def test_toxicity_edges(spark, docs, none):
     assert score_toxicity(none, labels.limit(0), learned_from("doc_id", 5, 0)).count() == 0
 
 
+def test_every_match_holds_the_tokens_of_its_rule():
+    for url in ("http://a.b/wp-login.php", "http://a.b/wp-login.php5", "http://a.b/wp-login.phps?x=1"):
+        for rare in ("wp", "login", "php"):
+            assert RuleIndex(PATTERN_RULES, {t: 9 for t in ("wp", "login", "php")} | {rare: 1}).matches(url)
+
+
 def test_surrogates_edges(spark, docs, none):
     key = F.lit("k")
     rows = replace_personal_data(docs, key).collect()

@@ -53,7 +53,7 @@ PATTERN_RULES = (
     PatternRule(r"[/.-]adult-(video|chat)s?\b", ("adult",)),
     PatternRule(r"://([a-z0-9-]+\.)*link-exchange\.", ("link", "exchange")),
     PatternRule(r"/buy-cheap-[a-z]+", ("buy", "cheap")),
-    PatternRule(r"/wp-login\.php", ("wp", "login", "php")),
+    PatternRule(r"/wp-login\.php", ("wp", "login")),
     PatternRule(r"[?&]affid=[0-9]+", ("affid",)),
     PatternRule(r"://([a-z0-9-]+\.)*click-bait\.", ("click", "bait")),
     PatternRule(r"/cgi-bin/[a-z]+\.cgi", ("cgi", "bin")),
