@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.llm import queries  # noqa: F401
+from tierflow.llm import pattern_queries, queries  # noqa: F401
 from tierflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -17,7 +17,6 @@ from tierflow.llm.substrings import remove_repeats
 from tierflow.llm.surrogates import replace_personal_data
 from tierflow.llm.toxicity import score_toxicity
 from tierflow.llm.urls import PATTERN_RULES, filter_urls
-#X shard_documents
 
 OP1_SQL = r"""
 WITH crc_table AS (
