@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import pinned, table
+from tierflow.llm.credentials import BASE, KINDS, PLACEHOLDERS, WIDER, scan_secrets
 from tierflow.llm.periodic import collapse_runs
 from tierflow.llm.registry import query
+from tierflow.llm.spelling import spelling_variants
 
 # CRC-32 of a list of byte values ``bytes``, as a DuckDB macro needs no session: the table comes from ``crc_table``.
 CRC_TABLE = """crc_table AS (
@@ -83,3 +85,112 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.encode("kept_words", "UTF-8"), 256).alias("collapsed_sha256"),
     )
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _op12_sql() -> str:
+    # Characters of a match behind its value.
+    tails = {"login": 1, "quoted": 1}
+    keyword = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+    steps = []
+
+    def matches(name: str, number: int, pattern: str, least: int, tail: int) -> str:
+        pattern = pattern.replace("'", "''")
+        return f"""{name}_m AS (
+  SELECT r, regexp_extract_all(text, '{pattern}', 0) AS m, regexp_extract_all(text, '{pattern}', 1) AS v, string_split_regex(text, '{pattern}') AS gaps
+  FROM d WHERE regexp_matches(text, '{pattern}')
+),
+{name}_s AS (
+  SELECT r, {number} AS kind, v[k] AS value, list_sum([length(x) FOR x IN gaps[1:k]])::BIGINT + coalesce(list_sum([length(x) FOR x IN m[1:k - 1]]), 0)::BIGINT AS begins, length(m[k]) AS n
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM {name}_m)
+),
+{name} AS (
+  SELECT r, kind, value, {"begins" if number < len(BASE) else f"begins + n - {tail} - length(value)"} AS s, begins + n - {tail} AS e FROM {name}_s WHERE length(value) >= {least}
+)"""
+
+    taken = []
+    for number, (kind, pattern, least) in enumerate(BASE):
+        pattern = pattern.replace("(?i:password|passwd|secret|token|api_?key)", f"(?:{keyword})")
+        steps.append(matches(kind, number, pattern, least, 0))
+        taken.append(f"SELECT * FROM {kind}")
+    for number, (kind, pattern) in enumerate(WIDER, len(BASE)):
+        steps.append(matches(f"{kind}_all", number, pattern, 1, tails.get(kind, 0)))
+        steps.append(f"""{kind} AS (
+  SELECT * FROM {kind}_all a WHERE NOT EXISTS (SELECT 1 FROM ({" UNION ALL ".join(taken)}) t WHERE t.r = a.r AND t.s < a.e AND a.s < t.e)
+)""")
+        taken.append(f"SELECT * FROM {kind}")
+    placeholder = " OR ".join(f"contains(lower(value), '{w}')" for w in PLACEHOLDERS)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+{", ".join(steps)},
+spans AS ({" UNION ALL ".join(taken)}),
+held AS (
+  SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT {{'o': coalesce(source, chr(0)), 'd': coalesce(doc_id, -1)}}) AS repositories
+  FROM spans JOIN d USING (r) GROUP BY value
+),
+judged AS (
+  SELECT s.*, owners <= 2 AND repositories <= 20 AND len(list_distinct(string_split(value, ''))) >= 10 AND regexp_matches(value, '[A-Za-z]')
+    AND regexp_matches(value, '[0-9].*[0-9]') AND NOT ({placeholder}) AS live FROM spans s JOIN held USING (value)
+),
+told AS (
+  SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h,
+    string_agg(x, ',' ORDER BY s, kind) FILTER (kind < {len(BASE)}) AS base, string_agg(x, ',' ORDER BY s, kind) AS spans
+  FROM (SELECT *, ({KINDS!r})[kind + 1] || ':' || s || ':' || e AS x FROM judged WHERE live OR kind < {len(BASE)}) GROUP BY r
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (r)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+@query("op12_ownership_frequency", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[number(kind) for kind, *_ in BASE],
+        F.sha2(listed(F.filter("spans", lambda s: s["base"])).cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"),
+    )
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, x, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS x
+    FROM documents) GROUP BY ALL
+),
+hashed AS (SELECT x, c, {crc_sql("(doc_id::VARCHAR || ':' || x)")} AS h FROM runs, crc_table),
+edited AS (SELECT CASE WHEN h % 97 = 0 THEN substr(x, 1, h % length(x)) || substr(x, h % length(x) + 2) ELSE x END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM edited GROUP BY word HAVING sum(c) >= 3 AND length(word) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+longer AS (SELECT DISTINCT c.word AS l, c.n AS ln, w.word AS s, w.n AS sn FROM cut c JOIN words w ON w.word = c.a || c.b),
+near AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION ALL SELECT l, s, sn FROM longer UNION ALL SELECT s, l, ln FROM longer
+),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS m, arg_min(near, {{'l': -near_n, 'w': near}}) AS near FROM near GROUP BY word),
+told AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 2 * n THEN near END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+walk(word, place) AS (SELECT word, word FROM told UNION ALL SELECT walk.word, told.form FROM walk JOIN told ON walk.place = told.word WHERE told.form IS NOT NULL)
+SELECT told.word, form, place AS root, n, n_near, form_n FROM told JOIN walk USING (word) WHERE place IN (SELECT word FROM told WHERE form IS NULL)
+"""
+
+
+@query("op13_prefix_suffix_tiles", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), edit_every=97)
