@@ -14,11 +14,12 @@ from tierflow.llm.languages import identify_languages
 from tierflow.llm.mixing import mix
 from tierflow.llm.neardup import band_rows, drop_near_duplicates, near_duplicates
 from tierflow.llm.quality import COMMON_WORDS, keep_good, quality_rules
-from tierflow.llm.sharding import shard_documents
+from tierflow.llm.sharding import Splitters, _keys, shard_documents
 from tierflow.llm.substrings import different_pieces, remove_repeats
 from tierflow.llm.surrogates import distinct_surrogates, replace_personal_data
 from tierflow.llm.toxicity import score_toxicity
 from tierflow.llm.urls import PATTERN_RULES, PatternRule, RuleIndex, filter_urls
+from tierflow.session import materialize
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, kept string, __x int"
 
@@ -335,3 +336,32 @@ def test_rules_are_filed_under_their_rarest_token():
     assert index.matches("x-a-b") and index.matches("ZZ") and not index.matches("b-a") and not index.matches(None)
 
 
+
+
+def test_splitters_take_one_job_a_round(spark):
+    """211 partitions without coalescing, one text in a third of the rows: few rounds, and no job for each partition."""
+    held = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    rows = [(k, "one text " * 9 if k % 3 == 0 else f"text {k}") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = materialize(_keys(docs))
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        spark.sparkContext.setJobGroup("splitters", "")
+        found = Splitters(keys, 16)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("splitters"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found.rounds <= 4 and jobs <= 4 * found.rounds + 4
+    placed = sorted((r["h"], r["d"], r["size"]) for r in keys.collect())
+    total, below = sum(p[2] for p in placed), 0
+    want = []
+    for h, d, size in placed:
+        while len(want) < 15 and (below + size) * 16 >= (len(want) + 1) * total:
+            want.append((h, d))
+        below += size
+    for (h, d), (upper_h, upper_d, n) in zip(want, found.bounds):
+        assert placed[n - 1][:2] == (h, d) and (n == len(placed) or placed[n][:2] >= (upper_h, upper_d) > (h, d))

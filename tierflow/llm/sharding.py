@@ -1,12 +1,12 @@
 """Histogram sort into shards of equal bytes.
 
 Order: (key of the text, key of the id, id), both keys being 60 MD5 bits, so that equal texts lie together. The
-splitters are found by counting: each round counts the exact bytes and rows in the cells below every open splitter (12
-more bits of the key a round) and keeps the one cell in which it must lie, until the cell holds one key or
+splitters are found by counting: each round counts the exact bytes and rows in the cells below every open splitter (up to
+12 more bits of the key a round) in one job and keeps the one cell in which it must lie, until the cell holds one key or
 no more bytes than the tolerance. Counts combine before the shuffle, so a text that owns a third of all rows costs no more
-than another; its rows are cut by the bits of their ids. Then rows move once.
+than another; a cell of one text is cut by the bits of the ids at once. Then rows move once.
 
-The driver holds at most ``4096`` counts for each open splitter and one boundary for each part.
+The driver holds about a million counts of a round and one boundary for each part.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from tierflow.llm.common import KEY_BITS, id_key, pinned, uniform_key
 from tierflow.session import materialize
 
 STEP = 12
-LEVELS = KEY_BITS // STEP
+# Counts of a round that the driver holds; with many open cells a round looks at fewer bits of each.
+MOST_COUNTS = 1 << 20
 
 
 def text_size(text: str = "text") -> Column:
@@ -38,77 +39,72 @@ def _keys(docs: DataFrame) -> DataFrame:
 
 
 class Splitters:
-    """Boundaries of ``parts`` equal shares of the bytes, found on ``keys`` (size, h, d)."""
+    """Boundaries of ``parts`` equal shares of the bytes, found on ``keys`` (size, h, d).
+
+    ``bounds``: (h, d, rows below) of each splitter; rows from (h, d) on lie above.
+    """
 
     def __init__(self, keys: DataFrame, parts: int, tolerance: int = 0):
         total, rows = keys.agg(F.sum("size"), F.count("*")).first()
-        self.parts, self.total, self.rows = parts, total or 0, rows
-        self.bounds: list[tuple[int, int, int]] = []  # (h, d, rows below) of each splitter; rows from (h, d) on lie above
-        if not rows:
-            self.bounds = [(0, 0, 0)] * (parts - 1)
-            return
+        self.parts, self.total, self.rows, self.rounds = parts, total or 0, rows, 0
         found: dict[int, tuple[int, int, int]] = {}
-        # Open splitters by the cell they lie in: cell -> [(number, bytes below the cell, rows below the cell)].
-        open_cells: dict[tuple, list[int]] = {(): list(range(1, parts))}
-        below: dict[tuple, tuple[int, int]] = {(): (0, 0)}
-        for level in range(2 * LEVELS):
-            if not open_cells:
-                break
-            counts: dict[tuple, list] = {c: [] for c in open_cells}
-            for cell, at, size, n, single in self._count(keys, level, list(open_cells)):
-                if cell in counts:
-                    counts[cell].append((at, size, n, single))
-            next_cells, next_below = {}, {}
-            for cell, numbers in open_cells.items():
-                for number in numbers:
-                    size_below, rows_below = below[cell]
-                    for at, size, n, single in sorted(counts[cell]):
+        if not rows:
+            found = {number: (0, 0, 0) for number in range(1, parts)}
+        # Cells by their prefix, with what lies below them and the splitters inside: first of h, then (h, prefix of d).
+        cells = {(): (0, 0, list(range(1, parts)))} if rows else {}
+        one_text: dict[tuple, tuple] = {}
+        for column, last in (("h", False), ("d", True)):
+            used = 0
+            while cells:
+                bits = min(STEP, KEY_BITS - used, max(4, MOST_COUNTS.bit_length() - len(cells).bit_length()))
+                counts = self._count(keys, column, used, bits, cells)
+                used += bits
+                inner: dict[tuple, tuple] = {}
+                for cell, (bytes_below, rows_below, numbers) in cells.items():
+                    listed = counts[cell]
+                    at = 0
+                    for number in numbers:  # ascending, so each goes on where the last one stopped
                         # The last cell that begins below the target holds the splitter.
-                        if (size_below + size) * parts >= number * self.total:
-                            break
-                        size_below, rows_below = size_below + size, rows_below + n
-                    if single or size <= tolerance or level == 2 * LEVELS - 1:
-                        found[number] = (*self._upper(level, cell, at), rows_below + n)
-                    else:
-                        key = self._name(level, cell, at)
-                        next_cells.setdefault(key, []).append(number)
-                        next_below[key] = (size_below, rows_below)
-            open_cells, below = next_cells, next_below
+                        while (bytes_below + listed[at].size) * parts < number * self.total:
+                            bytes_below, rows_below, at = bytes_below + listed[at].size, rows_below + listed[at].n, at + 1
+                        here = listed[at]
+                        if here.one_h and not here.one_d and not last:
+                            one_text.setdefault((here.h,), (bytes_below, rows_below, []))[2].append(number)
+                        elif (here.one_h and here.one_d) or here.size <= tolerance or used == KEY_BITS:
+                            end = (here.at + 1) << (KEY_BITS - used)
+                            found[number] = (*((here.h, end) if last else (end, 0)), rows_below + here.n)
+                        else:
+                            key = (here.h, here.at) if last else (here.at,)
+                            inner.setdefault(key, (bytes_below, rows_below, []))[2].append(number)
+                cells = inner
+            cells = one_text if not last else {}
         self.bounds = [found[i] for i in range(1, parts)]
 
-    @staticmethod
-    def _name(level: int, cell: tuple, at: int) -> tuple:
-        """A cell: () at first, (bits of h,) while h is refined, (h, bits of d) afterwards."""
-        if level < LEVELS:
-            return (at,)
-        return (cell[0], at)
-
-    @staticmethod
-    def _upper(level: int, cell: tuple, at: int) -> tuple[int, int]:
-        if level < LEVELS:
-            return ((at + 1) << (KEY_BITS - STEP * (level + 1)), 0)
-        return (cell[0], (at + 1) << (KEY_BITS - STEP * (level + 1 - LEVELS)))
-
-    @staticmethod
-    def _count(keys: DataFrame, level: int, cells: list[tuple]):
-        """(cell, place, bytes, rows, whether all rows have one key) of the cells one level down."""
-        one_key = (F.min("h") == F.max("h")) & (F.min("d") == F.max("d"))
-        found = F.sum("size"), F.count("*"), one_key
-        if level < LEVELS:
-            shift = KEY_BITS - STEP * (level + 1)
-            if level:
-                keys = keys.filter(F.shiftright("h", shift + STEP).isin([c[0] for c in cells]))
-            counted = keys.groupBy(F.shiftright("h", shift).alias("at"))
-            for at, size, n, single in counted.agg(*found).toLocalIterator():
-                yield ((at >> STEP,) if level else ()), at, size, n, single
-        else:
-            shift = KEY_BITS - STEP * (level + 1 - LEVELS)
-            keys = keys.filter(F.col("h").isin([c[0] for c in cells]))
-            if level > LEVELS:
-                keys = keys.filter(F.shiftright("d", shift + STEP).isin([c[1] for c in cells]))
-            counted = keys.groupBy("h", F.shiftright("d", shift).alias("at"))
-            for h, at, size, n, single in counted.agg(*found).toLocalIterator():
-                yield ((h, at >> STEP) if level > LEVELS else (h,)), at, size, n, single
+    def _count(self, keys: DataFrame, column: str, used: int, bits: int, cells: dict) -> dict[tuple, list]:
+        """The cells ``bits`` further down in each of ``cells``, in order, by one aggregation over all of them.
+
+        Every cell has at most ``2 ** bits`` of them; ``bits`` is chosen so that all together are some million at most.
+        """
+        self.rounds += 1
+        shift = KEY_BITS - used - bits
+        prefix = [F.col("h")] if column == "d" else []
+        if used:
+            prefix.append(F.shiftright(column, shift + bits))
+        if prefix:
+            # At most one row for each splitter.
+            names = [f"p{k}" for k in range(len(prefix))]
+            wanted = keys.sparkSession.createDataFrame(list(cells) if used else [c[:1] for c in cells], ", ".join(f"{n} long" for n in names))
+            keys = keys.withColumns(dict(zip(names, prefix))).join(F.broadcast(wanted), names, "left_semi").drop(*names)
+        group = [F.shiftright(column, shift).alias("at")] + ([F.col("h").alias("text")] if column == "d" else [])
+        counted = keys.groupBy(*group).agg(
+            F.sum("size").alias("size"), F.count("*").alias("n"), F.min("h").alias("h"),
+            (F.min("h") == F.max("h")).alias("one_h"), (F.min("d") == F.max("d")).alias("one_d"),
+        )
+        listed: dict[tuple, list] = {cell: [] for cell in cells}
+        for row in sorted(counted.collect(), key=lambda r: r["at"]):
+            above = (row["at"] >> bits,) if used else ()
+            listed[((row["h"],) + above) if column == "d" else above].append(row)
+        return listed
 
     def place(self, docs: DataFrame) -> DataFrame:
         """Add ``__h``, ``__d`` and ``__part``: the number of splitters at or below the row's key."""

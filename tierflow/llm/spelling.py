@@ -4,11 +4,11 @@ Two words differ by one inserted, deleted or replaced code point if and only if
 suffix reach the longer length minus one. So words are rows of padded code-point matrices, forwards and backwards, and a
 tile compares all pairs of two blocks of rows at once.
 
-Only words that share a key are laid into one tile. A word of n code points is cut into parts of about two; one edit
-changes one part only, so both words agree in what lies before some part and what lies behind it. Each word has the keys of its own
+Only words that share a key are laid into one tile. A word of n code points is cut into parts of about two (at most 16
+parts); one edit changes one part only, so both words agree in what lies before some part and what lies behind it. Each word has the keys of its own
 length (as the shorter or equal word) and of one length less (as the longer word). A pair is reported under the first key that
-fits, so it comes once. Words under one key differ in two or three code points at one place: a group cannot hold more
-words than there are such strings, and groups beyond a block are cut into blocks, each pair of blocks being a group of its own.
+fits, so it comes once. Words of usual lengths under one key differ in two or three code points at one place: a group cannot
+hold more words than there are such strings, and groups beyond a block are cut into blocks, each pair of blocks being a group of its own.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from tierflow.session import materialize
 MOST_COUNTED = 400_000
 BLOCK = 4096
 TILE = 512
+MOST_PARTS = 16
 
 # All bytes but letters and those of longer code points are blanks; of the latter, C3 leads U+00C0 to U+00FF.
 _SPLIT = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in ASCII_LOWER)
@@ -82,7 +84,7 @@ def count_words(docs: DataFrame, edit_every: int | None = None, most_counted: in
 
 def _parts(length: int) -> list[tuple[int, int]]:
     """[first, end) of the parts of a word of so many code points."""
-    n = length // 2
+    n = min(length // 2, MOST_PARTS)
     cuts = [length * k // n for k in range(n + 1)]
     return list(zip(cuts[:-1], cuts[1:]))
 
@@ -90,9 +92,10 @@ def _parts(length: int) -> list[tuple[int, int]]:
 def keyed(words: DataFrame, least_length: int) -> DataFrame:
     """(key, word, n, length, part): a row for each key of a word; ``length`` is that of the key's shorter word."""
     lengths = words.withColumn("length", F.explode(F.array(F.length("word"), F.length("word") - 1))).filter(F.col("length") >= least_length)
-    parts = lengths.withColumn("part", F.explode(F.sequence(F.lit(0), F.expr("cast(length div 2 - 1 as int)"))))
-    first = F.expr("cast(length * part div (length div 2) as int)")
-    behind = F.expr("cast(length - length * (part + 1) div (length div 2) as int)")
+    n = f"cast(least(length div 2, {MOST_PARTS}) as int)"
+    parts = lengths.withColumn("part", F.explode(F.sequence(F.lit(0), F.expr(f"{n} - 1"))))
+    first = F.expr(f"cast(length * part div {n} as int)")
+    behind = F.expr(f"cast(length - length * (part + 1) div {n} as int)")
     key = F.xxhash64("length", "part", F.substring("word", F.lit(1), first), F.substring("word", F.length("word") - behind + 1, behind))
     return parts.select(key.alias("key"), "word", "n", "length", "part")
 
@@ -141,16 +144,28 @@ def _near(prefix, suffix, one, two) -> np.ndarray:
 def near_pairs(words: list[str], starts: np.ndarray, side: np.ndarray, length: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows (indices) of one group whose words are one edit apart; groups begin at ``starts``.
 
-    Small groups are compared all at once, each row with the one k further; large ones tile by tile.
+    Words of one length class share a matrix, so a long word does not widen the rows of short ones.
     """
+    classes = np.frexp(np.maximum(length, 31))[1]
+    group = np.cumsum(np.bincount(starts, minlength=len(words)))
+    found = []
+    for c in np.unique(classes):
+        rows = np.flatnonzero(classes == c)
+        own = np.flatnonzero(np.r_[True, group[rows[1:]] != group[rows[:-1]]])
+        x, y = _pairs_of_class([words[k] for k in rows.tolist()], own, side[rows], length[rows], part[rows])
+        found.append((rows[x], rows[y]))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _pairs_of_class(words: list[str], starts: np.ndarray, side: np.ndarray, length: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Small groups are compared all at once, each row with the one k further; large ones tile by tile."""
     n = len(words)
     forwards, backwards, lengths = _matrices(words)
     sizes = np.diff(np.r_[starts, n])
     # Code points before and behind each row's part, and behind the part before it.
-    most = int(length.max(initial=3))
-    cuts = {m: _parts(m) for m in range(2, most + 1)}
-    table = np.zeros((most + 1, most, 3), np.int32)
-    for m, parts in cuts.items():
+    table = np.zeros((int(length.max()) + 1, MOST_PARTS, 3), np.int32)
+    for m in np.unique(length).tolist():
+        parts = _parts(m)
         for k, (first, end) in enumerate(parts):
             table[m, k] = first, m - end, m - parts[k - 1][1] if k else m + 2
     first, behind, earlier = table[length, part].T
@@ -200,10 +215,16 @@ def _tile(matrix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _groups(batches, most: int):
-    """Batches of sorted rows and where their groups begin, cut between groups once there are ``most`` rows."""
+    """Batches of sorted rows and where their groups begin, cut between groups once there are ``most`` rows.
+
+    A long word counts as a row for each 16 code points.
+    """
     held: list[pa.RecordBatch] = []
     rows = 0
 
+    def weight(batch):
+        return batch.num_rows + (pc.sum(pc.utf8_length(batch.column("word"))).as_py() or 0) // 16
+
     def begins(table):
         key, pair = table.column("key").to_numpy(), table.column("pair").to_numpy()
         return np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])])
@@ -212,7 +233,7 @@ def _groups(batches, most: int):
         if not batch.num_rows:
             continue
         held.append(batch)
-        rows += batch.num_rows
+        rows += weight(batch)
         if rows < most:
             continue
         table = pa.Table.from_batches(held)
@@ -221,7 +242,7 @@ def _groups(batches, most: int):
         if cut:
             yield table.slice(0, cut), starts[:-1]
         held = table.slice(cut).to_batches()
-        rows = table.num_rows - cut
+        rows = sum(map(weight, held))
     if held:
         table = pa.Table.from_batches(held)
         yield table, begins(table)

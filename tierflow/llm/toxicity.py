@@ -195,13 +195,16 @@ def fit_label_model(votes: DataFrame, model: LabelModel) -> LabelModel:
                 total += np.r_[n.sum(), toxic.sum(), n @ fired, toxic @ fired]
                 if pairs:
                     together += (fired * n[:, None]).T @ fired
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([together.tobytes() if pairs else b""])], ["total", "together"])
-
-        total, together = np.zeros(2 + 2 * size), np.zeros((size, size))
-        for row in patterns.mapInArrow(add, "total binary, together binary").toLocalIterator():
-            total += np.frombuffer(row[0])
-            together += np.frombuffer(row[1]).reshape(size, size) if pairs else 0
-        return total, together
+            found = np.r_[total, together.ravel()]
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["at", "value"])
+
+        # Added up by place, as decimals: one job, and the same sum in any order.
+        added = patterns.mapInArrow(add, "at long, value double").groupBy("at").agg(F.sum(F.col("value").cast("decimal(28,9)")).cast("double").alias("value"))
+        found = np.zeros(2 + 2 * size + size * size)
+        for row in added.collect():  # at most one row for each pair of voters
+            found[row["at"]] = row["value"]
+        return found[: 2 + 2 * size], found[2 + 2 * size :].reshape(size, size)
 
     for number in range(ROUNDS):
         total, together = sums(model, number in (0, 5))
