@@ -155,7 +155,7 @@ def read_changes(df: DataFrame, opts: ChangeOptions) -> DataFrame:
         .otherwise(F.lit(UPSERT))
     )
     packed = [pack(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in values]
-    row = F.struct(*packed) if values else F.struct(F.lit(None).alias("__none"))
+    row = F.struct(*packed) if values else F.struct(F.lit(None).cast("boolean").alias("__none"))
     return source.select(
         *[F.col(f"`{k}`") for k in keys], _sequence(opts).alias(SEQ), op.alias(OP), row.alias(ROW)
     ).where(F.col(SEQ).isNotNull())

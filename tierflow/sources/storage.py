@@ -50,6 +50,21 @@ def get_text(spark: SparkSession, path: str) -> str:
         source.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder this engine has written, with all it holds."""
+    target, fs = _resolve(spark, path)
+    fs.delete(target, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Let a finished folder appear under its name, all at once where the file system can."""
+    source, fs = _resolve(spark, path)
+    target, _ = _resolve(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def newest(spark: SparkSession, path: str, label: str) -> int | None:
     """Highest committed N among the directories ``label=N`` of ``path``."""
     start = f"{label}="
