@@ -309,13 +309,6 @@ def test_stream_counts_are_complete(spark, tmp_path):
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
 
 
-def test_streams_over_published_tables_are_refused(spark, tmp_path):
-    run = MedallionRun(spark, str(tmp_path))
-    publish(spark.range(3), f"{tmp_path}/t")
-    with pytest.raises(ValueError, match="cannot be read as a stream"):
-        run.open(f"{tmp_path}/t", streaming=True)
-
-
 def test_version_zero_and_gaps(spark, tmp_path):
 
     from tierflow.sources.tables import numbered_files, snapshot_series

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,10 @@ from tierflow.operators.snapshots import (
     snapshot_options,
     snapshot_step_type2,
 )
+from tierflow.plans.medallion import MedallionRun
+from tierflow.plans.specs import BronzeSpec, SilverSpec
 from tierflow.streaming.changes import apply_changes_stream
+from tierflow.streaming.sinks import append_stream
 
 IS_DELETE = "event_type = 'error'"
 # Every third event brings no value, every seventh no props.
@@ -268,6 +273,82 @@ def stream_cdc_scd2(spark, sf):
     return _run_changes(spark, sf, "stream-cdc2", opts, publish_every=1_000)
 
 
+# --- change feeds ---------------------------------------------------------------------------------
+
+# Two deliveries of the events; the state after each is the latest event of a user, unless that is a deletion.
+_FEED_SQL = """
+    WITH a AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_id % 3 <> 0) WHERE rn = 1 AND event_type <> 'error'),
+      b AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'),
+      feed AS (
+        SELECT a.*, 'insert' AS _change_type, 0::BIGINT AS _commit_version FROM a
+        UNION ALL SELECT b.*, CASE WHEN a.user_id IS NULL THEN 'insert' ELSE 'update' END, 1 FROM b LEFT JOIN a ON b.user_id = a.user_id WHERE a.event_id IS DISTINCT FROM b.event_id
+        UNION ALL SELECT a.*, 'delete', 1 FROM a ANTI JOIN b ON a.user_id = b.user_id)
+    """
+_DELIVERIES = ("event_id % 3 <> 0", "event_id % 3 = 0")
+
+
+@query("change_feed", _FEED_SQL + "SELECT * FROM feed")
+def change_feed(spark, sf):
+    """The row-level changes of a change target, read by one stream that is started again after the second publication."""
+    folder, events = work_dir(spark, "feed"), load(spark, sf, "events")
+    opts = ChangeOptions(("user_id",), "struct(ts, event_id)", apply_as_deletes=IS_DELETE)
+    for part in _DELIVERIES:
+        events.where(part).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        running, target = apply_changes_stream(source, f"{folder}/bronze", f"{folder}/checkpoint", opts, buckets=8)
+        running.awaitTermination()
+        changes = target.feed().stream({"readChangeFeed": "true"})
+        append_stream(changes, f"{folder}/changes", f"{folder}/checkpoint-changes").awaitTermination()
+    return spark.read.schema(changes.schema).parquet(f"{folder}/changes")
+
+
+@query(
+    "silver_over_bronze_changes",
+    _FEED_SQL + "SELECT event_id, user_id, upper(event_type) AS kind, value FROM feed WHERE _change_type <> 'delete'",
+)
+def silver_over_bronze_changes(spark, sf):
+    """Two runs of bronze change capture with a streaming silver flow over it."""
+    folder, events = work_dir(spark, "silver-feed"), load(spark, sf, "events")
+    options = {"keys": ["user_id"], "sequence_by": "struct(ts, event_id)", "scd_type": "1", "apply_as_deletes": IS_DELETE}
+    bronze = BronzeSpec(
+        "1", "g", targetDetails={"database": "raw", "table": "users"}, sourceFormat="parquet", sourceDetails={"path": f"{folder}/in"},
+        readerConfigOptions={}, schema=events.schema.json(), cdcApplyChanges=json.dumps(options),
+    )
+    silver = SilverSpec(
+        "1", "g", targetDetails={"database": "fine", "table": "users"}, sourceDetails={"database": "raw", "table": "users"},
+        selectExp=["event_id", "user_id", "upper(event_type) AS kind", "value"],
+    )
+    for part in _DELIVERIES:
+        events.where(part).write.mode("append").parquet(f"{folder}/in")
+        run = MedallionRun(spark, f"{folder}/lake", buckets=8)
+        run.run("bronze_silver", {"bronze": [bronze], "silver": [silver]})
+    return run.read(silver)
+
+
+@query(
+    "stream_cdc_final",
+    """
+    SELECT event_id, ts, user_id, event_type, value, props, event_id AS "__START_AT", nxt AS "__END_AT" FROM (
+      SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt FROM events
+    ) WHERE event_type <> 'error'""",
+    nullable=("__END_AT",),
+)
+def stream_cdc_final(spark, sf):
+    """Type 2 with a finality mark: changes come in ranges of their sequence, so none is behind it and the log stays short."""
+    folder, events = work_dir(spark, "stream-final"), load(spark, sf, "events")
+    parts = 5
+    last = events.agg(F.max("event_id")).first()[0]
+    opts = ChangeOptions(("user_id",), "event_id", "2", apply_as_deletes=IS_DELETE)
+    for part in range(parts):
+        events.where(F.expr(f"event_id * {parts} div {last + 1}") == part).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        running, target = apply_changes_stream(source, f"{folder}/out", f"{folder}/checkpoint", opts, buckets=8, final_after="10")
+        running.awaitTermination()
+    return target.read()
+
+
 # --- changes without a sequence ------------------------------------------------------------------
 
 _UNORDERED = "nullif(event_id % 7, 0)"

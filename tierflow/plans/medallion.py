@@ -34,6 +34,7 @@ from tierflow.sources.storage import (
 )
 from tierflow.sources.tables import NextSnapshot, numbered_files, read_path, snapshot_series
 from tierflow.streaming.changes import apply_changes_stream, open_changes
+from tierflow.streaming.feed import published_feed
 from tierflow.streaming.sinks import (
     AppendFlow,
     append_stream,
@@ -99,23 +100,23 @@ class MedallionRun:
     def open(self, path: str, streaming: bool = False, options: dict | None = None) -> DataFrame:
         """Main rows of a table this engine has written, whichever sink it used.
 
-        Published tables (batch and change-capture targets, snapshots) are replaced as a whole. A stream over one would bring
-        all its rows again, so it is refused.
+        A stream over a published table (batch and change-capture targets, snapshots) is its change feed: new and changed rows,
+        each once. The option ``readChangeFeed`` brings deleted rows, too, and two columns that tell what happened when.
         """
         names = children(self.spark, path)
         if LINK in names:
             return self._rejected(get_text(self.spark, f"{path}/{LINK}"))
-        published = "description" in names or current_version(self.spark, path) is not None
-        if streaming and published:
-            raise ValueError(f"{path} is published version by version and cannot be read as a stream; read it as batch")
         if "description" in names:
+            if streaming:
+                return open_changes(self.spark, path).feed().stream(options)
             df = open_changes(self.spark, path).read()
             if df is None:
                 raise FileNotFoundError(f"nothing published under {path}")
             return df
         if current_version(self.spark, path) is not None:
-            df = read_published(self.spark, path)
-            return df.where(f"{ROUTE} = 'main'").drop(ROUTE) if ROUTE in df.columns else df
+            if streaming:
+                return published_feed(self.spark, path, _main_rows).stream(options)
+            return _main_rows(read_published(self.spark, path))
         if any(n.startswith(f"{ROUTE}=") for n in names):
             return read_checked(self.spark, path, "main", streaming, options)
         return read_path(self.spark, path, streaming, options=options)
@@ -294,7 +295,7 @@ class MedallionRun:
     # --- silver ---
 
     def _silver(self, spec: SilverSpec) -> None:
-        df = self.open(self.path(spec.sourceDetails), spec.streaming)
+        df = self.open(self.path(spec.sourceDetails), spec.streaming, spec.readerConfigOptions)
 
         def transform(clear: DataFrame) -> DataFrame:
             shaped = project_then_filter(clear, spec.selectExp, spec.whereClause)
@@ -394,6 +395,10 @@ class MedallionRun:
             touch(self.spark, mark)
 
 
+def _main_rows(df: DataFrame) -> DataFrame:
+    return df.where(f"{ROUTE} = 'main'").drop(ROUTE) if ROUTE in df.columns else df
+
+
 def _view_name(table: str) -> str:
     return "src_" + table.replace(".", "_").replace("`", "")
 

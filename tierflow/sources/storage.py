@@ -50,6 +50,11 @@ def get_text(spark: SparkSession, path: str) -> str:
         source.close()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _resolve(spark, path)
+    fs.mkdirs(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder this engine has written, with all it holds."""
     target, fs = _resolve(spark, path)

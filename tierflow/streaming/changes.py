@@ -38,6 +38,7 @@ from tierflow.operators.cdc import END, OP, ROW, SEQ, START, UPSERT, ChangeOptio
 from tierflow.operators.ordering import HOT_KEY_ROWS, null_safe
 from tierflow.session import materialize
 from tierflow.sources.storage import children, exists, get_text, newest, put_text
+from tierflow.streaming.feed import CHANGE, COMMIT, FEED, INSERT, ChangeFeed, keyed_changes
 from tierflow.streaming.runs import Run, RunStore, by_latest, listed, union
 
 REJECTS = "rejects"
@@ -257,7 +258,8 @@ class ChangeTarget:
     def _sweep(self, before: Manifest, after: Manifest) -> None:
         """Remove runs that neither of the last two publications nor the change feed's last one names."""
         kept = [before, after]
-        if fed := newest(self.spark, f"{self.path}/feed", "version"):
+        fed = newest(self.spark, f"{self.path}/{FEED}", COMMIT)
+        if fed is not None:
             kept.append(self.manifest(fed))
         for store in (self.log,) if self.opts.scd_type == "1" else (self.log, self.tails, self.versions):
             names = {r.name for m in kept for r in getattr(m, store.folder)}
@@ -269,7 +271,7 @@ class ChangeTarget:
         if self.opts.scd_type == "2":
             rows = merged(self.versions, manifest.versions).where(f"NOT {GONE}")
             return rows.select(*[F.col(f"`{c}`") for c in self.stored.names], START, END)
-        return cdc.live_rows(merged(self.log, manifest.log), self.keys, self.keep, self.stored, self._truncated_at())
+        return cdc.live_rows(merged(self.log, manifest.log), self.keys, self.keep, self.stored, self._truncated_at(manifest))
 
     def read(self) -> DataFrame | None:
         """The target as last published; None before the first publication with rows."""
@@ -284,12 +286,34 @@ class ChangeTarget:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/{REJECTS}")
 
-    def _truncated_at(self):
+    def _truncated_at(self, manifest: Manifest):
         if not self._has_rows("truncates"):  # no batch held a truncate
             return None
-        points = self.spark.read.parquet(f"{self.path}/truncates")
+        points = self.spark.read.parquet(f"{self.path}/truncates").where(F.col("batch") <= manifest.batch)
         return points.agg(F.max("at")).scalar()
 
+    def feed(self) -> ChangeFeed:
+        """The target's changes from publication to publication."""
+        now = self.manifest()
+        schema = self._rows(Manifest(), lambda store, _: store.read([])).schema
+        return ChangeFeed(self.spark, self.path, schema, now.number if now.number >= 0 else None, self._between)
+
+    def _between(self, a: int | None, b: int) -> DataFrame:
+        before, after = Manifest() if a is None else self.manifest(a), self.manifest(b)
+        if self.opts.scd_type == "1":
+            store, old, new, identity = self.log, before.log, after.log, self.keys
+        else:
+            store, old, new, identity = self.versions, before.versions, after.versions, [*self.keys, START]
+        if a is None:
+            return self._rows(after, lambda store, runs: store.merged(runs)).withColumn(CHANGE, F.lit(INSERT))
+        if self.opts.apply_as_truncates:
+            # A truncate reaches keys that no new run names.
+            return keyed_changes(*[self._rows(m, lambda store, runs: store.merged(runs)) for m in (before, after)], identity)
+        # Whatever changed since is in runs that came since.
+        came = store.read([r for r in new if r not in old])
+        names = materialize(came.select(*[F.col(f"`{k}`") for k in self.keys]).distinct())
+        return keyed_changes(*[self._rows(m, lambda store, runs: store.of_keys(runs, names)) for m in (before, after)], identity)
+
     # --- description ---
 
     def describe(self) -> None:
