@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,7 +17,7 @@ from tierflow.operators.project import Hook, apply_hook, project_then_filter
 from tierflow.operators.quality import ROUTE, RuleSet, StreamCounts, apply_quality
 from tierflow.operators.snapshots import empty_history, snapshot_step_type1, snapshot_step_type2
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, Spec
-from tierflow.plans.views import ViewRegistry, build_targets
+from tierflow.plans.views import ViewRegistry, build_targets, plain_name
 from tierflow.sources import kafka
 from tierflow.sources.files import FileSource, read_files, with_ingestion_time
 from tierflow.sources.schemas import ddl_schema
@@ -307,46 +306,56 @@ class MedallionRun:
     # --- gold ---
 
     def _gold(self, specs: list[GoldSpec]) -> list[str]:
-        """All gold targets of one kind share their views. Streaming facts come first: batch targets may stand on them."""
-        written = []
-        for streaming in (True, False):
-            group = [s for s in specs if s.streaming == streaming]
-            if not group:
-                continue
-            registry = ViewRegistry(self.spark)
-            for source in {s["source_table"]: s for spec in group for s in spec.sources or []}.values():
-                if not source["source_table"].lower().startswith("live."):
-                    self._bind(registry, source, streaming)
-            # SQL may name a sibling target by its full table name; inside the run that is a view.
-            siblings = {s.table: _view_name(s.table) for s in group}
-            targets = [
-                {
-                    "target": s.table,
-                    "alias": siblings[s.table],
-                    "sources": [{**src, "source_table": _local(src["source_table"])} for src in s.sources or []],
-                    "views": [
-                        {"name": v["reference_name"], "sql": _replace_names(v["sql_condition"], siblings)}
-                        for v in s.views or []
-                    ],
-                    "pii": s.targetPiiFields,
-                }
-                for s in group
-            ]
-            frames = build_targets(registry, targets, group[0].env or "dev", self.cipher, streaming)
-            for spec in group:
-                self._write(apply_hook(frames[spec.table], self.hooks.transforms.get("gold"), spec), spec)
-                self._append_flows(spec)
-                written.append(spec.table)
+        """All gold targets share their views; each is made and written behind those it reads, whatever their kind."""
+        if not specs:
+            return []
+        registry, by_name = ViewRegistry(self.spark), {s.table: s for s in specs}
+        siblings = {plain_name(name) for name in by_name}
+        written: list[str] = []
+
+        def bound(spec: GoldSpec, source: dict) -> tuple[str, bool]:
+            """The name of a source's rows in the registry, and whether it is a stream; stream and batch of a table are two names."""
+            table = source["source_table"]
+            as_stream = spec.streaming and str(source.get("is_streaming") or "true").lower() == "true"
+            if table.lower().startswith("live.") or (plain_name(table) in siblings and not as_stream):
+                return table, as_stream
+            return f"`{table} as {'stream' if as_stream else 'table'}`", as_stream
+
+        def bind(target: dict) -> None:
+            spec = by_name[target["target"]]
+            for source in spec.sources or []:
+                name, as_stream = bound(spec, source)
+                if name != source["source_table"] and plain_name(name) not in registry.frames:
+                    registry.register(name, self._table_of_source(source["source_table"], as_stream))
+
+        def built(target: dict, df: DataFrame) -> None:
+            spec = by_name[target["target"]]
+            self._write(apply_hook(df, self.hooks.transforms.get("gold"), spec), spec)
+            self._append_flows(spec)
+            written.append(spec.table)
+            if df.isStreaming:  # who reads it by name reads what is written
+                registry.register(spec.table, self.open(self.path(spec.targetDetails)))
+
+        targets = [
+            {
+                "target": s.table,
+                "streaming": s.streaming,
+                "sources": [{**source, "source_table": bound(s, source)[0]} for source in s.sources or []],
+                "waits": [source["source_table"] for source in s.sources or []],
+                "views": [{"name": v["reference_name"], "sql": v["sql_condition"]} for v in s.views or []],
+                "pii": s.targetPiiFields,
+            }
+            for s in sorted(specs, key=lambda s: not s.streaming)  # streams first, where nothing else decides
+        ]
+        build_targets(registry, targets, specs[0].env or "dev", self.cipher, bind=bind, built=built)
         return written
 
-    def _bind(self, registry: ViewRegistry, source: dict, streaming: bool) -> None:
-        """Make a source table visible to SQL under a plain name."""
-        table = source["source_table"]
+    def _table_of_source(self, table: str, as_stream: bool) -> DataFrame:
         database, _, name = table.rpartition(".")
         path = self.path({"database": database, "table": name})
-        as_stream = streaming and str(source.get("is_streaming") or "true").lower() == "true"
-        df = self.open(path, as_stream) if children(self.spark, path) else self.spark.table(table)
-        registry.register(_view_name(table), df)
+        if children(self.spark, path):
+            return self.open(path, as_stream)
+        return self.spark.readStream.table(table) if as_stream else self.spark.table(table)
 
     # --- write ---
 
@@ -397,17 +406,3 @@ class MedallionRun:
 
 def _main_rows(df: DataFrame) -> DataFrame:
     return df.where(f"{ROUTE} = 'main'").drop(ROUTE) if ROUTE in df.columns else df
-
-
-def _view_name(table: str) -> str:
-    return "src_" + table.replace(".", "_").replace("`", "")
-
-
-def _local(table: str) -> str:
-    return table if table.lower().startswith("live.") else _view_name(table)
-
-
-def _replace_names(sql: str, names: dict[str, str]) -> str:
-    for name, view in names.items():
-        sql = re.sub(rf"(?<![\w.]){re.escape(name)}(?![\w.])", view, sql)
-    return sql
