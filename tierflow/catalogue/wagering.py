@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.catalogue.shared import load, query
+from tierflow.catalogue.shared import ORACLES, load, query, work_dir
 from tierflow.functions import channels as ch
 from tierflow.functions.crypto import Cipher, decrypt_columns, encrypt_columns
 from tierflow.operators.cdc import apply_changes
 from tierflow.operators.project import calendar_gate
 from tierflow.plans import gold
+from tierflow.plans.medallion import MedallionRun
+from tierflow.plans.specs import GoldSpec
 from tierflow.plans.views import ViewRegistry, build_targets, view_chain
 from tierflow.session import materialize
+from tierflow.sources.storage import publish
 
 # --- derived inputs, once for Spark and once for DuckDB ------------------------------------------
 
@@ -267,12 +270,77 @@ def meeting_totals(spark, sf):
     nullable=("race_no",),
 )
 def meeting_reconciliation(spark, sf):
-    bets = _bets(spark, sf)
-    # The small published targets say which places are known; the bets are computed once and read from there.
-    bets = materialize(bets)
-    others = [materialize(gold.customer_count(bets, which)) for which in gold.CUSTOMER_COUNTS]
-    others.append(materialize(gold.meeting_totals(bets)))
-    return _plain(gold.reconciliation(bets, others))
+    return _plain(gold.target_of_groups(materialize(gold.meeting_groups(_bets(spark, sf))), gold.RECONCILIATION))
+
+
+def _long(which: str, columns: str) -> str:
+    """Rows of one target under the columns that all targets have together."""
+    own = [c.strip() for c in columns.split(",")]
+    shown = [f"{c} AS {c}" if c in own else f"NULL AS {c}" for c in _GROUP_COLUMNS]
+    return f"SELECT '{which}' AS which, {', '.join(shown)}"
+
+
+_GROUP_COLUMNS = ["meeting_location", "meeting_date", *gold.DIMENSIONS]
+
+
+def _groups_sql() -> str:
+    parts = []
+    for which, own in gold.GROUPS.items():
+        listed = ", ".join(["meeting_location", "meeting_date", *own])
+        counted = "customer_id" if which in gold.CUSTOMER_COUNTS else "ticketid"
+        amounts = "NULL, NULL" if which in gold.CUSTOMER_COUNTS else "sum(CAST(ttl_cost AS DECIMAL(22,2)))::DOUBLE, max(sell_time)"
+        where = " WHERE bet_type IS NOT NULL" if which == "by_meeting_bet_type" else ""
+        parts.append(f"{_long(which, listed)}, count(DISTINCT {counted}) AS n, {amounts.replace(', ', ' AS cost, ', 1)} AS latest FROM bets{where} GROUP BY {listed}")
+    return f"{_BETS_SQL} " + " UNION ALL ".join(parts)
+
+
+@query("gold_counts_run", _groups_sql(), nullable=("race_no", "last_race_no"))
+def gold_counts_run(spark, sf):
+    """The groups of all eight targets from one pass over the bets."""
+    return _plain(gold.meeting_groups(_bets(spark, sf)))
+
+
+def _gold_specs() -> list[GoldSpec]:
+    """Eight gold targets over one shared view, as metadata: SQL texts only, in no order that would help."""
+    columns = ", ".join(c for c in gold.BET_COLUMNS if c != "sell_time")
+    sources = [
+        {"reference_name": f"{t}_vw", "source_table": f"facts.{t}", "filter_condition": "cancelled = false", "is_streaming": "false", "pii_fields": {}}
+        for t in ("pool", "fixed_odds")
+    ]
+    shared = f"SELECT {columns}, time_stamp AS sell_time FROM live.pool_vw UNION ALL SELECT {columns}, sell_time FROM live.fixed_odds_vw"
+    texts = {}
+    for which, keys in gold.CUSTOMER_COUNTS.items():
+        listed = ", ".join(keys)
+        where = " WHERE bet_type IS NOT NULL OR bet_type <> ''" if which == "by_meeting_bet_type" else ""
+        texts[which] = f"SELECT {listed}, count(DISTINCT customer_id) AS customers FROM live.bet_raw_vw{where} GROUP BY {listed}"
+    amounts = "sum(ttl_cost) AS total_investment, CAST(count(DISTINCT ticketid) AS INT) AS total_ticket"
+    keys = "meeting_location, meeting_date, race_no, seg_team_cge_transformed, channel, bet_type, fo_flag"
+    texts["totals"] = f"SELECT {keys}, {amounts} FROM live.bet_raw_vw GROUP BY {keys}"
+    known = " UNION ".join(f"SELECT meeting_location FROM mart.{which}" for which in texts)
+    texts["recon"] = f"""SELECT meeting_location, CAST(meeting_date AS DATE) AS meeting_date, CAST(last_race_no AS SMALLINT) AS race_no, {amounts}, max(sell_time) AS latest_sell_time
+      FROM live.bet_raw_vw WHERE meeting_location IN ({known}) GROUP BY meeting_location, bet_raw_vw.meeting_date, last_race_no"""
+    specs = []
+    for which in reversed(texts):
+        first = which == "by_meeting_segment"
+        views = [{"reference_name": "bet_raw_vw", "sql_condition": shared}] if first else []
+        views.append({"reference_name": f"{which}_vw", "sql_condition": texts[which]})
+        specs.append(GoldSpec(which, "g", targetDetails={"database": "mart", "table": which}, isStreaming="false", env="dev", sources=sources if first else [], views=views))
+    return specs
+
+
+@query(
+    "gold_recon_run",
+    ORACLES["meeting_reconciliation"],
+)
+def gold_recon_run(spark, sf):
+    """A run of the eight targets from their metadata: the shared view is made once, the reconciliation waits for its siblings."""
+    lake = work_dir(spark, "gold-run")
+    for table, facts in (("pool", _pool(spark, sf)), ("fixed_odds", _fixed_odds(spark, sf))):
+        publish(facts, f"{lake}/facts/{table}")
+    specs = _gold_specs()
+    run = MedallionRun(spark, lake)
+    run.run("gold", {"gold": specs})
+    return _plain(run.read(specs[0])).withColumn("race_no", F.col("race_no").cast("double"))
 
 
 @query(

@@ -203,6 +203,77 @@ def reconciliation(bets: DataFrame, others: list[DataFrame]) -> DataFrame:
     )
 
 
+# All eight targets in one pass. Each has the place and the date in its keys, and these dimensions beside them.
+DIMENSIONS = ["race_no", "last_race_no", "seg_team_cge_transformed", "channel", "bet_type", "fo_flag"]
+TOTALS, RECONCILIATION = "meeting_totals", "reconciliation"
+GROUPS = {which: keys[2:] for which, keys in CUSTOMER_COUNTS.items()} | {
+    TOTALS: ["race_no", "seg_team_cge_transformed", "channel", "bet_type", "fo_flag"],
+    RECONCILIATION: ["last_race_no"],
+}
+_CUSTOMER, _TICKET, _AMOUNTS = 0, 1, 2
+
+
+def meeting_groups(bets: DataFrame) -> DataFrame:
+    """The groups of all eight targets (``which``) with ``n`` distinct customers or tickets, ``cost`` and ``latest`` sale.
+
+    A bet counts as a customer, as a ticket and as an amount. One shuffle brings together what is known of a customer (a
+    ticket) in a meeting: the different dimensions it has there, combined before the shuffle. These are all that the
+    distinct counts of the meeting's groups need, and each customer is in one place, so counts of places only add up: exact
+    without a second look at the bets. Amounts are added by dimensions on the way. What is shuffled after that are group
+    sums, combined by task. A meeting with a third of all bets is spread over its customers and tickets.
+    """
+    dimensions = F.struct(*DIMENSIONS)
+    kind = bets.select(*DIMENSIONS, "meeting_location", "meeting_date", "customer_id", "ticketid", "ttl_cost", "sell_time").withColumn(
+        "kind", F.explode(F.array(F.lit(_CUSTOMER), F.lit(_TICKET), F.lit(_AMOUNTS)))
+    )
+    here = lambda which, column: F.when(F.col("kind") == which, column)
+    keyed = kind.select(
+        "kind", "meeting_location", "meeting_date",
+        here(_CUSTOMER, F.col("customer_id")).alias("customer"), here(_TICKET, F.col("ticketid")).alias("ticket"), here(_AMOUNTS, dimensions).alias("group"),
+        F.when(F.col("kind") != _AMOUNTS, dimensions).alias("seen"), here(_AMOUNTS, F.col("ttl_cost")).alias("cost"), here(_AMOUNTS, F.col("sell_time")).alias("latest"),
+    )
+    met = keyed.groupBy("kind", "meeting_location", "meeting_date", "customer", "ticket", "group").agg(
+        F.collect_set("seen").alias("seen"), F.sum("cost").alias("cost"), F.max("latest").alias("latest")
+    )
+    types = {f.name: f.dataType for f in bets.schema.fields}
+    seen = F.when(F.col("kind") == _AMOUNTS, F.array("group")).otherwise(F.col("seen"))
+
+    def groups(names) -> Column:
+        def of(which: str) -> Column:
+            # As configured: this count leaves out bets without a type.
+            given = F.filter(seen, lambda s: s["bet_type"].isNotNull()) if which == "by_meeting_bet_type" else seen
+            return F.transform(given, lambda s: F.struct(
+                F.lit(which).alias("which"), *[(s[d] if d in GROUPS[which] else F.lit(None).cast(types[d])).alias(d) for d in DIMENSIONS]
+            ))
+
+        return F.array_distinct(F.concat(*map(of, names)))
+
+    each = F.when(F.col("kind") == _CUSTOMER, groups(CUSTOMER_COUNTS)).otherwise(groups((TOTALS, RECONCILIATION)))
+    counts = F.coalesce("customer", "ticket").isNotNull().cast("long")
+    spread = met.select("meeting_location", "meeting_date", counts.alias("n"), "cost", "latest", F.explode(each).alias("g")).select("*", "g.*")
+    return spread.groupBy("which", "meeting_location", "meeting_date", *DIMENSIONS).agg(
+        F.sum("n").alias("n"), F.sum("cost").cast("decimal(32,2)").alias("cost"), F.max("latest").alias("latest")
+    )
+
+
+def target_of_groups(groups: DataFrame, which: str) -> DataFrame:
+    """One of the eight targets, as its own query would give it."""
+    rows = groups.where(F.col("which") == which)
+    keys = ["meeting_location", "meeting_date", *GROUPS[which]]
+    if which in CUSTOMER_COUNTS:
+        keys = CUSTOMER_COUNTS[which]
+        out = rows.select(*keys, F.col("n").alias(COUNT_NAMES.get(which, "cnt_dstnct_customer_id")))
+        if which in COUNTS_BY_DATE:
+            out = out.withColumn("meeting_date", F.col("meeting_date").cast("date"))
+        return out.withColumn("race_no", F.col("race_no").try_cast("smallint")) if which == "by_race_bet_type" else out
+    amounts = [F.col("cost").alias("total_investment"), F.col("n").cast("int").alias("total_ticket")]
+    if which == TOTALS:
+        return _shown(rows.select(*keys, *amounts))
+    known = groups.where(F.col("which") != RECONCILIATION).select("meeting_location").distinct()
+    told = rows.join(known, "meeting_location", "left_semi")
+    return _shown(told.select("meeting_location", "meeting_date", F.col("last_race_no").alias("race_no"), *amounts, F.col("latest").alias("latest_sell_time")))
+
+
 # Layout of a product-offer message and the paths that must hold a value.
 OFFER_FIELDS = [
     "crtAt", "crtBy", "id", "mtgDate", "mtgId", "pdtId", "prvStatus", "raceId", "raceSeq", "status", "updAt",
