@@ -36,11 +36,12 @@ CYRILLIC_SYLLABLES = ("ба", "бе", "бо", "да", "де", "до", "ка", "
 
 _EDGE = r"(?<![\p{L}\p{N}])"
 _END = r"(?![\p{L}\p{N}])"
-_NAME = r"\p{Lu}\p{Ll}{1,30}+"
+# A capital and more letters; inner capitals, apostrophes and hyphens belong to a name.
+_NAME = r"\p{Lu}(?:['’-]?[\p{L}\p{M}])++"
 #: Kinds in the order in which they are tried. No alternative starts inside a word, and all repeats are bounded or
-#: possessive, so the search is linear in the text.
+#: possessive, so the search is linear in the text. Nothing that may be long has an upper bound.
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "secret": _EDGE + r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+" + _END + r"|(?<=(?:" + "|".join(ASSIGNED) + r") ?[=:] ?\")[^\"\s]{8,}+(?=\")",
     "ip": r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<![\p{L}\p{N}+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])",
@@ -116,7 +117,13 @@ def _spelled(form: str) -> Column:
     # Cut at each letter and digit, so that the work follows the length of the mention and not its square.
     spelled = r"[\p{L}\p{N}\p{IsCyrillic}]"
     values = F.transform(F.regexp_extract_all(head, F.lit(spelled), F.lit(0)), one)
-    return F.concat(F.array_join(F.flatten(F.zip_with(F.split(head, spelled, -1), values, lambda p, x: F.array(p, F.coalesce(x, F.lit(""))))), ""), tail)
+    replaced = F.array_join(F.flatten(F.zip_with(F.split(head, spelled, -1), values, lambda p, x: F.array(p, F.coalesce(x, F.lit(""))))), "")
+    # Characters more, where the form's own are too few for all entities: letters in front, digits behind.
+    more = F.filter(F.sequence(F.lit(0), F.col("extra")), lambda k: k > 0)
+    digits = F.array_join(F.transform(more, lambda k: F.char(F.lit(48) + _value(k + 128) % 10)), "")
+    letters = F.array_join(F.transform(more, lambda k: F.char(F.lit(97) + _value(k + 128) % F.when(F.col("__hexadecimal"), 6).otherwise(26))), "")
+    numeric = F.col("kind").isin("phone", "card")
+    return F.concat(F.when(numeric, "").otherwise(letters), replaced, F.when(numeric, digits).otherwise(""), tail)
 
 
 def _named(form: str) -> Column:
@@ -137,26 +144,51 @@ def _octets() -> Column:
 
 
 def rendered(df: DataFrame, form: str, key: Column) -> DataFrame:
-    """Add ``surrogate``: ``form`` (a mention or a canonical form) in the surrogate of (kind, canon, attempt)."""
+    """Add ``surrogate``: ``form`` (a mention or a canonical form) in the surrogate of (kind, canon, attempt, extra)."""
     hexadecimal = (F.col("kind") == "secret") & F.col(form).rlike("^[0-9A-Fa-f]+$")
     streamed = pinned(df, __stream=_stream(key), __hexadecimal=hexadecimal)
     value = F.when(F.col("kind").startswith("name"), _named(form)).when(F.col("kind") == "ip", _octets()).otherwise(_spelled(form))
     return streamed.withColumn("surrogate", value).drop("__stream", "__hexadecimal")
 
 
+def with_room(entities: DataFrame) -> DataFrame:
+    """Add ``extra``: how many characters longer surrogates of this form must be to be four times as many as its entities.
+
+    A form is what a surrogate keeps: kind, separators, which places are letters and digits, an e-mail's last label.
+    """
+    canon = F.col("canon")
+    tail = F.when(F.col("kind") == "email", F.regexp_extract(canon, r"\.[^.]*$", 0)).otherwise("")
+    head = F.substr(canon, F.lit(1), F.length(canon) - F.length(tail))
+    shape = F.concat(F.regexp_replace(F.regexp_replace(head, r"[0-9]", "9"), r"\p{L}", "a"), tail)
+    letter = F.when((F.col("kind") == "secret") & canon.rlike("^[0-9A-Fa-f]+$"), 6.0).otherwise(26.0)
+    forms = F.length(F.regexp_replace(head, r"[^0-9]", "")) + F.length(F.regexp_replace(head, r"\P{L}", "")) * F.log10(letter)
+    spelled = F.col("kind").isin("email", "secret", "phone", "card")
+    sized = entities.select("*", F.when(spelled, shape).alias("__shape"), letter.alias("__letter"), forms.alias("__forms"))
+    more = F.when(F.col("kind").isin("phone", "card"), 1.0).otherwise(F.log10("__letter"))
+    counted = sized.groupBy("kind", "__shape", "__letter", "__forms").agg(F.count("*").alias("n")).filter("__shape is not null")
+    counted = counted.withColumn("extra", F.ceil((F.log10(4.0 * F.col("n")) - F.col("__forms")) / more).cast("int")).filter("extra > 0")
+    # Few forms are that short; the others stay as they are.
+    crowded = materialize(counted.select("kind", "__shape", "__letter", "extra"))
+    joined = sized.join(crowded, ["kind", "__shape", "__letter"], "left")
+    return joined.select("kind", "canon", F.coalesce("extra", F.lit(0)).alias("extra"))
+
+
 def distinct_surrogates(entities: DataFrame, key: Column) -> DataFrame:
-    """(kind, canon) -> attempt, so that no two entities share a surrogate and no surrogate is an entity."""
-    state = entities.withColumn("attempt", F.lit(0))
+    """(kind, canon) -> attempt and extra, so that no two entities share a surrogate and no surrogate is an entity.
+
+    Every form has several times as many surrogates as entities, so few draw again each round and none draws for ever.
+    """
+    state = materialize(with_room(entities)).withColumn("attempt", F.lit(0))
     while True:
         drawn = materialize(rendered(state, "canon", key).withColumn("surrogate", F.lower("surrogate")))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("first"))
         real = drawn.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("real"))
         judged = drawn.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
         clash = (F.col("canon") != F.col("first")) | F.col("real").isNotNull()
-        judged = judged.select("kind", "canon", "attempt", clash.alias("clash"))
+        judged = judged.select("kind", "canon", "attempt", "extra", clash.alias("clash"))
         if judged.filter("clash").isEmpty():
-            return drawn.select("kind", "canon", "attempt")
-        state = materialize(judged.select("kind", "canon", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt")))
+            return drawn.select("kind", "canon", "attempt", "extra")
+        state = materialize(judged.select("kind", "canon", "extra", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt")))
 
 
 def replace_personal_data(docs: DataFrame, key: Column) -> DataFrame:
