@@ -10,7 +10,7 @@ import pytest
 from test_edges import brute_components
 
 import corpus_pipeline
-from tierflow.llm.quality import ALL_WORDS, COMMON_WORDS, LEAST_CHARS, LEAST_WORDS, LOWER, MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE
+from tierflow.llm.quality import ALL_WORDS, COMMON_WORDS, LEAST_CHARS, LEAST_OWN_SHARE, LEAST_WORDS, MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE
 from tierflow.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -23,10 +23,10 @@ def key60(text):
 
 def histograms(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
-    lower, upper, digits = (sum(c in s for c in text) for s in (LOWER, LOWER.upper(), "0123456789"))
-    space, symbols, beyond = len(re.findall(r"[\x20\x09-\x0D]", text)), len(re.findall(r"[#*$%&|<>]", text)), len(text.encode()) - len(text)
-    classes = [lower, upper, digits, space, symbols, beyond]
-    classes.append(max(0, len(text) - sum(classes)))
+    letters, upper, digits = len(re.findall("[a-z]|[^\x00-\x7f]", text)), len(re.findall("[A-Z]", text)), len(re.findall("[0-9]", text))
+    space, symbols = len(re.findall(r"[\x20\x09-\x0D]", text)), len(re.findall(r"[#*$%&|<>]", text))
+    classes = [letters, upper, digits, space, symbols]
+    classes.append(len(text) - sum(classes))
     known = Counter(w.lower() for w in words)
     return words, classes, [known[w] for w in ALL_WORDS]
 
@@ -42,12 +42,20 @@ def shares(classes, words, n):
     return [c / max(1, sum(classes)) for c in classes], [w / max(1, n) for w in words] + [max(0, n - sum(words)) / max(1, n)]
 
 
+def own_share(words):
+    """Share of the words that a text of few listed words repeats as prose does."""
+    counts = Counter(w.lower() for w in words if any(c.isalpha() for c in w))
+    often = max(3, len(words) // 100)
+    few = 3 * sum(w.lower() in ALL_WORDS for w in words) < len(words)
+    return sum(n for n in counts.values() if n >= often) / len(words) if few else 0.0
+
+
 def brute_quality(docs):
     sums = {}
     for d in docs:
         if d["lang"] in COMMON_WORDS:
             words, classes, common = histograms(d["text"] or "")
-            c, w, n = sums.setdefault(d["lang"], ([0] * 7, [0] * len(ALL_WORDS), [0]))
+            c, w, n = sums.setdefault(d["lang"], ([0] * 6, [0] * len(ALL_WORDS), [0]))
             for k, x in enumerate(classes):
                 c[k] += x
             for k, x in enumerate(common):
@@ -65,7 +73,7 @@ def brute_quality(docs):
         p, q = shares(classes, common, len(words))
         if len(text) >= LEAST_CHARS and min(distance(p, r[0]) for r in known) > MOST_CLASS_DISTANCE:
             continue
-        if len(words) >= LEAST_WORDS and min(distance(q, r[1]) for r in known) > MOST_WORD_DISTANCE:
+        if len(words) >= LEAST_WORDS and own_share(words) < LEAST_OWN_SHARE and min(distance(q, r[1]) for r in known) > MOST_WORD_DISTANCE:
             continue
         out.append(d["doc_id"])
     return out

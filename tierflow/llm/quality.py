@@ -1,11 +1,12 @@
 """Quality rules: counts of every text, and the divergence of its histograms from language references.
 
-A text has two histograms: characters by class (lower case, upper case, digits, white space, symbols, other ASCII, bytes
-beyond ASCII) and common words (a share for each listed word of each language, and the rest). A language reference is
+A text has two histograms: characters by class (small letters and all beyond ASCII, capitals, digits, white space, symbols,
+other ASCII) and common words (a share for each listed word of each language, and the rest). A language reference is
 the same histogram summed over all documents of that language that pass the base rule, so every reference is a statistic of the
 whole table. A text is judged by the Jensen-Shannon distance (base 2, 0 to 1) to its nearest reference, each histogram by itself;
 short texts are not judged, as their histograms are mostly chance. Distances of common words are scaled so that a text without a
-listed word is ``BARE_DISTANCE`` from every reference: the limit does not hang on how many such texts a language has.
+listed word is ``BARE_DISTANCE`` from every reference: the limit does not hang on how many such texts a language has. A text with
+frequent words of its own, as prose of any language has, is of a language without a list: its words are not judged.
 
 Rows are read once; what is counted per document is written as a narrow table, from which references and verdicts come.
 Everything is a built-in expression. Texts may have any length: trigrams are compared by 64-bit hashes in sorted order.
@@ -32,7 +33,8 @@ ALL_WORDS = sorted({w for words in COMMON_WORDS.values() for w in words})
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OTHERS = "".join(c for c in map(chr, range(128)) if not c.isalnum() and c not in SPACES + SYMBOLS)
 
 # Limits of the verdict.
 MOST_CLASS_DISTANCE = 0.30
@@ -40,6 +42,8 @@ MOST_WORD_DISTANCE = 0.31
 BARE_DISTANCE = 1 / 3
 LEAST_CHARS = 200
 LEAST_WORDS = 100
+# Prose of any language: words that occur three times and make up a hundredth of it are this share of it together.
+LEAST_OWN_SHARE = 0.05
 
 
 def _counted(text: Column, characters: str) -> Column:
@@ -61,6 +65,10 @@ def profile(docs: DataFrame) -> DataFrame:
     lowered = F.filter(F.transform("__w", F.lower), lambda w: w.isin(ALL_WORDS))
     common = F.concat(F.lit(" "), F.array_join(lowered, "  "), F.lit(" "))
     split = pinned(split, __t=trigrams, __c=common)
+    # Where less than a third of the words are listed ones: the words in order, so that equal ones stand together.
+    bare = (n >= LEAST_WORDS) & (3 * F.regexp_count("__c", F.lit(r"\S+")) < n)
+    letters = F.filter(F.transform("__w", F.lower), lambda w: w.rlike(r"\p{L}"))
+    split = pinned(split, __o=F.when(bare, F.sort_array(letters)), __k=F.greatest(F.lit(3), F.expr("cast(size(__w) div 100 as int)")))
     repeated = F.size(F.array_distinct("__t")) < F.size("__t")
     split = pinned(split, __s=F.when(repeated, F.sort_array("__t")))
     # Hashes that stand next to an equal one in sorted order.
@@ -84,9 +92,7 @@ def profile(docs: DataFrame) -> DataFrame:
         lambda a: a["n"],
     )
     chars, space = F.length(text).cast("long"), _counted(text, SPACES)
-    lower, upper, digits, symbols = _counted(text, LOWER), _counted(text, LOWER.upper()), _counted(text, "0123456789"), _counted(text, SYMBOLS)
-    beyond = (F.octet_length(text) - F.length(text)).cast("long")
-    known = lower + upper + digits + symbols + space
+    upper, digits, symbols, others = _counted(text, UPPER), _counted(text, "0123456789"), _counted(text, SYMBOLS), _counted(text, OTHERS)
     found = [((F.length("__c") - F.length(F.replace(F.col("__c"), F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long") for w in ALL_WORDS]
     counts = F.struct(
         n.cast("long").alias("n_words"),
@@ -95,10 +101,20 @@ def profile(docs: DataFrame) -> DataFrame:
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("__s").isNull(), F.lit(0).cast("long")).otherwise(covered).alias("n_repeat_words"),
         chars.alias("chars"),
-        F.array(lower, upper, digits, space, symbols, beyond, F.greatest(chars - known - beyond, F.lit(0))).alias("classes"),
+        F.array(chars - upper - digits - symbols - space - others, upper, digits, space, symbols, others).alias("classes"),
         F.array(*found).alias("words"),
+        _own_words().alias("own_words"),
     )
-    return split.withColumn("__p", counts).drop("__w", "__l", "__t", "__c", "__s", "__2", "__q")
+    return split.withColumn("__p", counts).drop("__w", "__l", "__t", "__c", "__s", "__2", "__q", "__o", "__k")
+
+
+def _own_words() -> Column:
+    """Number of words that are frequent in the text: each three times and a hundredth of it at least."""
+    follower = lambda i: F.get("__o", i + F.col("__k") - 1)
+    begins = F.filter("__o", lambda w, i: F.coalesce(follower(i) == w, F.lit(False)))
+    first = F.filter("__o", lambda w, i: F.coalesce(follower(i) == w, F.lit(False)) & ((i == 0) | (F.get("__o", F.greatest(i - 1, F.lit(0))) != w)))
+    # A word of n >= k places begins n - k + 1 stretches of k.
+    return F.when(F.col("__o").isNull(), 0).otherwise(F.size(begins) + F.size(first) * (F.col("__k") - 1)).cast("long")
 
 
 def base_failed(p: str = "__p") -> Column:
@@ -108,11 +124,11 @@ def base_failed(p: str = "__p") -> Column:
 def references(profiles: DataFrame) -> list[tuple[list[float], list[float]]]:
     """Histograms of the languages with a word list, over their documents that pass the base rule: at most one row for each list."""
     known = profiles.filter(F.col("lang").isin(sorted(COMMON_WORDS)) & ~base_failed())
-    sums = [F.sum(F.get("__p.classes", F.lit(i))) for i in range(7)] + [F.sum("__p.n_words")]
+    sums = [F.sum(F.get("__p.classes", F.lit(i))) for i in range(6)] + [F.sum("__p.n_words")]
     sums += [F.sum(F.get("__p.words", F.lit(i))) for i in range(len(ALL_WORDS))]
     out = []
     for row in known.groupBy("lang").agg(*sums).orderBy("lang").collect():
-        classes, n, words = row[1:8], row[8], row[9:]
+        classes, n, words = row[1:7], row[7], row[8:]
         if n and sum(classes):
             out.append(([c / sum(classes) for c in classes], [w / n for w in words] + [max(0, n - sum(words)) / n]))
     return out
@@ -157,7 +173,8 @@ def judge(profiles: DataFrame, known: list[tuple[list[float], list[float]]]) ->
 
     by_class = F.when(F.col("__p.chars") >= LEAST_CHARS, nearest([divergence(F.col("__cs"), classes) for classes, _ in known]))
     bare = [(words, bare_distance(words)) for _, words in known if words[-1] < 1]
-    by_word = F.when(F.col("__p.n_words") >= LEAST_WORDS, nearest([divergence(F.col("__ws"), words) * (BARE_DISTANCE / most) for words, most in bare]))
+    prose = F.col("__p.own_words") >= LEAST_OWN_SHARE * F.col("__p.n_words")
+    by_word = F.when((F.col("__p.n_words") >= LEAST_WORDS) & ~prose, nearest([divergence(F.col("__ws"), words) * (BARE_DISTANCE / most) for words, most in bare]))
     judged = pinned(shaped, class_distance=by_class, word_distance=by_word, base_failed=base_failed()).drop("__cs", "__ws")
     fits = (F.coalesce("class_distance", F.lit(0.0)) <= MOST_CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MOST_WORD_DISTANCE)
     return judged.withColumn("kept", ~F.col("base_failed") & fits)
@@ -167,8 +184,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, both distances and kept.
 
     A NULL text counts as empty: no words, so the base rule fails it. Documents of a NULL or unlisted language add
-    nothing to the references but are judged like all others, by the nearest reference; without any reference (an empty
-    table, or no listed language) the distances are NULL and the base rule decides alone. Repeated rows are judged apart.
+    nothing to the references but are judged like all others, by the nearest reference, in their characters; in their words only
+    if they have hardly any frequent word, as lists and noise have. Without any reference (an empty table, or no listed
+    language) the distances are NULL and the base rule decides alone. Repeated rows are judged apart.
     """
     profiles = materialize(profile(docs.select("doc_id", "lang", "text")).drop("text"))
     judged = judge(profiles, references(profiles))
