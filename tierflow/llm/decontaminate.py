@@ -6,13 +6,14 @@ Where the shift is 0, the block is the suffix of some patterns; the bucket of th
 compared with the text, word by word. Words that no item has make a block that no pattern has, so plain text is crossed
 in jumps of nearly a whole window.
 
-Items are cut into blocks of at most ``block_words`` words in all; each block of patterns goes to every task and the
-documents are passed once for each block. One block holds far more than the known test sets.
+Items are cut into blocks of about ``block_words`` words in all; each block of patterns goes to every task and the documents
+are passed once for each block. A block's tables take some hundred MB in a task; usual test sets are a few blocks.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ from tierflow.session import materialize
 # Lower-case A-Z, blank out every other ASCII byte that is no letter or digit.
 _WORD_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in ASCII_LOWER)
 
+BLOCK_WORDS = 300_000
+
 FOUND = T.StructType(
     [
         T.StructField("words", T.LongType()),
@@ -94,7 +97,7 @@ class Patterns:
         found: set[int] = set()
         for searcher in self.searchers:
             searcher.search(numbers, hits, found)
-        return len(words), merged(hits), sorted(found)
+        return len(words), merged(hits), sorted(found - {None}) + [None] * (None in found)
 
 
 def merged(ranges) -> list[tuple[int, int]]:
@@ -108,9 +111,9 @@ def merged(ranges) -> list[tuple[int, int]]:
 
 
 def _item_blocks(benchmark: DataFrame, block_words: int):
-    """Lists of (item_id, text); one list at a time is on the driver. Texts without words and NULL ids are no items."""
+    """Lists of (item_id, text); one list at a time is on the driver. Texts without words are no items."""
     block, words = [], 0
-    rows = benchmark.filter("item_id is not null and text is not null").select("item_id", F.encode("text", "UTF-8"))
+    rows = benchmark.filter("text is not null").select("item_id", F.encode("text", "UTF-8"))
     for item_id, text in rows.toLocalIterator():
         block.append((item_id, bytes(text)))
         words += len(words_of(block[-1][1]))
@@ -141,21 +144,22 @@ def _scan(docs: DataFrame, block: list[tuple[int, bytes]], width: int, keep: lis
     return given.mapInArrow(search, schema)
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = 5_000_000) -> DataFrame:
+def find_items(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, ranges of hit words (merged, first and last) and the items with an occurring window.
 
     NULL and empty texts have no words and no hits; a repeated row is searched as often as it stands there. Without items
-    nothing is hit. Several blocks are joined by a row number that a written copy of the ids fixes.
+    nothing is hit. Items with a NULL id are searched like others and count as one, last in ``items``. Several blocks are
+    joined by a row number that a written copy of the ids fixes; one block at a time is on the driver.
     """
-    blocks = list(_item_blocks(benchmark, block_words)) or [[]]
-    if len(blocks) == 1:
-        found = _scan(docs.select("doc_id", "text"), blocks[0], width, ["doc_id"])
+    blocks = _item_blocks(benchmark, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        found = _scan(docs.select("doc_id", "text"), first, width, ["doc_id"])
         return found.select("doc_id", F.col("__found.words").alias("n_words"), F.col("__found.hits").alias("hits"), F.col("__found.items").alias("items"))
     fixed = materialize(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("__row")))
-    parts = [_scan(fixed, block, width, ["doc_id", "__row"]) for block in blocks]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    every = materialize(_scan(fixed, first, width, ["doc_id", "__row"]))
+    for block in chain([second], blocks):
+        every = every.unionByName(materialize(_scan(fixed, block, width, ["doc_id", "__row"]).filter(F.size("__found.hits") > 0)))
     grouped = every.groupBy("__row").agg(
         F.first("doc_id").alias("doc_id"),
         F.max("__found.words").alias("n_words"),
@@ -172,12 +176,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_wor
     return grouped.select("doc_id", "n_words", joined.alias("hits"), "items")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = 5_000_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents without any hit, all columns; one pass for each block of items."""
-    kept = docs
+    # The row travels packed, so that none of its columns can clash with those made here.
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     for block in _item_blocks(benchmark, block_words):
-        names = kept.columns
-        kept = _scan(kept, block, width, names).filter(F.size("__found.items") == 0).select([F.col(f"`{c}`") for c in names])
-    return kept
-
-
+        kept = _scan(kept, block, width, ["row", "text"]).filter(F.size("__found.hits") == 0).select("row", "text")
+    return kept.select([F.col(f"row.`{c}`") for c in docs.columns])

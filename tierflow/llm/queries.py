@@ -122,7 +122,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
     )
 
 
