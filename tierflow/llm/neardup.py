@@ -281,15 +281,17 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
 
     Documents with a NULL id and those without words stay. Of rows that agree in id and text one stays.
     """
-    judged = materialize(near_duplicates(docs, width, percent))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    left = docs.hint("merge").join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
-    repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__id"))
+    judged = materialize(near_duplicates(docs.select("doc_id", "text"), width, percent))
+    # The row travels packed, so that none of its columns can clash with those made here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
+    names = [F.col(f"row.`{c}`") for c in docs.columns]
+    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    left = packed.hint("merge").join(gone, F.col("id") == F.col("gone_id"), "left_anti")
+    repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("repeated_id"))
     if repeated.isEmpty():
-        return left
-    same = F.col("doc_id").cast("long") == F.col("__id")
-    number = F.row_number().over(Window.partitionBy("doc_id", F.md5(F.encode("text", "UTF-8"))).orderBy(F.lit(0)))
-    several = left.join(repeated, same, "left_semi").withColumn("__number", number)
-    once = several.filter((F.col("__number") == 1) | F.col("text").isNull()).select(*names)
-    return left.join(repeated, same, "left_anti").unionByName(once)
+        return left.select(*names)
+    same = F.col("id") == F.col("repeated_id")
+    number = F.row_number().over(Window.partitionBy("id", F.md5(F.encode("text", "UTF-8"))).orderBy(F.lit(0)))
+    several = left.join(repeated, same, "left_semi").withColumn("number", number)
+    once = several.filter((F.col("number") == 1) | F.col("text").isNull()).select(*names)
+    return left.join(repeated, same, "left_anti").select(*names).unionByName(once)
