@@ -365,3 +365,98 @@ def test_splitters_take_one_job_a_round(spark):
         below += size
     for (h, d), (upper_h, upper_d, n) in zip(want, found.bounds):
         assert placed[n - 1][:2] == (h, d) and (n == len(placed) or placed[n][:2] >= (upper_h, upper_d) > (h, d))
+
+
+# Ordinary passages of languages without a word list.
+FOREIGN = {
+    "it": "Il paese si trova in una valle tranquilla e la strada che porta alla piazza passa accanto alla chiesa. Ogni mattina il fornaio apre la bottega e il profumo del pane "
+    "si sente fino alla fontana. I bambini vanno a scuola a piedi e si fermano a guardare il mulino che gira con il vento. La domenica la gente si ritrova al mercato, dove il contadino "
+    "vende la frutta e il pastore porta il formaggio. Quando arriva la sera, il sole scende dietro la montagna e la luce cambia il colore delle case. Mia nonna racconta sempre la storia "
+    "di un viaggiatore che si era perso nella neve e che trovò riparo presso il mulino, dove il mugnaio gli diede una minestra calda e un letto per la notte.",
+    "ru": "В старом доме на берегу реки жил рыбак и его сын. Каждое утро они выходили на берег и смотрели на воду, а потом садились в лодку и плыли на середину реки. Рыбак знал, где "
+    "стоит рыба, и учил сына не спешить и ждать. Вечером они возвращались домой и варили уху на костре. Сын спрашивал, что было на реке, когда отец был молод, и рыбак рассказывал "
+    "о больших пароходах и о людях, которые приезжали в деревню на ярмарку. Потом они сидели и смотрели на огонь, и на небе были видны звёзды. На другой день всё начиналось снова, и "
+    "река была та же, и лодка была та же, и они были рады, что у них есть дом и есть что делать на воде и на берегу.",
+    "pl": "W małym mieście nad rzeką stoi dom, w którym mieszka stary zegarmistrz. Na ścianie w jego pracowni wisi wiele zegarów i każdy z nich pokazuje inną godzinę. Ludzie mówią, że "
+    "to dziwne, ale on się tylko śmieje i mówi, że czas nie jest dla wszystkich taki sam. Rano idzie na rynek i kupuje chleb, a potem siada na ławce i patrzy na gołębie. Dzieci "
+    "lubią do niego przychodzić, bo opowiada im o podróżach i o tym, co widział na morzu. Wieczorem w oknie pracowni pali się światło i słychać, jak zegary biją jeden po drugim. "
+    "Kto raz tam był, ten na długo pamięta ten dom i ten dźwięk, i wraca, kiedy jest w mieście, żeby się z nim przywitać.",
+    "tr": "Köyün girişinde büyük bir çınar ağacı ve onun altında eski bir çeşme vardır. Yaz gelince herkes bu ağacın altında oturur ve çay içer. Dedem bana bu çeşmenin çok eski bir "
+    "hikayesi olduğunu anlatmıştı. Bir gün köye bir yolcu gelmiş ve su istemiş, ama o yıl kuraklık varmış ve kuyularda su kalmamış. Yolcu elindeki değnekle yere vurmuş ve oradan su çıkmış. "
+    "O günden beri bu su hiç kesilmemiş. Şimdi çocuklar çeşmenin başında oynar, kadınlar su doldurur ve yaşlılar gölgede konuşur. Akşam olunca köy sessiz olur, ama çeşmenin sesi "
+    "bütün gece duyulur. Ben de her yaz köye gidince önce bu çeşmeden bir bardak su içer ve ağacın altında biraz dinlenirim. Bu köy benim için bir ev ve bir hatıradır.",
+}
+
+
+@pytest.mark.parametrize("label", ["own", None, "en"])
+def test_prose_of_languages_without_a_list_stays(spark, label):
+    draw = random.Random(4)
+    rest = prose(30, 400).split()
+    rows = [(i, "en", " ".join(draw.choice(COMMON_WORDS["en"]) if draw.random() < 0.3 else draw.choice(rest) for _ in range(300))) for i in range(30)]
+    rows += [(100 + k, lang if label == "own" else label, text) for k, (lang, text) in enumerate(FOREIGN.items())]
+    rows += [(200, label, " | ".join(prose(77, 200).split())), (201, label, prose(78, 250)), (202, "en", "### 47853805 $$$ 1139 %%% " * 3 + "12 34 56 &&& " * 40)]
+    kept = {r["doc_id"] for r in quality_rules(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect() if r["kept"]}
+    assert all(len(t.split()) >= 100 for t in FOREIGN.values())
+    assert kept == {*range(30), *range(100, 104)}
+
+
+MENTIONS = [
+    f"{'a' * 70}@mail.example.com", "ann@" + ".".join("abcdefghijk") + ".com", f"x@{'y' * 80}.org", "Mr McDonald", "Ms O'Neil", "Mrs Anna-Lena Smith", "Frau Müller-Lüdenscheidt",
+    f"Mr A{'b' * 60}", "Mme D’Arcy", "Herr VON BERG", "Señora Núñez",
+]
+
+
+@pytest.mark.parametrize("mention", MENTIONS)
+def test_long_mails_and_names_of_any_shape_go_whole(spark, mention):
+    text = f"of {mention}, and {mention} too"
+    row = replace_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"), F.lit("k")).first()
+    title, _, rest = mention.partition(" ") if "@" not in mention else ("", "", mention)
+    parts = [p for p in rest.replace("@", " ").replace(".", " ").replace("-", " ").split() if len(p) > 3 or "@" in mention and len(p) > 1 and p not in ("com", "org")]
+    assert row["n_entities"] == 2 and not [p for p in parts if p in row["text"]]
+    new = row["text"].removeprefix("of ").removesuffix(" too").split(", and ")
+    assert new[0] == new[1] and new[0].startswith(title)
+
+
+def test_used_up_forms_get_longer_surrogates(spark):
+    """468 of the 676 addresses of a form are real: no distinct unreal ones of that form exist."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.io" for a in letters for b in letters[:18]]
+    cards = [f"{k:013d}" for k in range(5)]
+    docs = spark.createDataFrame([(k, f"write to {m} now") for k, m in enumerate(mails)] + [(1000 + k, f"card {c}.") for k, c in enumerate(cards)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in replace_personal_data(docs, F.lit("k")).collect()}
+    new = [out[k].split()[2] for k in range(len(mails))]
+    assert len(set(new)) == len(mails) and not set(new) & set(mails) and all(m.endswith(".io") and m.count("@") == 1 for m in new)
+    assert all(len(out[1000 + k]) == len(f"card {c}.") for k, c in enumerate(cards))
+
+
+def test_items_without_an_id_are_searched(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, text, 7), (2, "other words", 7), (3, "say hello", 7)], "doc_id long, text string, __id int")
+    items = spark.createDataFrame([(None, text), (None, "hello"), (5, "w1 w2 w3")], "item_id long, text string")
+    for block_words in (300_000, 1):
+        got = {r["doc_id"]: (r["n_words"], sum(h["last"] - h["first"] + 1 for h in r["hits"]), r["items"]) for r in find_items(docs, items, block_words=block_words).collect()}
+        assert got == {1: (30, 30, [5, None]), 2: (2, 0, []), 3: (2, 1, [None])}
+        assert [r["doc_id"] for r in drop_contaminated(docs, items, block_words=block_words).collect()] == [2]
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    names = ["__id", "__number", "row", "id", "gone_id", "repeated_id", "number", "__found", "__row", "__text"]
+    rows = [(k, prose(k // 2, 80) if k < 8 else "x", *range(len(names))) for k in (0, 1, 2, 3, 4, 4, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [0, 2, 4, 8]
+    clean = drop_contaminated(docs, spark.createDataFrame([(1, "nothing of it")], "item_id long, text string"))
+    assert clean.count() == 7 and clean.columns == docs.columns
+
+
+@pytest.mark.parametrize("width", [1, 5, 35, 60, 63, 64, 65, 130])
+def test_repeats_of_any_width(spark, width):
+    draw = random.Random(width)
+    texts = [" ".join(draw.choice("ab") if draw.random() < 0.97 else f"x{draw.randrange(400)}" for _ in range(draw.randint(width, 4 * width + 9))) for _ in range(6)]
+    texts += [" ".join(["p q r"] * width), texts[0][: len(texts[0]) // 2], "s " * (width - 1), "t " * (width + 1)]
+    windows = Counter(tuple(t.split()[i : i + width]) for t in texts for i in range(len(t.split()) - width + 1))
+    got = {r["doc_id"]: r["kept_words"] for r in remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), width).collect()}
+    for k, t in enumerate(texts):
+        w = t.split()
+        gone = {i + j for i in range(len(w) - width + 1) if windows[tuple(w[i : i + width])] > 1 for j in range(width)}
+        assert got[k] == " ".join(x for i, x in enumerate(w) if i not in gone), (width, k)

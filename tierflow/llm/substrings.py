@@ -30,7 +30,8 @@ from tierflow.llm.neardup import _blocked, _mix
 from tierflow.session import materialize
 
 GRAM = 8
-DEPTH = 64
+# Words by which suffixes are ordered, beyond the width of a window, at least.
+BEYOND = 29
 SHARD_WORDS = 1_500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 # Masks of the bits below a place in a word of 64.
@@ -117,8 +118,9 @@ class WaveletMatrix:
 class FMIndex:
     """Backward search over the different segments of a shard, each with the number of places it stands at."""
 
-    def __init__(self, pieces: list[np.ndarray], weights: np.ndarray, symbols: int):
-        """``pieces``: word numbers from 1; ``symbols``: one more than the largest."""
+    def __init__(self, pieces: list[np.ndarray], weights: np.ndarray, symbols: int, width: int):
+        """``pieces``: word numbers from 1; ``symbols``: one more than the largest; windows of ``width`` words are searched."""
+        self.depth = 1 << (width + BEYOND - 1).bit_length()
         lengths = np.array([len(p) for p in pieces])
         self.first = np.r_[0, np.cumsum(lengths + 1)[:-1]]
         text = np.zeros(int((lengths + 1).sum()), np.int64)
@@ -131,12 +133,11 @@ class FMIndex:
         self.weight = np.r_[0, np.cumsum(weights[owner[order]])]
         self.text = text
 
-    @staticmethod
-    def _suffixes(text: np.ndarray) -> np.ndarray:
-        """Suffixes in the order of their first ``DEPTH`` words, by prefix doubling."""
+    def _suffixes(self, text: np.ndarray) -> np.ndarray:
+        """Suffixes in the order of their first ``depth`` words, by prefix doubling."""
         n, rank, depth = len(text), text, 1
         order = np.argsort(rank, kind="stable")
-        while depth < DEPTH:
+        while depth < self.depth:
             after = np.zeros(n, np.int64)
             after[: n - depth] = rank[depth:] + 1
             key = rank * (n + 2) + after
@@ -164,7 +165,7 @@ def repeated_intervals(index: FMIndex, pieces: np.ndarray, lengths: np.ndarray,
     where it fails; after a success it looks ``g`` words further to the right, and at half of that where this fails.
     """
     out: list[tuple[int, int, int]] = []
-    stretch = DEPTH - 2 - width
+    stretch = index.depth - 2 - width
     whole = len(index.text)
     piece, length, base = pieces, lengths, index.first[pieces]
     s, g = np.zeros(len(piece), np.int64), np.zeros(len(piece), np.int64)
@@ -212,7 +213,7 @@ def search_shard(rows: list[tuple[bytes, int, bytes, int]], width: int) -> list[
         out += [(doc, first, first + len(pieces[k])) for doc, first in owners[contents[k]]]
     once = np.flatnonzero(counts == 1)
     if len(once):
-        index = FMIndex(pieces, counts, len(numbers) + 1)
+        index = FMIndex(pieces, counts, len(numbers) + 1, width)
         lengths = np.array([len(pieces[k]) for k in once], np.int64)
         for k, first, end in repeated_intervals(index, once, lengths, width):
             out += [(doc, at + first, at + end) for doc, at in owners[contents[k]]]
