@@ -6,16 +6,19 @@ from collections import Counter
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.operators.cdc import ChangeOptions, apply_changes
+from tierflow.operators.snapshots import apply_snapshots, snapshot_options
 from tierflow.plans.medallion import MedallionRun
 from tierflow.plans.specs import BronzeSpec, SilverSpec
 from tierflow.sources.storage import children, publish
 from tierflow.streaming.changes import ChangeTarget, open_changes
 from tierflow.streaming.feed import CHANGE, COMMIT, keyed_changes, published_feed, row_changes
 from tierflow.streaming.runs import FAN, Run, RunStore
+from tierflow.streaming.snapshots import SnapshotTarget, open_snapshots
 
 DDL = "k int, seq int, op string, a int, b int"
 DEL = "op = 'D'"
@@ -202,3 +205,52 @@ def test_streaming_silver_over_change_capture_bronze(spark, tmp_path):
     assert arrived == [[(1, "A", 1), (2, "B", 1)], [(1, "A", 1), (2, "B", 1), (3, "C", 1)], [(1, "A", 1), (1, "Z", 5), (2, "B", 1), (3, "C", 1)]]
     assert rows(run.read(whole)) == rows(run.read(bronze)) == [(1, "z", 5), (3, "c", 1)]
     assert children(spark, str(tmp_path / "lake/raw/c/feed"))
+
+
+# --- snapshots ---
+
+
+def snapshot_frame(spark, rows_of):
+    return spark.createDataFrame(rows_of, "k int, a string, m map<string,int>, b int")
+
+
+@pytest.mark.parametrize("scd, tracked", [("1", None), ("2", None), ("2", ["a", "m"])])
+@pytest.mark.parametrize("digests", [3, 1 << 16])
+def test_snapshots_by_changes_give_the_series_result(spark, tmp_path, scd, tracked, digests):
+    draw = random.Random(digests)
+    series = []
+    for version in (0, 2, 3, 7, 8, 9):
+        keys = [k for k in [None, *range(9)] if draw.random() < 0.8]
+        series.append((snapshot_frame(spark, [(k, draw.choice("xy"), {"p": draw.randrange(2)} if draw.random() < 0.8 else None, draw.randrange(2)) for k in keys]), version))
+    opts = snapshot_options(["k"], scd, tracked)
+    made = SnapshotTarget(spark, str(tmp_path / "t"), series[0][0].schema, opts, buckets=2, digests=digests)
+    made.describe()
+    state, seen = {}, 0
+    shown = ["k", "a", "m['p']", "b"] + (["__START_AT", "__END_AT"] if scd == "2" else [])
+    for n, (df, version) in enumerate(series):
+        made.apply(df, version)
+        want = apply_snapshots(series[: n + 1], ["k"], scd, tracked)
+        assert rows(open_snapshots(spark, str(tmp_path / "t")).read().selectExpr(*shown)) == rows(want.selectExpr(*shown))
+        if n in (1, 2, 5):
+            feed = drained(made.feed().stream({"readChangeFeed": "true"}), tmp_path)
+            for r in feed.where(f"{COMMIT} = {version}").selectExpr(*[f"{c} AS c{i}" for i, c in enumerate(shown)], CHANGE).collect():
+                row, kind = tuple(r)[:-1], r[CHANGE]
+                key = (row[0], row[4]) if scd == "2" else row[0]
+                assert (key in state) == (kind != "insert")
+                state.pop(key) if kind == "delete" else state.update({key: row})
+            assert sorted(state.values(), key=str) == sorted((tuple(r) for r in made.read().selectExpr(*shown).collect()), key=str)
+    with pytest.raises(ValueError, match="does not follow"):
+        made.apply(series[0][0], 9)
+
+
+def test_a_snapshot_with_few_changes_writes_few_rows(spark, tmp_path):
+    base = spark.range(20_000).selectExpr("id AS k", "id % 7 AS v")
+    made = SnapshotTarget(spark, str(tmp_path / "t"), base.schema, snapshot_options(["k"], "2"), buckets=2)
+    made.describe()
+    made.apply(base, 1)
+    made.apply(base.selectExpr("k", "if(k % 100 = 0, -1, v) AS v"), 2)
+    assert [r.rows for r in made._runs(2)] == [20_000, 200] and made._closed(2).count() == 200
+    assert made.read().count() == 20_200 and made.read(1).count() == 20_000
+    with pytest.raises(PySparkException, match="twice"):
+        made.apply(base.union(base.limit(1)), 3)
+    assert made.version() == 2

@@ -24,47 +24,34 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().where("count > 1")
 
 
-def _equal(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[k] == right[f"__k_{k}"] for k in keys))
-
-
 def keyed_merge(
     target: DataFrame, upserts: DataFrame, keys: list[str], protected: tuple[str, ...] = ()
 ) -> DataFrame:
     """Target after an upsert: matched rows take every column but ``protected``, others are added.
 
     A key that several upserts share is an error, as in SQL MERGE. NULL keys match nothing.
-    The left join lets Spark broadcast a small set of upserts, so that the target is not shuffled.
+    Each input is read once: a full join on the keys shuffles the target once, and says of every row whether it stays, is
+    updated or added.
     """
     columns = target.columns
-    counted = upserts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("__src"),
-    )
     anykey = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    keyless = upserts.where(anykey).select(*columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    # Upserts without a key are told apart by their content; equal ones are counted, and added as often.
+    content = F.when(anykey, F.to_json(whole))
+    counted = upserts.groupBy(*keys, content.alias("__content")).agg(F.count(F.lit(1)).alias("__n"), F.first(whole).alias("__src"))
     twice = F.raise_error(F.concat_ws(" ", F.lit("several upserts for key"), F.to_json(F.struct(*keys))))
     # The check is part of every value, so it cannot be pruned away.
-    source = counted.where(~anykey).select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.when(F.col("__n") == 1, F.col("__src")).otherwise(twice).alias("__src"),
-    )
-    held = target.join(source, _equal(target, source, keys), "left")
-    present = F.col("__src").isNotNull()
-    updated = held.select(
-        *[
-            target[c] if c in protected else F.when(present, F.col("__src")[c]).otherwise(target[c]).alias(c)
-            for c in columns
-        ]
+    source = counted.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.when(anykey | (F.col("__n") == 1), F.col("__src")).otherwise(twice).alias("__src"),
+        F.when(anykey, F.col("__n")).otherwise(1).cast("int").alias("__copies"),
     )
-    known = target.select(*keys)
-    known = known.join(
-        source.select(*[c for c in source.columns if c != "__src"]), _equal(known, source, keys), "left_semi"
-    ).distinct()
-    known = known.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
-    on = reduce(lambda a, b: a & b, (source[f"__k_{k}"] == known[f"__t_{k}"] for k in keys))
-    added = source.join(known, on, "left_anti").select(*[F.col("__src")[c].alias(c) for c in columns])
-    return updated.unionByName(added).unionByName(keyless)
+    held = target.select(whole.alias("__old"))
+    on = reduce(lambda a, b: a & b, (held["__old"][k] == source[f"__k{i}"] for i, k in enumerate(keys)))
+    both = held.join(source, on, "full_outer")
+    old, new = F.col("__old"), F.col("__src")
+    values = [F.when(old.isNull(), new[c]).when(new.isNull() | F.lit(c in protected), old[c]).otherwise(new[c]).alias(c) for c in columns]
+    return both.select(F.inline(F.array_repeat(F.struct(*values), F.coalesce("__copies", F.lit(1)))))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

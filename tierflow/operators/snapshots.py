@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.operators.cdc import END, START, ChangeOptions, tracked_columns
+from tierflow.operators.cdc import END, START, ChangeOptions, pack, tracked_columns
 
 
 def snapshot_options(keys, scd_type="1", only=None, but=None) -> ChangeOptions:
@@ -132,11 +132,12 @@ def apply_snapshots(
     pairs = [F.lit(x).cast("bigint") for ab in zip(versions, versions[1:]) for x in ab]
     follower = F.create_map(*pairs).cast("map<bigint,bigint>")
     per_key = Window.partitionBy(*keys).orderBy("__v")
-    seen = F.struct("__v", *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(tracked)])
+    comparable = {f.name: pack(F.col(f"`{f.name}`"), f.dataType) for f in last.schema.fields}
+    seen = F.struct("__v", *[comparable[c].alias(f"c{i}") for i, c in enumerate(tracked)])
     rows = rows.withColumn("__prev", F.lag(seen).over(per_key))
     before = F.col("__prev.__v")
     gap = F.try_element_at(follower, before) != F.col("__v")
-    same = [F.col(f"`{c}`").eqNullSafe(F.col("__prev")[f"c{i}"]) for i, c in enumerate(tracked)]
+    same = [comparable[c].eqNullSafe(F.col("__prev")[f"c{i}"]) for i, c in enumerate(tracked)]
     opens = (
         F.when(F.col("__prev").isNull(), True)
         .when(before == F.col("__v"), _twice(keys).cast("boolean"))

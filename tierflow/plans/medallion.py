@@ -15,7 +15,6 @@ from tierflow.operators.flatten import flatten_by_spec
 from tierflow.operators.messages import decode_messages
 from tierflow.operators.project import Hook, apply_hook, project_then_filter
 from tierflow.operators.quality import ROUTE, RuleSet, StreamCounts, apply_quality
-from tierflow.operators.snapshots import empty_history, snapshot_step_type1, snapshot_step_type2
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, Spec
 from tierflow.plans.views import ViewRegistry, build_targets, plain_name
 from tierflow.sources import kafka
@@ -26,7 +25,6 @@ from tierflow.sources.storage import (
     current_version,
     exists,
     get_text,
-    publish,
     put_text,
     read_published,
     touch,
@@ -45,6 +43,7 @@ from tierflow.streaming.sinks import (
     run_append_flows,
     write_checked,
 )
+from tierflow.streaming.snapshots import KIND, SnapshotTarget, open_snapshots
 
 LINK = "link"
 REJECTS = "__rejects"
@@ -78,10 +77,12 @@ class MedallionRun:
     """Flows of one run. Tables live under ``root`` as ``database/table`` unless the spec has a path."""
 
     def __init__(
-        self, spark: SparkSession, root: str, *, cipher: Cipher | None = None, hooks: Hooks | None = None, buckets: int = 64
+        self, spark: SparkSession, root: str, *, cipher: Cipher | None = None, hooks: Hooks | None = None, buckets: int = 64,
+        publish_every: int = 16,
     ):
+        """``publish_every``: micro-batches of a change-capture stream after which its target is brought up to date."""
         self.spark, self.root = spark, root.rstrip("/")
-        self.cipher, self.hooks, self.buckets = cipher, hooks or Hooks(), buckets
+        self.cipher, self.hooks, self.buckets, self.publish_every = cipher, hooks or Hooks(), buckets, publish_every
         # Violations per table and rule, and changes without a sequence per table, as the last run counted them.
         self.violations: dict[str, dict[str, int]] = {}
         self.rejected: dict[str, int] = {}
@@ -106,9 +107,13 @@ class MedallionRun:
         if LINK in names:
             return self._rejected(get_text(self.spark, f"{path}/{LINK}"))
         if "description" in names:
+            snapshots = json.loads(get_text(self.spark, f"{path}/description")).get("kind") == KIND
+            target = open_snapshots(self.spark, path) if snapshots else open_changes(self.spark, path)
             if streaming:
-                return open_changes(self.spark, path).feed().stream(options)
-            df = open_changes(self.spark, path).read()
+                return target.feed().stream(options)
+            if snapshots:
+                return target.read()
+            df = target.read()
             if df is None:
                 raise FileNotFoundError(f"nothing published under {path}")
             return df
@@ -255,15 +260,9 @@ class MedallionRun:
         path = self.path(spec.targetDetails)
         # The table version is the snapshot version.
         for snapshot, version in snapshot_series(following, current_version(self.spark, path)):
-            try:
-                state = read_published(self.spark, path)
-            except FileNotFoundError:
-                state = empty_history(snapshot) if opts.scd_type == "2" else snapshot.where("false")
-            if opts.scd_type == "2":
-                out = snapshot_step_type2(state, snapshot, version, opts)
-            else:
-                out = snapshot_step_type1(state, snapshot, list(opts.keys))
-            publish(out, path, spec.layout.partition_by, version)
+            if "description" not in children(self.spark, path):
+                SnapshotTarget(self.spark, path, snapshot.schema, opts, self.buckets).describe()
+            open_snapshots(self.spark, path).apply(snapshot, version)
 
     def _append_flows(self, spec: Spec) -> None:
         if not spec.flows:
@@ -386,7 +385,7 @@ class MedallionRun:
         if df.isStreaming:
             with StreamCounts(self.spark, spec.table) as counts:
                 query, target = apply_changes_stream(
-                    checked, path, self.checkpoint(spec, opts.flow_name or "main"), opts, buckets=self.buckets, publish_every=1_000_000, name=spec.table
+                    checked, path, self.checkpoint(spec, opts.flow_name or "main"), opts, buckets=self.buckets, publish_every=self.publish_every, name=spec.table
                 )
                 seen = counts.of(query)
             target.publish()
