@@ -319,3 +319,58 @@ def test_version_zero_and_gaps(spark, tmp_path):
     assert [v for _, v in snapshot_series(following)] == [0, 1, 3]
     assert publish(spark.range(1), f"{tmp_path}/t", version=0) == 0 and current_version(spark, f"{tmp_path}/t") == 0
     assert publish(spark.range(2), f"{tmp_path}/t") == 1 and read_published(spark, f"{tmp_path}/t", 0).count() == 1
+
+
+def _copies(tmp_path, n, source, **more):
+    return [
+        BronzeSpec(str(k), "g", targetDetails={"database": "raw", "table": f"t{k}"}, sourceFormat="parquet", sourceDetails={"path": source}, readerConfigOptions={}, isStreaming="false", **more)
+        for k in range(n)
+    ]
+
+
+def test_flows_of_a_layer_run_side_by_side(spark, tmp_path):
+    import threading
+
+    source, met = str(tmp_path / "in"), threading.Barrier(3, timeout=60)
+    spark.range(5).write.parquet(source)
+
+    def hook(df, spec):
+        if spec.dataFlowId < "3":
+            met.wait()  # passes only if three flows are at work at once
+        return df
+
+    run = MedallionRun(spark, str(tmp_path / "lake"), hooks=Hooks(transforms={"bronze": hook}), flows_at_once=3)
+    specs = _copies(tmp_path, 5, source)
+    assert run.run("bronze", {"bronze": specs}) == [s.table for s in specs]
+    assert [run.read(s).count() for s in specs] == [5] * 5
+
+
+def test_flows_wait_for_what_they_read(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.range(5).write.parquet(source)
+    first = _copies(tmp_path, 1, source)[0]
+    second = BronzeSpec(
+        "9", "g", targetDetails={"database": "raw", "table": "behind"}, sourceFormat="delta", sourceDetails={"source_database": "raw", "source_table": "t0"}, readerConfigOptions={}, isStreaming="false"
+    )
+    run = MedallionRun(spark, str(tmp_path / "lake"))
+    assert run._waits(second, first) and not run._waits(_copies(tmp_path, 2, source)[1], first)
+    run.run("bronze", {"bronze": [first, second]})
+    assert run.read(second).count() == 5
+
+
+def test_a_failed_flow_stops_the_others(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.range(5).write.parquet(source)
+    started = []
+
+    def hook(df, spec):
+        started.append(spec.dataFlowId)
+        if spec.dataFlowId == "0":
+            raise ValueError("no such luck")
+        return df.where("coalesce(reflect('java.lang.Thread', 'sleep', 60000L), 'x') = 'x'") if spec.dataFlowId == "1" else df
+
+    run = MedallionRun(spark, str(tmp_path / "lake"), hooks=Hooks(transforms={"bronze": hook}), flows_at_once=2)
+    specs = _copies(tmp_path, 2, source)
+    with pytest.raises(ValueError, match="no such luck"):
+        run.run("bronze", {"bronze": specs})
+    assert set(started) <= {"0", "1"}

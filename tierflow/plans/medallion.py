@@ -15,6 +15,7 @@ from tierflow.operators.flatten import flatten_by_spec
 from tierflow.operators.messages import decode_messages
 from tierflow.operators.project import Hook, apply_hook, project_then_filter
 from tierflow.operators.quality import ROUTE, RuleSet, StreamCounts, apply_quality
+from tierflow.plans.launch import side_by_side
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, Spec
 from tierflow.plans.views import ViewRegistry, build_targets, plain_name
 from tierflow.sources import kafka
@@ -78,9 +79,13 @@ class MedallionRun:
 
     def __init__(
         self, spark: SparkSession, root: str, *, cipher: Cipher | None = None, hooks: Hooks | None = None, buckets: int = 64,
-        publish_every: int = 16,
+        publish_every: int = 16, flows_at_once: int = 4,
     ):
-        """``publish_every``: micro-batches of a change-capture stream after which its target is brought up to date."""
+        """``publish_every``: micro-batches of a change-capture stream after which its target is brought up to date.
+
+        ``flows_at_once``: flows of one layer that run side by side, where none reads or writes what another writes.
+        """
+        self.flows_at_once = flows_at_once
         self.spark, self.root = spark, root.rstrip("/")
         self.cipher, self.hooks, self.buckets, self.publish_every = cipher, hooks or Hooks(), buckets, publish_every
         # Violations per table and rule, and changes without a sequence per table, as the last run counted them.
@@ -171,11 +176,29 @@ class MedallionRun:
             if layer == "gold":
                 written += self._gold(specs.get("gold", []))
                 continue
-            for spec in specs.get(layer, []):
-                (self._bronze if layer == "bronze" else self._silver)(spec)
-                written.append(spec.table)
+            flows = specs.get(layer, [])
+            work = self._bronze if layer == "bronze" else self._silver
+            side_by_side(self.spark, flows, work, name=lambda s: s.table, waits=self._waits, most=self.flows_at_once)
+            written += [spec.table for spec in flows]
         return written
 
+    def _reads(self, spec: Spec) -> set[str]:
+        """Folders of this engine's tables that a flow or one of its append flows reads."""
+        found = set()
+        for details in (spec.sourceDetails or {}, *(f.source_details or {} for f in spec.flows)):
+            if details.get("path"):
+                found.add(details["path"].rstrip("/"))
+            elif details.get("source_table") or details.get("table"):
+                table = {"database": details.get("source_database") or details.get("database"), "table": details.get("source_table") or details["table"]}
+                found.add(self.path(table))
+        return found
+
+    def _waits(self, spec: Spec, earlier: Spec) -> bool:
+        """Whether a flow must come behind an earlier one of its layer: a table in common, or settings of the whole session."""
+        written = self.path(earlier.targetDetails)
+        session = any(f.spark_conf for f in (*spec.flows, *earlier.flows))
+        return session or written in self._reads(spec) or written == self.path(spec.targetDetails) or self.path(spec.targetDetails) in self._reads(earlier)
+
     # --- bronze ---
 
     def _source(self, spec: BronzeSpec) -> DataFrame:

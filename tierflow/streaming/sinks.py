@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tierflow.operators.curve import with_curve_place
 from tierflow.operators.project import where_all
 from tierflow.operators.quality import ROUTE, RuleSet, expect, route_rows
 from tierflow.sources.storage import exists, publish, read_published, touch
@@ -40,7 +41,8 @@ class Layout:
     def arrange(self, df: DataFrame) -> DataFrame:
         """Order rows for the write.
 
-        Cluster columns: range partitions, sorted, which gives files narrow min/max ranges. The number of
+        Cluster columns: range partitions, sorted, which gives files narrow min/max ranges; several columns by their place on
+        a space-filling curve, which gives narrow ranges in each of them. The number of
         the input partition breaks ties, so that the rows of one frequent value (copies included) spread
         over many tasks; unlike a random number it is the same when a lost task runs again.
         Partition columns alone: rows of a partition come together, large partitions stay split.
@@ -48,9 +50,11 @@ class Layout:
         if df.isStreaming:
             return df
         if self.cluster_by:
-            tied = df.withColumn("__tie", F.spark_partition_id())
-            ranged = tied.repartitionByRange(*self.cluster_by, "__tie")
-            return ranged.sortWithinPartitions(*(self.partition_by or []), *self.cluster_by).drop("__tie")
+            tied, order = df.withColumn("__tie", F.spark_partition_id()), self.cluster_by
+            if len(order) > 1:
+                tied, order = with_curve_place(tied, self.cluster_by, "__place"), ["__place"]
+            ranged = tied.repartitionByRange(*order, "__tie")
+            return ranged.sortWithinPartitions(*(self.partition_by or []), *order).drop("__tie", "__place")
         if self.partition_by:
             return df.hint("rebalance", *[F.col(c) for c in self.partition_by])
         return df
