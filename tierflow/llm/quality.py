@@ -195,10 +195,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, all columns: a second pass judges them by the references of the first."""
-    narrow = materialize(profile(docs.select("lang", "text")).select("lang", "__p"))
-    known = references(narrow)
+    """The documents that pass, all columns. Each text is profiled once; the profiles are written with the rows."""
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "text")
-    judged = judge(profile(rows).drop("text"), known)
-    return judged.filter("kept").select([F.col(f"row.`{c}`") for c in names])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "lang", "text")
+    profiles = materialize(profile(rows).select("row", "lang", "__p"))
+    return judge(profiles, references(profiles)).filter("kept").select([F.col(f"row.`{c}`") for c in names])
