@@ -163,6 +163,22 @@ def cdc_scd2(spark, sf):
     return apply_changes(load(spark, sf, "events"), ["user_id"], "ts", 2, apply_as_deletes=IS_DELETE)
 
 
+_HOT = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+
+
+@query(
+    "cdc_scd2_hot_key",
+    f"""
+    SELECT event_id, ts, user_id, event_type, value, props, ts AS "__START_AT", nxt AS "__END_AT" FROM (
+      SELECT * REPLACE ({_HOT} AS user_id), lead(ts) OVER (PARTITION BY {_HOT} ORDER BY ts) AS nxt FROM events
+    ) WHERE event_type <> 'error'""",
+)
+def cdc_scd2_hot_key(spark, sf):
+    """A key owns a third of all rows: it is cut into runs, and what crosses their edges comes from a summary of the runs."""
+    events = load(spark, sf, "events").withColumn("user_id", F.expr(f"CAST({_HOT} AS BIGINT)"))
+    return apply_changes(events, ["user_id"], "ts", 2, apply_as_deletes=IS_DELETE, hot_key_rows=max(1, events.count() // 8))
+
+
 def _history_sql(tracked: str, stored: str) -> str:
     """Versions by lag / lead over ``feed(user_id, seq, del, tracked and stored columns)``."""
     return f"""
