@@ -374,3 +374,31 @@ def test_a_failed_flow_stops_the_others(spark, tmp_path):
     with pytest.raises(ValueError, match="no such luck"):
         run.run("bronze", {"bronze": specs})
     assert set(started) <= {"0", "1"}
+
+
+def test_side_files_are_read_in_a_constant_number_of_jobs(spark, metadata):
+    flows = json.loads((metadata / "flows.json").read_text())
+    many = []
+    for k in range(30):
+        flow = json.loads(json.dumps(flows[0]))
+        (metadata / f"rules {k}.json").write_text(json.dumps({"expect": {f"r{k}": f"id <> '{k}'"}}))
+        (metadata / f"people{k}.ddl").write_text(f"id string, c{k} string")
+        flow |= {"data_flow_id": str(k)}
+        flow["source_details_dev"]["source_schema_path"] = str(metadata / f"people{k}.ddl")
+        flow["bronze_dev"]["bronze_data_quality_expectations_json_dev"] = f"file://{metadata}/rules {k}.json" if k % 2 else str(metadata / f"rules {k}.json")
+        many.append(flow)
+
+    def jobs(part):
+        (metadata / "flows.json").write_text(json.dumps(part))
+        spark.sparkContext.setJobGroup(f"onboard{len(part)}", "")
+        try:
+            rows_of = {r.dataFlowId: r for r in compiled(spark, metadata, "bronze").collect()}
+            return rows_of, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"onboard{len(part)}"))
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+
+    few, n_few = jobs(many[:3])
+    told, n_many = jobs(many)
+    assert n_many <= n_few + 2 and len(told) == 30
+    for k in range(30):
+        assert f"r{k}" in told[str(k)].dataQualityExpectations and json.loads(told[str(k)].schema)["fields"][1]["name"] == f"c{k}"

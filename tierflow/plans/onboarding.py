@@ -18,7 +18,7 @@ from tierflow.operators.project import align
 from tierflow.operators.quality import expect_or_fail
 from tierflow.plans.specs import spec_schema
 from tierflow.session import materialize
-from tierflow.sources.schemas import ddl_schema, json_objects, multiline_json, read_text
+from tierflow.sources.schemas import ddl_schema, json_objects, multiline_json, read_texts
 from tierflow.sources.storage import publish, read_published
 from tierflow.streaming.sinks import ZORDER_PROPERTY, overwrite_merging
 
@@ -142,12 +142,12 @@ def _quarantine(flow: Flow) -> Column:
     return F.when(parts["table"].isNotNull(), filled).otherwise(F.create_map().cast(_MAP))
 
 
-def _lookup(paths: list[str], read) -> Column:
-    """Map of path to file content, as a literal; there are as many entries as distinct small files."""
-    found = {p: read(p) for p in paths}
+def _joined(df: DataFrame, key: Column, found: dict[str, str], name: str) -> DataFrame:
+    """Add ``name``: what ``found`` holds for the key, from a small table of as many rows as distinct files."""
     if not found:
-        return F.create_map().cast(_MAP)
-    return F.create_map(*[F.lit(x) for pair in found.items() for x in pair])
+        return df.withColumn(name, F.lit(None).cast("string"))
+    table = df.sparkSession.createDataFrame(list(found.items()), f"__key string, `{name}` string")
+    return df.join(table, key == table["__key"], "left").drop("__key")
 
 
 def _distinct(df: DataFrame, **cols: Column) -> dict[str, list[str]]:
@@ -166,32 +166,35 @@ def _mapped(path: str, spark: SparkSession) -> T.StructType:
     return ddl_schema(spark, path)
 
 
-def _append_schemas(spark: SparkSession, text: str | None, mapper: SchemaMapper) -> dict[str, str]:
-    out = {}
-    for flow in json.loads(text) if text else []:
-        path = (flow.get("source_details") or {}).get("source_schema_path")
-        if path:
-            out[flow["name"]] = mapper(path, spark).json()
-    return out
+def _append_paths(text: str) -> dict[str, str]:
+    """Schema file of each append flow that names one."""
+    paths = {f["name"]: (f.get("source_details") or {}).get("source_schema_path") for f in json.loads(text)}
+    return {name: path for name, path in paths.items() if path}
 
 
 def _with_side_files(df: DataFrame, flow: Flow, mapper: SchemaMapper = _mapped) -> DataFrame:
-    """Replace the paths of rule files, DDL files and append-flow schemas by what they hold."""
+    """Replace the paths of rule files, DDL files and append-flow schemas by what they hold.
+
+    All files are read by one job; only a schema mapper of the caller's own is asked path by path.
+    """
     spark = df.sparkSession
     bronze = flow.layer == "bronze"
     ddl = F.col("sourceDetails")["source_schema_path"] if bronze else F.lit(None).cast("string")
     found = _distinct(df, rules=F.col("dqPath"), flows=F.col("appendFlows"), ddl=ddl)
-    rules = _lookup(found["rules"], lambda p: read_text(spark, p))
-    texts = {t: json.dumps(_append_schemas(spark, t, mapper)) for t in found["flows"]}
-    schemas = _lookup(found["flows"], lambda t: texts[t])
+    appended = {text: _append_paths(text) for text in found["flows"]}
+    schema_paths = sorted({*found["ddl"], *(p for paths in appended.values() for p in paths.values())})
+    own = mapper is not _mapped
+    texts = read_texts(spark, sorted({*found["rules"], *([] if own else schema_paths)}))
+    schemas = {p: (mapper(p, spark) if own else T.StructType.fromDDL(texts[p])).json() for p in schema_paths}
+    df = _joined(df, F.col("dqPath"), {p: texts[p] for p in found["rules"]}, "dataQualityExpectations")
+    df = _joined(df, F.col("appendFlows"), {t: json.dumps({n: schemas[p] for n, p in paths.items()}) for t, paths in appended.items()}, "appendFlowsSchemas")
+    if bronze:
+        df = _joined(df, ddl, {p: schemas[p] for p in found["ddl"]}, "schema")
     columns = {
-        "dataQualityExpectations": rules[F.col("dqPath")],
-        "appendFlowsSchemas": F.from_json(schemas[F.col("appendFlows")], _MAP),
+        "appendFlowsSchemas": F.from_json("appendFlowsSchemas", _MAP),
         # The environment's path of an append flow is called ``path`` as well.
         "appendFlows": F.regexp_replace("appendFlows", f'"source_path_{flow.env}":', '"path":'),
     }
-    if bronze:
-        columns["schema"] = _lookup(found["ddl"], lambda p: mapper(p, spark).json())[ddl]
     return df.withColumns(columns).drop("dqPath")
 
 

@@ -14,6 +14,12 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with its file system, encoded as Spark encodes it."""
+    hadoop, fs = _resolve(spark, path)
+    return fs.makeQualified(hadoop).toUri().toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop, fs = _resolve(spark, path)
     return fs.exists(hadoop)
