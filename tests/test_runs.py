@@ -8,9 +8,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.catalogue.metadata import _flows
 from tierflow.functions.crypto import Cipher
+from tierflow.plans import onboarding
 from tierflow.plans.medallion import Hooks, MedallionRun
-from tierflow.plans.onboarding import compile_specs, onboard, read_onboarding, store_specs
+from tierflow.plans.onboarding import bronze_rows, compile_specs, onboard, read_onboarding, store_specs, with_layer
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, load_specs, spec_schema
 from tierflow.sources.storage import current_version, publish, read_published
 from tierflow.streaming.sinks import FanOutTarget, fan_out_stream
@@ -402,3 +404,23 @@ def test_side_files_are_read_in_a_constant_number_of_jobs(spark, metadata):
     assert n_many <= n_few + 2 and len(told) == 30
     for k in range(30):
         assert f"r{k}" in told[str(k)].dataQualityExpectations and json.loads(told[str(k)].schema)["fields"][1]["name"] == f"c{k}"
+
+
+def test_flows_of_one_file_are_spread_and_read_once(spark, tmp_path):
+    flow = {"data_flow_group": "g", "source_format": "csv", "source_details_dev": {"source_path_dev": "/in"}, "bronze_reader_options": {}, "bronze_table": "t"}
+    (tmp_path / "flows.json").write_text(json.dumps([{**flow, "data_flow_id": str(i)} for i in range(64)]))
+    made = bronze_rows(read_onboarding(spark, str(tmp_path / "flows.json")), "dev")
+    assert made.rdd.getNumPartitions() > 1 and made.count() == 64
+    # The filter of the rules takes no copies of the columns it reads, nor of the texts they come from.
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("$.source_format") == 1
+    layer = with_layer(_flows(spark, "/root/testdata/sf0.001"), "bronze", "dev")
+    filters = [line for line in layer._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert filters and not any("p_partkey" in line for line in filters) and layer.rdd.getNumPartitions() > 1
+
+
+def test_paths_of_all_kinds_come_from_one_job(spark, monkeypatch):
+    asked = []
+    found = onboarding._distinct
+    monkeypatch.setattr(onboarding, "_distinct", lambda df, **cols: asked.append(sorted(cols)) or found(df, **cols))
+    assert onboarding.gold_rows(_flows(spark, "/root/testdata/sf0.001"), "dev").count() == 50
+    assert asked == [["ddl", "flows", "rules", "transforms"]]

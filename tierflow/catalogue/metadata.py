@@ -11,7 +11,7 @@ from tierflow.catalogue.changes import LATEST_SQL
 from tierflow.catalogue.records import BODY_DDL, records
 from tierflow.catalogue.shared import load, query, stream, work_dir
 from tierflow.functions.crypto import Cipher
-from tierflow.operators.project import align
+from tierflow.operators.project import align, pinned, spread
 from tierflow.plans.medallion import Hooks, MedallionRun
 from tierflow.plans.onboarding import (
     add_audit_columns,
@@ -44,7 +44,8 @@ _FLOW = """named_struct(
 
 
 def _flows(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "part").select(F.parse_json(F.to_json(F.expr(_FLOW))).alias("v"))
+    parts = spread(load(spark, sf, "part").select("p_partkey", "p_brand", "p_size"))
+    return pinned(parts, v=F.parse_json(F.to_json(F.expr(_FLOW)))).select("v")
 
 
 @query("spec_layer_rows", "SELECT 'bronze' AS layer, count(*) AS n FROM part WHERE p_partkey % 5 <> 0 UNION ALL SELECT 'gold', count(*) FROM part WHERE p_partkey % 4 = 0")

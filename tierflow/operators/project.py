@@ -57,6 +57,15 @@ def pinned(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows evenly over the cluster's cores, for work that is heavy for the bytes read.
+
+    A small file is one task, however long its rows take. The number is given, so adaptive execution, which goes by bytes,
+    does not join the parts again.
+    """
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def typed_null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 

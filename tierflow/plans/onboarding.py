@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.operators.keyed import duplicate_keys, keyed_merge
-from tierflow.operators.project import align
+from tierflow.operators.project import align, spread
 from tierflow.operators.quality import expect_or_fail
 from tierflow.plans.specs import spec_schema
 from tierflow.session import materialize
@@ -85,7 +85,7 @@ def read_onboarding(spark: SparkSession, path: str) -> DataFrame:
     """Flows of an onboarding file, one variant per row. Only JSON files are known; ids must be unique."""
     if not path.lower().endswith(".json"):
         raise ValueError(f"onboarding files are JSON, got {path}")
-    df = json_objects(spark, path)
+    df = spread(json_objects(spark, path))
     ids = df.select(F.try_variant_get("v", "$.data_flow_id", "string").alias("data_flow_id"))
     twice = duplicate_keys(ids, ["data_flow_id"])
     number = twice.count()
@@ -172,15 +172,16 @@ def _append_paths(text: str) -> dict[str, str]:
     return {name: path for name, path in paths.items() if path}
 
 
-def _with_side_files(df: DataFrame, flow: Flow, mapper: SchemaMapper = _mapped) -> DataFrame:
-    """Replace the paths of rule files, DDL files and append-flow schemas by what they hold.
+def _with_side_files(df: DataFrame, flow: Flow, mapper: SchemaMapper = _mapped) -> tuple[DataFrame, list[str]]:
+    """Replace the paths of rule files, DDL files and append-flow schemas by what they hold; returns the paths of transformations, too.
 
-    All files are read by one job; only a schema mapper of the caller's own is asked path by path.
+    One job finds the paths of all kinds, one reads the files; only a schema mapper of the caller's own is asked path by path.
     """
     spark = df.sparkSession
     bronze = flow.layer == "bronze"
     ddl = F.col("sourceDetails")["source_schema_path"] if bronze else F.lit(None).cast("string")
-    found = _distinct(df, rules=F.col("dqPath"), flows=F.col("appendFlows"), ddl=ddl)
+    transforms = F.lit(None).cast("string") if bronze else F.col("transformPath")
+    found = _distinct(df, rules=F.col("dqPath"), flows=F.col("appendFlows"), ddl=ddl, transforms=transforms)
     appended = {text: _append_paths(text) for text in found["flows"]}
     schema_paths = sorted({*found["ddl"], *(p for paths in appended.values() for p in paths.values())})
     own = mapper is not _mapped
@@ -195,7 +196,7 @@ def _with_side_files(df: DataFrame, flow: Flow, mapper: SchemaMapper = _mapped)
         # The environment's path of an append flow is called ``path`` as well.
         "appendFlows": F.regexp_replace("appendFlows", f'"source_path_{flow.env}":', '"path":'),
     }
-    return df.withColumns(columns).drop("dqPath")
+    return df.withColumns(columns).drop("dqPath"), found["transforms"]
 
 
 def _check(df: DataFrame, layer: str) -> DataFrame:
@@ -215,7 +216,9 @@ def _check(df: DataFrame, layer: str) -> DataFrame:
         }
     if layer == "silver":
         rules["source table missing"] = "sourceDetails['table'] IS NOT NULL"
-    return expect_or_fail(df, rules)
+    # Behind a generator the rules read finished columns; a filter would move below the projection and take copies of it along.
+    staged = df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    return expect_or_fail(staged, rules)
 
 
 def bronze_rows(df: DataFrame, env: str, mapper: SchemaMapper = _mapped) -> DataFrame:
@@ -236,7 +239,7 @@ def bronze_rows(df: DataFrame, env: str, mapper: SchemaMapper = _mapped) -> Data
         "metadata": flow.at("metadata", _MAP),
     }
     rows = with_layer(df, "bronze", env).select(*[c.alias(n) for n, c in columns.items()])
-    return _check(_with_side_files(rows, flow, mapper), "bronze")
+    return _check(_with_side_files(rows, flow, mapper)[0], "bronze")
 
 
 def silver_rows(df: DataFrame, env: str) -> DataFrame:
@@ -259,9 +262,9 @@ def silver_rows(df: DataFrame, env: str) -> DataFrame:
         "transformPath": flow.text(flow.own(f"silver_transformation_json_{env}")),
     }
     rows = with_layer(df, "silver", env).select(*[c.alias(n) for n, c in columns.items()])
-    rows = _check(_with_side_files(rows, flow), "silver")
+    rows, paths = _with_side_files(rows, flow)
+    rows = _check(rows, "silver")
     ddl = "target_table string, select_exp array<string>, target_partition_cols array<string>, where_clause array<string>"
-    paths = _distinct(rows, t=F.col("transformPath"))["t"]
     if not paths:
         return rows.withColumns({"selectExp": F.lit(None), "whereClause": F.lit(None)})
     texts = multiline_json(df.sparkSession, paths, ddl)
@@ -277,8 +280,8 @@ def gold_rows(df: DataFrame, env: str) -> DataFrame:
         "transformPath": flow.text(flow.own(f"gold_transformation_json_{env}")),
     }
     rows = with_layer(df, "gold", env).select(*[c.alias(n) for n, c in columns.items()])
-    rows = _check(_with_side_files(rows, flow), "gold")
-    paths = _distinct(rows, t=F.col("transformPath"))["t"]
+    rows, paths = _with_side_files(rows, flow)
+    rows = _check(rows, "gold")
     return attach_transforms(rows, gold_transforms(df.sparkSession, paths, env)) if paths else rows
 
 
