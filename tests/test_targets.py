@@ -3,6 +3,7 @@
 import pytest
 from conftest import rows
 
+from __spark_entry__ import queries
 from tierflow.plans.medallion import MedallionRun
 from tierflow.plans.relations import ordered, relations, renamed
 from tierflow.plans.specs import BronzeSpec, GoldSpec
@@ -85,3 +86,9 @@ def test_waiting_targets_are_told(spark, tmp_path):
     specs = [gold("a", [], "SELECT * FROM mart.b"), gold("b", [("mart.a", "false")], "SELECT * FROM live.b_0_src")]
     with pytest.raises(ValueError, match="mart.a -> mart.b -> mart.a"):
         MedallionRun(spark, str(tmp_path)).run("gold", {"gold": specs})
+
+
+def test_reconciliation_makes_no_groups_of_the_other_targets(spark):
+    plan = queries()["meeting_reconciliation"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # No table of groups told apart by target is read: the bets are, once for each target's places.
+    assert "which" not in plan and "meeting_location" in plan

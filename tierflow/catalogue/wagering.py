@@ -270,7 +270,10 @@ def meeting_totals(spark, sf):
     nullable=("race_no",),
 )
 def meeting_reconciliation(spark, sf):
-    return _plain(gold.target_of_groups(materialize(gold.meeting_groups(_bets(spark, sf))), gold.RECONCILIATION))
+    """The bets are written once; of the seven other targets only the places are made."""
+    bets = materialize(_bets(spark, sf))
+    others = [*(gold.customer_count(bets, which) for which in gold.CUSTOMER_COUNTS), gold.meeting_totals(bets)]
+    return _plain(gold.reconciliation(bets, others))
 
 
 def _long(which: str, columns: str) -> str:
