@@ -1,10 +1,12 @@
 """Names in SQL texts, the order of targets, and gold runs of both kinds."""
 
+import re
+
 import pytest
 from conftest import rows
 
 from __spark_entry__ import queries
-from tierflow.plans.medallion import MedallionRun
+from tierflow.plans.medallion import Hooks, MedallionRun
 from tierflow.plans.relations import ordered, relations, renamed
 from tierflow.plans.specs import BronzeSpec, GoldSpec
 from tierflow.plans.views import ViewRegistry, build_targets, plain_name, view_chain
@@ -92,3 +94,41 @@ def test_reconciliation_makes_no_groups_of_the_other_targets(spark):
     plan = queries()["meeting_reconciliation"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     # No table of groups told apart by target is read: the bets are, once for each target's places.
     assert "which" not in plan and "meeting_location" in plan
+
+
+def test_targets_read_their_siblings_as_written_and_group_by_all_keys(spark, tmp_path):
+    """A semi join on a few places must not deal the rows out by place; siblings are not made again."""
+    seen = {}
+
+    def look(df, spec):
+        seen[spec.table] = (df.inputFiles(), df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    spark.range(50).selectExpr("id % 2 AS place", "id % 5 AS day", "id AS ticket").createOrReplaceTempView("bets_of_test")
+    specs = [
+        gold("told", [], "SELECT place, day, count(DISTINCT ticket) AS n FROM bets_of_test WHERE place IN (SELECT place FROM mart.places) GROUP BY place, day"),
+        gold("places", [], "SELECT DISTINCT place FROM bets_of_test WHERE place = 1"),
+    ]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.requireAllClusterKeysForDistribution")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run = MedallionRun(spark, str(tmp_path), hooks=Hooks(transforms={"gold": look}))
+        run.run("gold", {"gold": specs})
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForDistribution") == before["spark.sql.requireAllClusterKeysForDistribution"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before["spark.sql.autoBroadcastJoinThreshold"])
+        spark.catalog.dropTempView("bets_of_test")
+    assert rows(run.read(specs[0])) == [(1, day, 5) for day in range(5)]
+    files, plan = seen["mart.told"]
+    assert files and all("/mart/places/" in f for f in files)
+    assert re.search(r"hashpartitioning\(place#\d+L?, day#\d+L?, ticket#\d+L?,", plan)
+
+
+def test_places_of_the_reconciliation_are_of_known_size(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        plan = queries()["meeting_reconciliation"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not re.search(r"hashpartitioning\(meeting_location#\d+, \d+\)", plan) and "BroadcastHashJoin" in plan

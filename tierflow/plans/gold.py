@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tierflow.functions import channels as ch
 from tierflow.functions.decode import nested_item, parse_json_as, paths_present, payload_text
 from tierflow.operators.project import pinned
+from tierflow.session import materialize
 
 # Placeholders in cancelled rows.
 NO_CUSTOMER, NO_COST, NO_TICKET = 9999999, "999999.99", 9999999
@@ -190,8 +191,12 @@ def meeting_totals(bets: DataFrame) -> DataFrame:
 
 
 def reconciliation(bets: DataFrame, others: list[DataFrame]) -> DataFrame:
-    """Totals and latest sale of the places that any of the other tables knows."""
-    known = reduce(DataFrame.union, (t.select("meeting_location") for t in others)).distinct()
+    """Totals and latest sale of the places that any of the other tables knows.
+
+    The places are written first: of a known small size they are broadcast. Otherwise the bets would be dealt out by place,
+    and grouped in as many tasks as there are places.
+    """
+    known = materialize(reduce(DataFrame.union, (t.select("meeting_location").distinct() for t in others)).distinct())
     return _shown(
         bets.join(known, "meeting_location", "left_semi")
         .groupBy("meeting_location", "meeting_date", F.col("last_race_no").alias("race_no"))

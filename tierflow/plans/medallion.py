@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from tierflow.operators.quality import ROUTE, RuleSet, StreamCounts, apply_quali
 from tierflow.plans.launch import side_by_side
 from tierflow.plans.specs import BronzeSpec, GoldSpec, SilverSpec, Spec
 from tierflow.plans.views import ViewRegistry, build_targets, plain_name
+from tierflow.session import SPREAD_GROUPS, held
 from tierflow.sources import kafka
 from tierflow.sources.files import FileSource, read_files, with_ingestion_time
 from tierflow.sources.schemas import ddl_schema
@@ -352,11 +354,12 @@ class MedallionRun:
 
         def built(target: dict, df: DataFrame) -> None:
             spec = by_name[target["target"]]
-            self._write(apply_hook(df, self.hooks.transforms.get("gold"), spec), spec)
+            with nullcontext() if df.isStreaming else held(self.spark, SPREAD_GROUPS):
+                self._write(apply_hook(df, self.hooks.transforms.get("gold"), spec), spec)
             self._append_flows(spec)
             written.append(spec.table)
-            if df.isStreaming:  # who reads it by name reads what is written
-                registry.register(spec.table, self.open(self.path(spec.targetDetails)))
+            # Who reads it by name reads what is written, and does not make it again.
+            registry.register(spec.table, self.open(self.path(spec.targetDetails)))
 
         targets = [
             {

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,27 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A join on few values must not decide where rows are grouped: its small side is broadcast once its size is known, however few
+# of its partitions hold rows, and groups are dealt out by all their keys.
+SPREAD_GROUPS = {
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
+    "spark.sql.adaptive.nonEmptyPartitionRatioForBroadcastJoin": "0",
+}
+
+
+@contextmanager
+def held(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Hold settings of the session for what is planned and run inside."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: what the cluster names in ``spark.checkpoint.dir``.
 
