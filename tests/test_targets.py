@@ -1,11 +1,14 @@
 """Names in SQL texts, the order of targets, and gold runs of both kinds."""
 
+import datetime
+import decimal
 import re
 
 import pytest
 from conftest import rows
 
 from __spark_entry__ import queries
+from tierflow.plans import gold as gold_frames
 from tierflow.plans.medallion import Hooks, MedallionRun
 from tierflow.plans.relations import ordered, relations, renamed
 from tierflow.plans.specs import BronzeSpec, GoldSpec
@@ -132,3 +135,23 @@ def test_places_of_the_reconciliation_are_of_known_size(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not re.search(r"hashpartitioning\(meeting_location#\d+, \d+\)", plan) and "BroadcastHashJoin" in plan
+
+
+def test_groups_of_bets_without_an_id_are_not_gathered(spark):
+    """They count for nothing and only bring their groups; gathered, a meeting's dimensions were compared pair by pair."""
+    columns = "meeting_location string, meeting_date timestamp, race_no int, last_race_no int, seg_team_cge_transformed string, channel string, bet_type string, fo_flag boolean, customer_id bigint, ticketid bigint, ttl_cost decimal(22,2), sell_time timestamp"
+    day = datetime.datetime(2024, 1, 1)
+    many = [("ST", day, i, i % 3, None, f"c{i % 50}", "WIN", False, None, None, decimal.Decimal(1), day) for i in range(300)]
+    few = [("ST", day, race, None, None, "c0", kind, True, who, ticket, None, None) for race, kind, who, ticket in ((1, "WIN", 7, 1), (2, "WIN", 7, 1), (2, None, 7, 2), (1, "WIN", 8, 2))]
+    groups = gold_frames.meeting_groups(spark.createDataFrame(many + few, columns))
+    assert "array_distinct(concat" not in groups._jdf.queryExecution().optimizedPlan().toString()
+    found = {}
+    for r in groups.collect():
+        found.setdefault(r["which"], []).append((r["n"], r["cost"], r["latest"]))
+    assert {k: (len(v), sum(n for n, _, _ in v)) for k, v in found.items()} == {
+        "by_meeting_segment": (1, 2), "by_meeting_channel": (50, 2), "by_meeting_bet_type": (2, 2), "by_race_segment": (300, 3),
+        "by_race_channel": (302, 3), "by_race_bet_type": (303, 4), "meeting_totals": (303, 4), "reconciliation": (4, 2),
+    }
+    assert all(cost is None and latest is None for which, v in found.items() if which.startswith("by_") for _, cost, latest in v)
+    assert sum(cost or 0 for _, cost, _ in found["meeting_totals"]) == 300 == sum(cost or 0 for _, cost, _ in found["reconciliation"])
+    assert {latest for _, _, latest in found["reconciliation"]} == {day, None}

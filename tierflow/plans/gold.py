@@ -224,15 +224,20 @@ def meeting_groups(bets: DataFrame) -> DataFrame:
     A bet counts as a customer, as a ticket and as an amount. One shuffle brings together what is known of a customer (a
     ticket) in a meeting: the different dimensions it has there, combined before the shuffle. These are all that the
     distinct counts of the meeting's groups need, and each customer is in one place, so counts of places only add up: exact
-    without a second look at the bets. Amounts are added by dimensions on the way. What is shuffled after that are group
-    sums, combined by task. A meeting with a third of all bets is spread over its customers and tickets.
+    without a second look at the bets. Amounts are added by dimensions on the way, and they bring every group, those that
+    nobody counts in, too. What is shuffled after that are group sums, combined by task. A meeting with a third of all bets is
+    spread over its customers and tickets.
+
+    Nearly all customers and tickets have one place in a meeting, whose groups differ by target: plain structs. Only for the
+    others a target's repeated groups must be found.
     """
     dimensions = F.struct(*DIMENSIONS)
     kind = bets.select(*DIMENSIONS, "meeting_location", "meeting_date", "customer_id", "ticketid", "ttl_cost", "sell_time").withColumn(
         "kind", F.explode(F.array(F.lit(_CUSTOMER), F.lit(_TICKET), F.lit(_AMOUNTS)))
     )
     here = lambda which, column: F.when(F.col("kind") == which, column)
-    keyed = kind.select(
+    known = (F.col("kind") == _AMOUNTS) | here(_CUSTOMER, F.col("customer_id").isNotNull()) | here(_TICKET, F.col("ticketid").isNotNull())
+    keyed = kind.where(known).select(
         "kind", "meeting_location", "meeting_date",
         here(_CUSTOMER, F.col("customer_id")).alias("customer"), here(_TICKET, F.col("ticketid")).alias("ticket"), here(_AMOUNTS, dimensions).alias("group"),
         F.when(F.col("kind") != _AMOUNTS, dimensions).alias("seen"), here(_AMOUNTS, F.col("ttl_cost")).alias("cost"), here(_AMOUNTS, F.col("sell_time")).alias("latest"),
@@ -241,23 +246,34 @@ def meeting_groups(bets: DataFrame) -> DataFrame:
         F.collect_set("seen").alias("seen"), F.sum("cost").alias("cost"), F.max("latest").alias("latest")
     )
     types = {f.name: f.dataType for f in bets.schema.fields}
-    seen = F.when(F.col("kind") == _AMOUNTS, F.array("group")).otherwise(F.col("seen"))
+    amounts = (TOTALS, RECONCILIATION)
+
+    def group(which: str, s: Column) -> Column:
+        return F.struct(F.lit(which).alias("which"), *[(s[d] if d in GROUPS[which] else F.lit(None).cast(types[d])).alias(d) for d in DIMENSIONS])
+
+    def of_one(names) -> Column:
+        return F.array(*[group(which, F.col("only")) for which in names])
+
+    def of_many(names) -> Column:
+        each_of = lambda which: F.transform("seen", lambda s: group(which, s))
+        return F.concat(*[F.array_distinct(each_of(which)) for which in names])
 
     def groups(names) -> Column:
-        def of(which: str) -> Column:
-            # As configured: this count leaves out bets without a type.
-            given = F.filter(seen, lambda s: s["bet_type"].isNotNull()) if which == "by_meeting_bet_type" else seen
-            return F.transform(given, lambda s: F.struct(
-                F.lit(which).alias("which"), *[(s[d] if d in GROUPS[which] else F.lit(None).cast(types[d])).alias(d) for d in DIMENSIONS]
-            ))
-
-        return F.array_distinct(F.concat(*map(of, names)))
-
-    each = F.when(F.col("kind") == _CUSTOMER, groups(CUSTOMER_COUNTS)).otherwise(groups((TOTALS, RECONCILIATION)))
-    counts = F.coalesce("customer", "ticket").isNotNull().cast("long")
-    spread = met.select("meeting_location", "meeting_date", counts.alias("n"), "cost", "latest", F.explode(each).alias("g")).select("*", "g.*")
+        return F.when(F.size("seen") == 1, of_one(names)).otherwise(of_many(names))
+
+    each = (
+        F.when(F.col("kind") == _AMOUNTS, of_one(GROUPS))
+        .when(F.col("kind") == _CUSTOMER, groups(CUSTOMER_COUNTS))
+        .otherwise(groups(amounts))
+    )
+    counts = (F.col("kind") != _AMOUNTS).cast("long")
+    only = F.coalesce("group", F.get("seen", F.lit(0)))
+    spread = met.withColumn("only", only).select("meeting_location", "meeting_date", counts.alias("n"), "cost", "latest", F.explode(each).alias("g")).select("*", "g.*")
+    # As configured: this count leaves out bets without a type.
+    spread = spread.where("which <> 'by_meeting_bet_type' OR bet_type IS NOT NULL")
+    told = F.col("which").isin(*amounts)
     return spread.groupBy("which", "meeting_location", "meeting_date", *DIMENSIONS).agg(
-        F.sum("n").alias("n"), F.sum("cost").cast("decimal(32,2)").alias("cost"), F.max("latest").alias("latest")
+        F.sum("n").alias("n"), F.sum(F.when(told, F.col("cost"))).cast("decimal(32,2)").alias("cost"), F.max(F.when(told, F.col("latest"))).alias("latest")
     )
 
 
