@@ -1,6 +1,7 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing names, for every operator."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ from tierflow.llm.graphs import components
 from tierflow.llm.languages import identify_languages
 from tierflow.llm.mixing import mix
 from tierflow.llm.neardup import band_rows, drop_near_duplicates, near_duplicates
-from tierflow.llm.quality import COMMON_WORDS, keep_good, quality_rules
+from tierflow.llm.quality import ALL_WORDS, COMMON_WORDS, keep_good, profile, quality_rules
 from tierflow.llm.sharding import Splitters, _keys, shard_documents
 from tierflow.llm.substrings import different_pieces, remove_repeats
 from tierflow.llm.surrogates import distinct_surrogates, replace_personal_data
@@ -117,6 +118,32 @@ def test_texts_without_common_words_fail_however_many_they_are(spark, junk):
     assert {r["doc_id"] for r in rows if r["kept"]} == set(range(40))
 
 
+def test_histograms_match_brute_force_without_a_pass_for_each_class_or_word(spark):
+    draw = random.Random(4)
+    odd = ["The", "the", "a", "\u0130stanbul", "\u03a3\u0391\u03a3", "der", "12", "12", "--", "#tag", "x", "\u00c8", "\U0001f642", "\u0085", "$5", "\x00", "\x1c", "und,"]
+    texts = [None, "", " \t", "\n\nx\n", " a b c a b c "]
+    for _ in range(60):
+        words = draw.sample(odd, draw.randint(1, len(odd))) + prose(draw.randint(1, 99), 200).split()[: draw.choice([0, 5, 200])]
+        texts.append("".join(draw.choice(words) + draw.choice(" \n\t\x0b\r") * draw.randint(1, 2) for _ in range(draw.choice([1, 30, 150, 700]))))
+    docs = profile(spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string"))
+    for row in docs.collect():
+        text = texts[row["doc_id"]] or ""
+        words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", text) if w]
+        counts = Counter(w.lower() for w in words)
+        kinds = Counter(_character_class(c) for c in text)
+        assert row["__p"]["word_chars"] == sum(map(len, words)) and row["__p"]["chars"] == len(text)
+        assert row["__p"]["classes"] == [kinds[k] for k in range(6)] and row["__p"]["words"] == [counts[w] for w in ALL_WORDS]
+        frequent = sum(n for w, n in counts.items() if n >= max(3, len(words) // 100) and any(c.isalpha() for c in w))
+        bare = len(words) >= 100 and 3 * sum(counts[w] for w in ALL_WORDS) < len(words)
+        assert row["__p"]["own_words"] == (frequent if bare else 0)
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(coalesce(text" not in plan and plan.count(" replace(") + plan.count("(replace(") <= 1
+
+
+def _character_class(c):
+    return 3 if c in " \t\n\x0b\x0c\r" else 4 if c in "#*$%&|<>" else 0 if c > "\x7f" or "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 5
+
+
 def test_many_repeated_windows(spark):
     text = prose(5, 300)
     row = quality_rules(spark.createDataFrame([(1, "en", f"{text} {text} tail of it")], "doc_id long, lang string, text string")).first()

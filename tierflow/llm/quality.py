@@ -34,7 +34,6 @@ ALL_WORDS = sorted({w for words in COMMON_WORDS.values() for w in words})
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-OTHERS = "".join(c for c in map(chr, range(128)) if not c.isalnum() and c not in SPACES + SYMBOLS)
 
 # Limits of the verdict.
 MOST_CLASS_DISTANCE = 0.30
@@ -53,31 +52,42 @@ def _counted(text: Column, characters: str) -> Column:
 def profile(docs: DataFrame) -> DataFrame:
     """Add ``__p``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and both histograms of every text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    inner = F.btrim(text, F.lit(SPACES))
+    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "[\\x20\\x09-\\x0D]+"))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    split = pinned(docs, __w=words, __l=lines)
+    split = pinned(docs, __w=words, __l=lines, __chars=F.length(text).cast("long"))
     n = F.size("__w")
     starts = F.sequence(F.lit(1), n - 2)
     trigrams = F.when(
         n >= 3,
         F.transform(starts, lambda i: F.xxhash64(F.element_at("__w", i), F.element_at("__w", i + 1), F.element_at("__w", i + 2))),
     ).otherwise(F.array().cast("array<bigint>"))
-    lowered = F.filter(F.transform("__w", F.lower), lambda w: w.isin(ALL_WORDS))
-    common = F.concat(F.lit(" "), F.array_join(lowered, "  "), F.lit(" "))
-    split = pinned(split, __t=trigrams, __c=common)
-    # Where less than a third of the words are listed ones: the words in order, so that equal ones stand together.
-    bare = (n >= LEAST_WORDS) & (3 * F.regexp_count("__c", F.lit(r"\S+")) < n)
-    letters = F.filter(F.transform("__w", F.lower), lambda w: w.rlike(r"\p{L}"))
-    split = pinned(split, __o=F.when(bare, F.sort_array(letters)), __k=F.greatest(F.lit(3), F.expr("cast(size(__w) div 100 as int)")))
+    split = pinned(
+        split, __n=n, __v=F.transform("__w", F.lower), __solid=F.array_join("__w", ""), __t=trigrams,
+        __d=(F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
+    )
+    # Capitals, digits, symbols and other ASCII are few in most texts: what is counted character by character is short.
+    rest = F.regexp_replace("__solid", "[^\\x00-\\x60\\x7B-\\x7F]+", "")
     repeated = F.size(F.array_distinct("__t")) < F.size("__t")
-    split = pinned(split, __s=F.when(repeated, F.sort_array("__t")))
+    split = pinned(
+        split, __r=rest, __word_chars=F.length("__solid").cast("long"), __f=F.filter("__v", lambda w: w.isin(ALL_WORDS)),
+        __s=F.when(repeated, F.sort_array("__t")), __k=F.greatest(F.lit(3), F.expr("cast(__n div 100 as int)")),
+    )
+    # Where less than a third of the words are listed ones: the words in order, so that equal ones stand together.
+    bare = (F.col("__n") >= LEAST_WORDS) & (3 * F.size("__f") < F.col("__n"))
     # Hashes that stand next to an equal one in sorted order.
     twice = F.array_distinct(F.filter("__s", lambda x, i: (i > 0) & (x == F.get("__s", F.greatest(i - 1, F.lit(0))))))
-    split = pinned(split, __2=twice)
+    counted = [_counted(F.col("__r"), x) for x in (UPPER, "0123456789", SYMBOLS)]
+    split = pinned(
+        split, __o=F.when(bare, F.sort_array("__v")), __g=F.sort_array(F.concat("__f", F.lit(ALL_WORDS))), __2=twice,
+        __upper=counted[0], __digits=counted[1], __symbols=counted[2], __rest=F.length("__r").cast("long"),
+    )
     few = F.filter(F.transform("__t", lambda x, i: F.when(F.array_contains("__2", x), i).otherwise(-1)), lambda p: p >= 0)
     # Many repeated windows: sort (hash, place) and mark the places whose hash has an equal neighbour.
     paired = F.when(F.size("__2") > 64, F.sort_array(F.transform("__t", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))
-    split = pinned(split, __q=paired)
+    # Each listed word stands once more than it occurs: where it begins.
+    fresh = F.transform("__g", lambda w, i: F.when((i > 0) & (F.get("__g", F.greatest(i - 1, F.lit(0))) == w), -1).otherwise(i))
+    split = pinned(split, __q=paired, __b=_frequent(), __h=F.filter(fresh, lambda i: i >= 0), __m=F.size("__g"))
 
     def neighbour(p, k):
         other = F.get("__q", F.greatest(k, F.lit(0)))
@@ -91,30 +101,31 @@ def profile(docs: DataFrame) -> DataFrame:
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")),
         lambda a: a["n"],
     )
-    chars, space = F.length(text).cast("long"), _counted(text, SPACES)
-    upper, digits, symbols, others = _counted(text, UPPER), _counted(text, "0123456789"), _counted(text, SYMBOLS), _counted(text, OTHERS)
-    found = [((F.length("__c") - F.length(F.replace(F.col("__c"), F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long") for w in ALL_WORDS]
+    chars, solid, upper, digits, symbols = (F.col(f"__{c}") for c in ("chars", "word_chars", "upper", "digits", "symbols"))
     counts = F.struct(
-        n.cast("long").alias("n_words"),
-        (chars - space).alias("word_chars"),
+        F.col("__n").cast("long").alias("n_words"),
+        solid.alias("word_chars"),
         symbols.alias("n_symbols"),
-        (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
+        F.col("__d").alias("n_dup_lines"),
         F.when(F.col("__s").isNull(), F.lit(0).cast("long")).otherwise(covered).alias("n_repeat_words"),
         chars.alias("chars"),
-        F.array(chars - upper - digits - symbols - space - others, upper, digits, space, symbols, others).alias("classes"),
-        F.array(*found).alias("words"),
+        F.array(solid - F.col("__rest"), upper, digits, chars - solid, symbols, F.col("__rest") - upper - digits - symbols).alias("classes"),
+        F.transform("__h", lambda p, i: (F.coalesce(F.get("__h", i + 1), F.col("__m")) - p - 1).cast("long")).alias("words"),
         _own_words().alias("own_words"),
     )
-    return split.withColumn("__p", counts).drop("__w", "__l", "__t", "__c", "__s", "__2", "__q", "__o", "__k")
+    return split.select(*docs.columns, counts.alias("__p"))
+
+
+def _frequent() -> Column:
+    """The places of ``__o`` where a word with a letter stands that stands ``__k`` - 1 places on, too."""
+    begins = F.filter("__o", lambda w, i: F.coalesce(F.get("__o", i + F.col("__k") - 1) == w, F.lit(False)))
+    return F.filter(begins, lambda w: w.rlike(r"\p{L}"))
 
 
 def _own_words() -> Column:
     """Number of words that are frequent in the text: each three times and a hundredth of it at least."""
-    follower = lambda i: F.get("__o", i + F.col("__k") - 1)
-    begins = F.filter("__o", lambda w, i: F.coalesce(follower(i) == w, F.lit(False)))
-    first = F.filter("__o", lambda w, i: F.coalesce(follower(i) == w, F.lit(False)) & ((i == 0) | (F.get("__o", F.greatest(i - 1, F.lit(0))) != w)))
     # A word of n >= k places begins n - k + 1 stretches of k.
-    return F.when(F.col("__o").isNull(), 0).otherwise(F.size(begins) + F.size(first) * (F.col("__k") - 1)).cast("long")
+    return F.when(F.col("__b").isNull(), 0).otherwise(F.size("__b") + F.size(F.array_distinct("__b")) * (F.col("__k") - 1)).cast("long")
 
 
 def base_failed(p: str = "__p") -> Column:
