@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tierflow.llm.mixing import mix
 from tierflow.llm.neardup import band_rows, drop_near_duplicates, near_duplicates
 from tierflow.llm.quality import ALL_WORDS, COMMON_WORDS, keep_good, profile, quality_rules
 from tierflow.llm.sharding import Splitters, _keys, shard_documents
-from tierflow.llm.substrings import different_pieces, remove_repeats
+from tierflow.llm.substrings import WordHashes, _segmented, different_pieces, remove_repeats, segments
 from tierflow.llm.surrogates import distinct_surrogates, replace_personal_data
 from tierflow.llm.toxicity import score_toxicity
 from tierflow.llm.urls import PATTERN_RULES, PatternRule, RuleIndex, filter_urls
@@ -268,6 +269,45 @@ def test_sentences_repeated_at_once_match_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts, 35)
 
 
+def test_word_hashes_of_pieces(monkeypatch):
+    text = b" a\x00 \x00a \x00\n\xc3\x84\x0b\x0cx\r\ty a  " + b"q " * 50 + b"z" * 300 + b" " + prose(3, 500).encode() + b" q end"
+    whole = WordHashes().of(text)
+    assert [text[f:e] for f, e in zip(*whole[:2])] == text.split() and len(set(whole[2].tolist())) == len(set(text.split()))
+    for piece in (1, 7, 100):
+        monkeypatch.setattr("tierflow.llm.substrings.PIECE", piece)
+        assert all((a == b).all() for a, b in zip(whole, WordHashes().of(text), strict=True))
+    assert [len(x) for x in WordHashes().of(b"")] == [len(x) for x in WordHashes().of(b" \t")] == [0, 0, 0]
+
+
+def test_texts_are_cut_together_as_they_are_apart(monkeypatch):
+    draw = random.Random(8)
+    texts = [prose(k, draw.choice([0, 1, 34, 35, 36, 90, 300])).encode() for k in range(60)]
+    texts += [b" ".join([*prose(500 + d, 20).encode().split(), *prose(600 + d, d).encode().split() * 4]) for d in range(9, 28)]
+    draw.shuffle(texts)
+
+    def cut(rows):
+        return [
+            (beside[t], anchor, first, end, places, joined[byte[at + first] : stop[at + end - 1]])
+            for beside, joined, byte, stop, found in _segmented(rows, 35)
+            for t, anchor, first, end, places, at in zip(*[x.tolist() for x in found])
+        ]
+
+    rows = [(k, pa.scalar(text)) for k, text in enumerate(texts)]
+    together = cut(rows)
+    assert together == [x for row in rows for x in cut([row])] and len({x[0] for x in together}) == sum(len(t.split()) >= 35 for t in texts)
+    assert all(joined.split() == texts[k].split()[first:end] for k, _, first, end, _, joined in together) and max(x[4] for x in together) > 1
+    calls, real = [], segments
+    monkeypatch.setattr("tierflow.llm.substrings.segments", lambda *a: calls.append(len(a[1])) or real(*a))
+    assert cut(rows) == together and len(calls) == 1
+
+
+def test_short_texts_among_copies_stay(spark):
+    passage = prose(1, 40)
+    texts = [f"{prose(10 + k, 20)} {passage}" if k % 2 else prose(30 + k, 5) for k in range(12)]
+    rows = remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    assert all((r["n_removed"], r["kept_words"]) == ((40, prose(10 + r["doc_id"], 20)) if r["doc_id"] % 2 else (0, texts[r["doc_id"]])) for r in rows)
+
+
 def test_repeats_edges(docs, none):
     rows = remove_repeats(docs).collect()
     assert len(rows) == 16 and {(r["doc_id"], r["n_words"], r["n_removed"]) for r in rows} >= {(1, 200, 200), (4, 0, 0), (7, 1, 0), (13, 500, 500), (9, 30_000, 0)}

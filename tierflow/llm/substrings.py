@@ -18,7 +18,8 @@ blocks is a group of its own.
 
 from __future__ import annotations
 
-import hashlib
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,50 +34,115 @@ GRAM = 8
 # Words by which suffixes are ordered, beyond the width of a window, at least.
 BEYOND = 29
 SHARD_WORDS = 1_500_000
+# Bytes of the texts that are cut into segments together.
+PIECE = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_IN_WORD = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)])
 # Masks of the bits below a place in a word of 64.
 _BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 
 
 class WordHashes:
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, most: int = 300_000):
-        self.most, self.known = most, {}
+    """64-bit hashes of all words of a text, from sums over its bytes: each times an odd number to the power of its place."""
+
+    def __init__(self):
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if n > len(self.power):
+            self.power, self.inverse = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (_ODD, _ODD_INVERSE))
+
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first byte, the end byte and the hash of each word; some ``PIECE`` bytes, cut between words, are looked at together."""
+        firsts, ends, hashes = [], [], []
+        at, whole = 0, np.frombuffer(text, np.uint8)
+        while at < len(text):
+            cut = _BLANK.search(text, at + PIECE)
+            stop = cut.start() if cut else len(text)
+            piece = whole[at:stop]
+            self._grow(len(piece))
+            edges = np.flatnonzero(np.diff(_IN_WORD[piece], prepend=False, append=False))
+            first, end = edges[::2], edges[1::2]
+            sums = np.r_[np.uint64(0), np.cumsum((piece + np.uint64(1)) * self.power[: len(piece)])]
+            firsts.append(first + at)
+            ends.append(end + at)
+            hashes.append(_mix((sums[end] - sums[first]) * self.inverse[first]))
+            at = stop
+        if not firsts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.concatenate(firsts), np.concatenate(ends), np.concatenate(hashes)
+
+
+def _extreme(pick, values: np.ndarray, span: int) -> np.ndarray:
+    """The smallest or largest (``pick``) of each ``span`` values, by doubling."""
+    have = 1
+    while have < span:
+        step = min(have, span - have)
+        values = pick(values[: len(values) - step], values[step:])
+        have += step
+    return values
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
+def segments(hashes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(text, anchor, first word, end word, places of the anchor, words before the text) of each run of windows with one smallest gram hash.
 
-def segments(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first word, end word, places of the anchor) of each run of windows with one smallest gram hash."""
+    ``hashes`` are those of texts of ``lengths`` words, one behind the other, each of ``width`` words or more.
+    """
     gram = min(GRAM, width)
     n = len(hashes)
     mixed = np.zeros(n - gram + 1, np.uint64)
     for k in range(gram):
         mixed = _mix(mixed * _ODD + hashes[k : k + n - gram + 1])
     span = width - gram + 1
-    # Smallest of each span by doubling.
-    least, have = mixed, 1
-    while have < span:
-        step = min(have, span - have)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        have += step
-    starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    ends = np.r_[starts[1:], len(least)] + width - 1
+    least = _extreme(np.minimum, mixed, span)
+    # Windows that begin in one text and end in the next are none.
+    stop = np.cumsum(lengths)
+    begin, windows = stop - lengths, lengths - width + 1
+    within = np.repeat(np.tile([True, False], len(lengths)), np.stack([windows, np.full(len(lengths), width - 1)], 1).ravel())[: len(least)]
+    fresh = np.r_[True, least[1:] != least[:-1]]
+    fresh[begin] = True
+    starts = np.flatnonzero(fresh & within)
+    text = np.searchsorted(begin, starts, side="right") - 1
+    ends = np.minimum(np.r_[starts[1:], n], (begin + windows)[text]) + width - 1
     anchors = least[starts]
-    # Grams equal to the smallest of the run, inside the run: places in the order of (hash, place).
-    order = np.argsort(mixed, kind="stable")
-    ranked = mixed[order]
-    number = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]]) * len(mixed)
+    # Grams equal to the smallest of the run, inside the run: places in the order of (hash, place), of those that are smallest anywhere.
+    edge = np.zeros(span - 1, np.uint64)
+    smallest = np.flatnonzero(_extreme(np.maximum, np.concatenate([edge, np.where(within, least, np.uint64(0)), edge]), span) == mixed)
+    order = np.argsort(mixed[smallest], kind="stable")
+    place = smallest[order]
+    ranked = mixed[place]
+    number = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]]) * n
     at = number[np.searchsorted(ranked, anchors)]
-    places = np.searchsorted(number + order, at + ends - gram, side="right") - np.searchsorted(number + order, at + starts)
-    return anchors, starts, ends, places
+    places = np.searchsorted(number + place, at + ends - gram, side="right") - np.searchsorted(number + place, at + starts)
+    return text, anchors, starts - begin[text], ends - begin[text], places, begin[text]
+
+
+def _segmented(texts: Iterable[tuple], width: int) -> Iterator[tuple[list, bytes, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]]:
+    """Of (beside, text) rows, as many at once as hold ``PIECE`` bytes: what stands beside the texts of ``width`` words or more, all texts
+    joined, the first and the end byte of each word of those and ``segments``."""
+    hashes = WordHashes()
+
+    def cut(rows):
+        joined = b" ".join(text for _, text in rows)
+        first, end, hashed = hashes.of(joined)
+        begin = np.cumsum([0] + [len(text) + 1 for _, text in rows])
+        lengths = np.diff(np.searchsorted(first, begin))
+        long = lengths >= width
+        if long.any():
+            kept = np.repeat(long, lengths)
+            yield [rows[k][0] for k in np.flatnonzero(long)], joined, first[kept], end[kept], segments(hashed[kept], lengths[long], width)
+
+    rows, n = [], 0
+    for beside, text in texts:
+        rows.append((beside, text.as_py() or b""))
+        n += len(rows[-1][1])
+        if n >= PIECE:
+            yield from cut(rows)
+            rows, n = [], 0
+    if rows:
+        yield from cut(rows)
 
 
 class WaveletMatrix:
@@ -134,14 +200,14 @@ class FMIndex:
         self.text = text
 
     def _suffixes(self, text: np.ndarray) -> np.ndarray:
-        """Suffixes in the order of their first ``depth`` words, by prefix doubling."""
+        """Suffixes in the order of their first ``depth`` words, by prefix doubling; suffixes equal so far in any order."""
         n, rank, depth = len(text), text, 1
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         while depth < self.depth:
             after = np.zeros(n, np.int64)
             after[: n - depth] = rank[depth:] + 1
             key = rank * (n + 2) + after
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             sorted_key = key[order]
             new = np.empty(n, np.int64)
             new[order] = np.cumsum(np.r_[0, sorted_key[1:] != sorted_key[:-1]])
@@ -224,17 +290,12 @@ def _anchors(docs: DataFrame, width: int) -> DataFrame:
     """(key, number, anchor, places, words) of every segment of every text."""
 
     def cut(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            parts = []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
-                words = (text.as_py() or b"").split()
-                if len(words) < width:
-                    continue
-                anchors, starts, ends, places = segments(hashes.of(words), width)
-                parts.append((np.full(len(anchors), key, np.int64), np.arange(len(anchors), dtype=np.int32), anchors.view(np.int64), places.astype(np.int32), (ends - starts).astype(np.int32)))
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], ["key", "number", "anchor", "places", "words"])
+        rows = (row for batch in batches for row in zip(batch.column("key").to_pylist(), batch.column("text")))
+        for keys, _, _, _, (text, anchors, starts, ends, places, _) in _segmented(rows, width):
+            runs = np.bincount(text, minlength=len(keys))
+            number = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
+            columns = [np.array(keys, np.int64)[text], number.astype(np.int32), anchors.view(np.int64), places.astype(np.int32), (ends - starts).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "number", "anchor", "places", "words"])
 
     return docs.select("key", F.encode("text", "UTF-8").alias("text")).mapInArrow(cut, "key long, number int, anchor long, places int, words int")
 
@@ -243,20 +304,17 @@ def _emit(flagged: DataFrame, width: int) -> DataFrame:
     """The flagged segments with their words: (anchor, doc, first, words, content)."""
 
     def cut(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            out: list[tuple] = []
-            for doc, text, numbers in zip(batch.column("doc").to_pylist(), batch.column("text"), batch.column("numbers").to_pylist()):
-                words = (text.as_py() or b"").split()
-                if len(words) < width:
-                    continue
-                anchors, starts, ends, _ = segments(hashes.of(words), width)
-                anchors = anchors.view(np.int64)
-                out += [(anchors[k], doc, starts[k], ends[k] - starts[k], b" ".join(words[starts[k] : ends[k]])) for k in numbers if k < len(anchors)]
-            if out:
-                a, d, f, n, c = zip(*out)
-                columns = [pa.array(a, pa.int64()), pa.array(d, pa.binary()), pa.array(f, pa.int32()), pa.array(n, pa.int32()), pa.array(c, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "first", "words", "content"])
+        rows = (((doc, numbers), text) for batch in batches for doc, text, numbers in zip(batch.column("doc").to_pylist(), batch.column("text"), batch.column("numbers").to_pylist()))
+        for beside, joined, byte, stop, (text, anchors, starts, ends, _, before) in _segmented(rows, width):
+            runs = np.bincount(text, minlength=len(beside))
+            chosen = np.concatenate([[k + at for k in numbers if k < most] for (_, numbers), at, most in zip(beside, (np.cumsum(runs) - runs).tolist(), runs.tolist())]).astype(np.int64)
+            if not len(chosen):
+                continue
+            owner, first, end, before = text[chosen], starts[chosen], ends[chosen], before[chosen]
+            content = [b" ".join(joined[f:e].split()) for f, e in zip(byte[before + first].tolist(), stop[before + end - 1].tolist())]
+            columns = [pa.array(anchors.view(np.int64)[chosen]), pa.array([beside[k][0] for k in owner.tolist()], pa.binary()), pa.array(first.astype(np.int32))]
+            columns += [pa.array((end - first).astype(np.int32)), pa.array(content, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "first", "words", "content"])
 
     return flagged.mapInArrow(cut, "anchor long, doc binary, first int, words int, content binary")
 
